@@ -6,7 +6,8 @@
 1. range-partitions the rows on the order key (equal keys share a partition,
    partitions are ordered) and sorts each partition,
 2. ranks rows inside each partition in one streaming pass (Arrow batches),
-3. freezes that result with a reliable checkpoint so partition ids are stable,
+3. freezes that result as a written table in the shared checkpoint folder so
+   partition ids stay fixed even if tasks are re-run,
 4. counts rows per partition — a table with one row per partition, whose size
    is bounded by the partition count, so it is safe to broadcast — and adds
    the running count of the preceding partitions to each local rank.
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
+from .materialize import written
 
 
 def _local_rank_fn(order_col: str):
@@ -68,7 +70,7 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool =
     parts = (df.repartitionByRange(n, key).sortWithinPartitions(key)
              .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(parts.schema.fields + [T.StructField("_lrank", T.LongType())])
-    local = parts.mapInPandas(_local_rank_fn(order_col), schema).checkpoint(eager=True)
+    local = written(parts.mapInPandas(_local_rank_fn(order_col), schema), "rank")
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",

@@ -287,3 +287,137 @@ FROM reason_counts"""
     q["top_products"] = mp + "SELECT * EXCLUDE (revenue_cents) FROM top_products"
     q["shop_performance"] = mp + "SELECT * EXCLUDE (revenue_cents) FROM shop_performance"
     return q
+
+
+def _factor(d: str) -> str:
+    return (f"(CASE dayofweek({d}) WHEN 6 THEN 14 WHEN 0 THEN 13 ELSE 10 END"
+            f" * CASE WHEN month({d}) = 12 AND day({d}) >= 15 THEN 18 ELSE 10 END"
+            f" * CASE WHEN month({d}) = 4 THEN 12 ELSE 10 END)")
+
+
+def _weekday_values() -> str:
+    days = ["Saturday", "Sunday", "Wednesday", "Friday", "Tuesday", "Thursday", "Monday"]
+    return ", ".join(f"('{d}', {i + 1})" for i, d in enumerate(days))
+
+
+def _spine_ctes() -> str:
+    return """bounds AS (SELECT min(transaction_date) AS lo, max(transaction_date) AS hi FROM daily),
+days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
+                INTERVAL 1 DAY)) AS DATE) AS transaction_date FROM bounds),
+spine AS (
+  SELECT d.transaction_date, s.shop_id, dayname(d.transaction_date) AS day_of_week,
+         coalesce(x.revenue_cents, 0) AS revenue_cents,
+         CAST(coalesce(x.total_transactions, 0) AS BIGINT) AS total_transactions
+  FROM (SELECT DISTINCT shop_id FROM daily) s CROSS JOIN days d
+  LEFT JOIN daily x ON x.shop_id = s.shop_id AND x.transaction_date = d.transaction_date)"""
+
+
+def serving_oracle_sql(p: Params = FIXTURE) -> dict[str, str]:
+    mp = marts_prefix(p)
+    spine = mp.rstrip() + ",\n" + _spine_ctes() + "\n"
+    q = {}
+    q["shops"] = mp + """SELECT shop_id, shop_name, city, total_revenue, total_transactions,
+  avg_transaction_value, unique_customers, revenue_per_customer, weekend_revenue,
+  weekday_revenue, card_payment_pct, revenue_rank, pct_of_total_revenue
+FROM shop_performance ORDER BY revenue_rank, shop_id"""
+    q["shop_by_id"] = mp + """SELECT * EXCLUDE (revenue_cents) FROM shop_performance
+WHERE shop_id = upper('shop000007')"""
+    q["recent_daily"] = mp + """SELECT transaction_date, shop_id, shop_name, daily_revenue,
+  total_transactions, avg_transaction_value, day_of_week, is_weekend
+FROM daily ORDER BY transaction_date DESC, shop_id LIMIT 100"""
+    wk = f"""SELECT day_of_week,
+  {avg_amt('sum(revenue_cents)', 'count(revenue_cents)')} AS avg_revenue,
+  {amt('sum(revenue_cents)')} AS total_revenue,
+  CAST(sum(total_transactions) AS BIGINT) AS total_transactions
+FROM daily GROUP BY day_of_week"""
+    q["revenue_by_weekday"] = mp + wk + " ORDER BY avg_revenue DESC"
+    q["weekday_reindexed"] = mp + f"""SELECT d.day_of_week, d.display_order,
+  coalesce(w.avg_revenue, 0.0) AS avg_revenue
+FROM (VALUES {_weekday_values()}) AS d(day_of_week, display_order)
+LEFT JOIN ({wk}) w ON w.day_of_week = d.day_of_week ORDER BY d.display_order"""
+    plist = """SELECT shop_name, product_name, category, total_revenue, total_units_sold,
+  avg_sale_value, revenue_rank_in_shop, pct_of_shop_revenue FROM top_products
+WHERE revenue_rank_in_shop <= {k} ORDER BY shop_name, revenue_rank_in_shop, product_name"""
+    q["top5_products_per_shop"] = mp + plist.format(k=5)
+    q["top3_products_per_shop"] = mp + plist.format(k=3)
+    q["portfolio_summary"] = mp + f"""SELECT count(*) AS total_shops,
+  {amt('sum(revenue_cents)')} AS total_revenue,
+  CAST(sum(total_transactions) AS BIGINT) AS total_transactions,
+  {avg_amt('sum(avg_cents)', 'count(avg_cents)')} AS avg_transaction_value,
+  CAST(sum(unique_customers) AS BIGINT) AS total_customers
+FROM (SELECT *, CAST(round(avg_transaction_value * 100) AS BIGINT) AS avg_cents
+      FROM shop_performance)"""
+    q["portfolio_summary_true"] = mp + f"""SELECT count(DISTINCT shop_id) AS total_shops,
+  {amt('sum(total_cents)')} AS total_revenue, count(transaction_id) AS total_transactions,
+  {avg_amt('sum(total_cents)', 'count(total_cents)')} AS avg_transaction_value,
+  count(DISTINCT customer_id) AS total_customers
+FROM stg"""
+    q["shop_bars"] = mp + f"""SELECT shop_id, shop_name, total_revenue, revenue_rank,
+  {pct0('revenue_cents', 'max(revenue_cents) OVER ()')} AS bar_pct,
+  CASE WHEN revenue_rank <= 3 THEN 'rank-' || CAST(revenue_rank AS VARCHAR)
+       ELSE 'rank-other' END AS badge_class
+FROM shop_performance"""
+    q["formatted_shops"] = mp + f"""SELECT shop_id,
+  regexp_replace(shop_name, '^([^ ]*) ', '\\1' || chr(10)) AS chart_label,
+  '$' || format('{{:,}}', CAST({hu('revenue_cents', '100')} AS BIGINT)) AS revenue_text,
+  format('{{:,}}', total_transactions) AS transactions_text,
+  '$' || format('{{:,}}', CAST({hu('CAST(round(avg_transaction_value * 100) AS BIGINT)', '100')} AS BIGINT))
+    AS avg_sale_text,
+  '$' || CAST(CAST({hu('revenue_cents', '100000')} AS BIGINT) AS VARCHAR) || 'K' AS axis_label,
+  CAST(CAST(CAST({hu('CAST(round(pct_of_total_revenue * 100) AS BIGINT)', '10')} AS DECIMAL(20,0)) / 10
+       AS DECIMAL(20,1)) AS VARCHAR) || '%' AS share_text
+FROM shop_performance"""
+    q["value_mix"] = mp + f"""SELECT shop_id, shop_name,
+  {pct2('high_value_transactions', 'total_transactions')} AS high_value_pct,
+  {pct2('medium_value_transactions', 'total_transactions')} AS medium_value_pct,
+  {pct2('low_value_transactions', 'total_transactions')} AS low_value_pct
+FROM shop_performance"""
+    q["weekend_share"] = mp + f"""SELECT shop_id, shop_name,
+  {pct2('CAST(round(weekend_revenue * 100) AS BIGINT)', 'revenue_cents')} AS weekend_revenue_pct,
+  {pct2('weekend_transactions', 'total_transactions')} AS weekend_transactions_pct
+FROM shop_performance"""
+    q["peer_ratio"] = mp + f"""SELECT shop_id, shop_name, avg_transaction_value,
+  (CAST({hu('avg_cents * 100', 'max(avg_cents) OVER ()')} AS DOUBLE) / 100) AS ratio_to_top_avg
+FROM (SELECT *, CAST(round(avg_transaction_value * 100) AS BIGINT) AS avg_cents
+      FROM shop_performance)"""
+    q["bottom_products"] = mp + """SELECT shop_id, shop_name, product_name, category, total_revenue
+FROM (SELECT *, rank() OVER (PARTITION BY shop_id ORDER BY revenue_cents ASC) AS r
+      FROM top_products) WHERE r = 1"""
+    q["top_products_overall"] = mp + """SELECT shop_id, shop_name, product_name, category,
+  total_revenue, overall_rank
+FROM (SELECT *, CAST(rank() OVER (ORDER BY revenue_cents DESC) AS INTEGER) AS overall_rank
+      FROM top_products) WHERE overall_rank <= 5"""
+    q["customers_per_shop"] = mp + f"""SELECT count(unique_customers) AS shops,
+  (CAST({hu('sum(unique_customers) * 100', 'count(unique_customers)')} AS DOUBLE) / 100)
+    AS avg_customers_per_shop,
+  (SELECT count(DISTINCT customer_id) FROM stg) AS distinct_customers
+FROM shop_performance"""
+    q["insight_context"] = mp + """, prods AS (
+  SELECT shop_id, to_json(list_sort(list(struct_pack(
+           revenue_rank_in_shop := revenue_rank_in_shop, product_name := product_name,
+           total_revenue := CAST(total_revenue AS DECIMAL(20,2)))))) AS top_products_json
+  FROM top_products WHERE revenue_rank_in_shop <= 3 GROUP BY shop_id),
+wk AS (
+  SELECT day_of_week, """ + avg_amt('sum(revenue_cents)', 'count(revenue_cents)') + """ AS avg_revenue
+  FROM daily GROUP BY day_of_week)
+SELECT s.shop_id,
+  to_json(struct_pack(shop_name := s.shop_name, city := s.city,
+    total_revenue := CAST(s.total_revenue AS DECIMAL(20,2)),
+    avg_transaction_value := CAST(s.avg_transaction_value AS DECIMAL(20,2)),
+    revenue_rank := s.revenue_rank,
+    pct_of_total_revenue := CAST(s.pct_of_total_revenue AS DECIMAL(20,2)))) AS shop_json,
+  coalesce(p.top_products_json, '[]') AS top_products_json,
+  (SELECT to_json(list_sort(list(struct_pack(avg_revenue := CAST(avg_revenue AS DECIMAL(20,2)),
+     day_of_week := day_of_week)))) FROM wk) AS weekdays_json
+FROM shop_performance s LEFT JOIN prods p ON p.shop_id = s.shop_id"""
+    q["calendar_spine_daily"] = spine + f"""SELECT transaction_date, shop_id, day_of_week,
+  {amt('revenue_cents')} AS daily_revenue, total_transactions FROM spine"""
+    q["revenue_by_weekday_filled"] = spine + f"""SELECT day_of_week,
+  {avg_amt('sum(revenue_cents)', 'count(revenue_cents)')} AS avg_revenue,
+  count(revenue_cents) AS shop_days
+FROM spine GROUP BY day_of_week"""
+    q["seasonally_adjusted_daily"] = mp + f"""SELECT transaction_date, shop_id, daily_revenue,
+  (CAST({_factor('transaction_date')} AS DOUBLE) / 1000) AS demand_factor,
+  {amt(hu('revenue_cents * 1000', _factor('transaction_date')))} AS adjusted_revenue
+FROM daily"""
+    return q

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from .functions.money import avg_amount, cents_to_amount
 from .operators import clean as cl
 from .params import FIXTURE
-from .plans import marts, staging
+from .plans import marts, metrics, serving, staging
+from .plans.models import models
 from .sources import fixture
 
 DROP = {"updated_at", "processed_timestamp", "revenue_cents", "total_cents", "time"}
@@ -95,6 +96,115 @@ def shop_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _public(marts.shop_performance(staging.fixture_stg(spark, sf_dir)))
 
 
+# ---- serving -------------------------------------------------------------------
+
+# Serving queries read the materialised model tables (written once per session
+# and data folder), as the reference's API reads its warehouse tables.
+
+def _stg(spark, sf_dir):
+    return models(spark, sf_dir).stg()
+
+
+def _shop_mart(spark, sf_dir):
+    return models(spark, sf_dir).shop()
+
+
+def _daily(spark, sf_dir):
+    return models(spark, sf_dir).daily()
+
+
+def _top(spark, sf_dir):
+    return models(spark, sf_dir).top()
+
+
+def shops(spark, sf_dir):
+    return serving.shops(_shop_mart(spark, sf_dir))
+
+
+def shop_by_id(spark, sf_dir):
+    """V2 with a lower-case argument that must fold to upper case."""
+    return _public(serving.shop_by_id(_shop_mart(spark, sf_dir), "shop000007"))
+
+
+def recent_daily(spark, sf_dir):
+    return serving.recent_daily(_daily(spark, sf_dir), 100)
+
+
+def revenue_by_weekday(spark, sf_dir):
+    return serving.revenue_by_weekday(_daily(spark, sf_dir))
+
+
+def weekday_reindexed(spark, sf_dir):
+    return serving.weekday_reindexed(_daily(spark, sf_dir))
+
+
+def top5_products_per_shop(spark, sf_dir):
+    return serving.top_products_per_shop(_top(spark, sf_dir), 5)
+
+
+def top3_products_per_shop(spark, sf_dir):
+    return serving.top_products_per_shop(_top(spark, sf_dir), 3)
+
+
+def portfolio_summary(spark, sf_dir):
+    return serving.portfolio_summary(_shop_mart(spark, sf_dir))
+
+
+def portfolio_summary_true(spark, sf_dir):
+    return serving.portfolio_summary_true(_stg(spark, sf_dir))
+
+
+def shop_bars(spark, sf_dir):
+    return serving.shop_bars(_shop_mart(spark, sf_dir))
+
+
+def formatted_shops(spark, sf_dir):
+    return serving.formatted_shops(_shop_mart(spark, sf_dir))
+
+
+# ---- report metrics, spine, seasonal adjustment --------------------------------
+
+def value_mix(spark, sf_dir):
+    return metrics.value_mix(_shop_mart(spark, sf_dir))
+
+
+def weekend_share(spark, sf_dir):
+    return metrics.weekend_share(_shop_mart(spark, sf_dir))
+
+
+def peer_ratio(spark, sf_dir):
+    return metrics.peer_ratio(_shop_mart(spark, sf_dir))
+
+
+def bottom_products(spark, sf_dir):
+    return metrics.bottom_products(_top(spark, sf_dir))
+
+
+def top_products_overall(spark, sf_dir):
+    return metrics.top_products_overall(_top(spark, sf_dir), 5)
+
+
+def customers_per_shop(spark, sf_dir):
+    return metrics.customers_per_shop(_shop_mart(spark, sf_dir), _stg(spark, sf_dir))
+
+
+def insight_context(spark, sf_dir):
+    return metrics.insight_context(_shop_mart(spark, sf_dir), _top(spark, sf_dir),
+                                   _daily(spark, sf_dir), 3)
+
+
+def calendar_spine_daily(spark, sf_dir):
+    return _public(metrics.calendar_spine_daily(_daily(spark, sf_dir)))
+
+
+def revenue_by_weekday_filled(spark, sf_dir):
+    return metrics.revenue_by_weekday_filled(_daily(spark, sf_dir))
+
+
+def seasonally_adjusted_daily(spark, sf_dir):
+    return metrics.seasonally_adjusted_daily(_daily(spark, sf_dir))
+
+
 QUERIES = {
     "revenue_by_shop": revenue_by_shop,
     "revenue_by_weekday_raw": revenue_by_weekday_raw,
@@ -107,4 +217,25 @@ QUERIES = {
     "daily_revenue": daily_revenue,
     "top_products": top_products,
     "shop_performance": shop_performance,
+    "shops": shops,
+    "shop_by_id": shop_by_id,
+    "recent_daily": recent_daily,
+    "revenue_by_weekday": revenue_by_weekday,
+    "weekday_reindexed": weekday_reindexed,
+    "top5_products_per_shop": top5_products_per_shop,
+    "top3_products_per_shop": top3_products_per_shop,
+    "portfolio_summary": portfolio_summary,
+    "portfolio_summary_true": portfolio_summary_true,
+    "shop_bars": shop_bars,
+    "formatted_shops": formatted_shops,
+    "value_mix": value_mix,
+    "weekend_share": weekend_share,
+    "peer_ratio": peer_ratio,
+    "bottom_products": bottom_products,
+    "top_products_overall": top_products_overall,
+    "customers_per_shop": customers_per_shop,
+    "insight_context": insight_context,
+    "calendar_spine_daily": calendar_spine_daily,
+    "revenue_by_weekday_filled": revenue_by_weekday_filled,
+    "seasonally_adjusted_daily": seasonally_adjusted_daily,
 }

@@ -19,6 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a fact scan at least one partition per core.
+
+    A large table is split by the scan into many partitions and is returned as
+    is (no shuffle). A file that arrives as a single row group would otherwise
+    leave every map-side join and partial aggregate in one task; only then the
+    rows are spread round-robin over the cluster's default parallelism."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def shops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shop dimension: supplier with its nation as city."""
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -32,9 +45,9 @@ def shops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def typed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed transactions (TYPED_SCHEMA), duplicates included, money in cents."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-        "l_extendedprice")
+        "l_extendedprice"))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type",
                                             "p_retailprice")
