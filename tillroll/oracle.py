@@ -421,3 +421,53 @@ FROM spine GROUP BY day_of_week"""
   {amt(hu('revenue_cents * 1000', _factor('transaction_date')))} AS adjusted_revenue
 FROM daily"""
     return q
+
+
+def io_oracle_sql(p: Params = FIXTURE) -> dict[str, str]:
+    proc = with_ctes(raw_tx_cte(), dedup_cte(), clean_cte(p=p), processed_cte(p))
+    mp = marts_prefix(p)
+    pub = ("transaction_id, date, shop_id, shop_name, city, product_name, category, quantity,"
+           " unit_price, total_amount, customer_id, payment_method, day_of_week, month_name,"
+           " year, month_number, is_weekend, revenue_category")
+    q = {}
+    q["quality_unique"] = with_ctes(raw_tx_cte()) + """SELECT transaction_id, count(*) AS n_rows
+FROM raw_tx WHERE transaction_id IS NOT NULL GROUP BY transaction_id HAVING count(*) > 1"""
+    q["quality_not_null"] = with_ctes(raw_tx_cte(), dirty_tx_cte()) + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null,"
+        f" count(*) AS n_rows FROM dirty_tx" for c in _CRIT)
+    q["quality_amount"] = proc + """SELECT transaction_id, unit_price, quantity,
+  CAST(total_cents AS DOUBLE) / 100 AS total_amount,
+  CAST(CAST(round(unit_price * 100) AS BIGINT) * quantity AS DOUBLE) / 100 AS expected_amount
+FROM processed
+WHERE CAST(round(unit_price * 100) AS BIGINT) * CAST(quantity AS BIGINT) <> total_cents"""
+    q["variant_load"] = proc + f"SELECT {pub} FROM processed"
+    q["csv_roundtrip"] = with_ctes(
+        raw_tx_cte(), dirty_tx_cte(), dedup_cte("dirty_tx"), clean_cte(p=p)) + f"""
+SELECT transaction_id, date, shop_id, shop_name, city, product_name, category, quantity,
+       unit_price, {amt('total_cents')} AS total_amount, customer_id, payment_method
+FROM clean"""
+    q["parquet_roundtrip"] = proc + f"SELECT {pub} FROM processed"
+    q["shop_partitioned"] = with_ctes(raw_tx_cte()) + f"""SELECT shop_id, count(*) AS n_rows,
+  {amt('sum(total_cents)')} AS total_amount FROM raw_tx GROUP BY shop_id"""
+    q["idempotent_load"] = proc + f"""SELECT year, month_number, count(*) AS n_rows,
+  {amt('sum(total_cents)')} AS total_amount FROM processed GROUP BY year, month_number"""
+    q["shops_json"] = mp + """SELECT shop_id, to_json(struct_pack(
+  shop_id := shop_id, shop_name := shop_name, city := city,
+  total_revenue := CAST(total_revenue AS DECIMAL(20,2)),
+  total_transactions := total_transactions,
+  avg_transaction_value := CAST(avg_transaction_value AS DECIMAL(20,2)),
+  unique_customers := unique_customers,
+  revenue_per_customer := CAST(revenue_per_customer AS DECIMAL(20,2)),
+  weekend_revenue := CAST(weekend_revenue AS DECIMAL(20,2)),
+  weekday_revenue := CAST(weekday_revenue AS DECIMAL(20,2)),
+  card_payment_pct := CAST(card_payment_pct AS DECIMAL(20,2)),
+  revenue_rank := revenue_rank,
+  pct_of_total_revenue := CAST(pct_of_total_revenue AS DECIMAL(20,2)))) AS json
+FROM shop_performance"""
+    q["report_lines"] = mp + f"""SELECT shop_id, concat_ws(' | ', '#' || CAST(revenue_rank AS VARCHAR),
+  shop_name, city,
+  '$' || format('{{:,}}', CAST({hu('revenue_cents', '100')} AS BIGINT)),
+  CAST(CAST(CAST({hu('CAST(round(pct_of_total_revenue * 100) AS BIGINT)', '10')} AS DECIMAL(20,0)) / 10
+       AS DECIMAL(20,1)) AS VARCHAR) || '%') AS line
+FROM shop_performance"""
+    return q

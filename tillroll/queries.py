@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 
 from .functions.money import avg_amount, cents_to_amount
 from .operators import clean as cl
+from .operators import quality
+from .operators.enrich import PROCESSED_COLUMNS
+from .operators.materialize import written
+from .session import scratch_path
+from .sources import files
+from .sources.schema import CRITICAL_COLUMNS
 from .params import FIXTURE
 from .plans import marts, metrics, serving, staging
 from .plans.models import models
@@ -205,6 +211,107 @@ def seasonally_adjusted_daily(spark, sf_dir):
     return metrics.seasonally_adjusted_daily(_daily(spark, sf_dir))
 
 
+# ---- data quality ---------------------------------------------------------------
+
+def quality_unique(spark, sf_dir):
+    """Q1 on the raw fixture: repeated transaction ids (the duplicates to remove)."""
+    return quality.unique_violations(fixture.typed_transactions(spark, sf_dir),
+                                     "transaction_id")
+
+
+def quality_not_null(spark, sf_dir):
+    """Q2 on the dirty fixture: NULL count of each critical column."""
+    return quality.null_counts(fixture.dirty_transactions(spark, sf_dir),
+                               CRITICAL_COLUMNS)
+
+
+def quality_amount(spark, sf_dir):
+    """Q4 on the processed table: totals that differ from price × quantity."""
+    return quality.amount_violations(models(spark, sf_dir).processed())
+
+
+# ---- sources and sinks ------------------------------------------------------------
+
+_PUBLIC_PROCESSED = [c for c in PROCESSED_COLUMNS
+                     if c not in ("processed_timestamp", "time", "total_cents")]
+
+
+def variant_load(spark, sf_dir):
+    """A5 + A6: processed rows → one variant object each → typed columns again."""
+    src = models(spark, sf_dir).processed().select(*_PUBLIC_PROCESSED)
+    stage = written(files.to_variant_stage(src), "variant_stage")
+    return files.from_variant_stage(stage, src.schema)
+
+
+def csv_roundtrip(spark, sf_dir):
+    """A1 + H2: the dirty fixture written as CSV text, read back with the explicit
+    raw schema, parsed and cleaned (must equal clean_transactions)."""
+    path = scratch_path(spark, "raw_csv")
+    fixture.raw_text_transactions(spark, sf_dir, dirty=True).write.mode("overwrite") \
+        .option("header", True).csv(path)
+    typed = cl.parse_raw(files.read_raw_csv(spark, path).drop("_corrupt_record"))
+    c = cl.clean(typed, FIXTURE)
+    return c.select("transaction_id", "date", "shop_id", "shop_name", "city",
+                    "product_name", "category", "quantity", "unit_price",
+                    cents_to_amount("total_cents").alias("total_amount"),
+                    "customer_id", "payment_method")
+
+
+def parquet_roundtrip(spark, sf_dir):
+    """A3 + A4: processed rows written partitioned by (year, month) and read back."""
+    src = models(spark, sf_dir).processed()
+    path = scratch_path(spark, "processed_parquet")
+    files.write_processed(src, path)
+    back = files.read_processed(spark, path, src.schema)
+    return back.select(*_PUBLIC_PROCESSED)
+
+
+def shop_partitioned(spark, sf_dir):
+    """Raw rows written as one CSV folder per shop, read back, counted."""
+    path = scratch_path(spark, "raw_by_shop")
+    files.write_raw_csv_by_shop(fixture.raw_text_transactions(spark, sf_dir, dirty=False),
+                                path)
+    back = cl.parse_raw(files.read_raw_csv_by_shop(spark, path).drop("_corrupt_record"))
+    return back.groupBy("shop_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        cents_to_amount(F.sum("total_cents")).alias("total_amount"))
+
+
+def idempotent_load(spark, sf_dir):
+    """J5 (batch form): loading the same processed rows twice with dynamic
+    partition overwrite leaves one copy of every row."""
+    src = models(spark, sf_dir).processed()
+    path = scratch_path(spark, "idempotent")
+    files.write_processed(src, path)
+    files.write_processed(src, path)
+    back = files.read_processed(spark, path, src.schema)
+    return back.groupBy("year", "month_number").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        cents_to_amount(F.sum("total_cents")).alias("total_amount"))
+
+
+def shops_json(spark, sf_dir):
+    """The `/shops` rows as JSON records (money as 2-dp decimals)."""
+    rows = serving.shops(_shop_mart(spark, sf_dir))
+    money = {"total_revenue", "avg_transaction_value", "revenue_per_customer",
+             "weekend_revenue", "weekday_revenue", "card_payment_pct",
+             "pct_of_total_revenue"}
+    typed = rows.select(*[F.col(c).cast("decimal(20,2)").alias(c) if c in money else c
+                          for c in rows.columns])
+    return files.json_records(typed).select(
+        F.get_json_object("json", "$.shop_id").alias("shop_id"), "json")
+
+
+def report_lines(spark, sf_dir):
+    """One text line per shop for the plain-text report."""
+    f = serving.formatted_shops(_shop_mart(spark, sf_dir))
+    m = _shop_mart(spark, sf_dir).select("shop_id", "shop_name", "city", "revenue_rank")
+    j = m.join(f, "shop_id")
+    return j.select("shop_id", F.concat_ws(
+        " | ", F.concat(F.lit("#"), F.col("revenue_rank").cast("string")), "shop_name",
+        "city", "revenue_text", "share_text").alias("line"))
+
+
 QUERIES = {
     "revenue_by_shop": revenue_by_shop,
     "revenue_by_weekday_raw": revenue_by_weekday_raw,
@@ -238,4 +345,14 @@ QUERIES = {
     "calendar_spine_daily": calendar_spine_daily,
     "revenue_by_weekday_filled": revenue_by_weekday_filled,
     "seasonally_adjusted_daily": seasonally_adjusted_daily,
+    "quality_unique": quality_unique,
+    "quality_not_null": quality_not_null,
+    "quality_amount": quality_amount,
+    "variant_load": variant_load,
+    "csv_roundtrip": csv_roundtrip,
+    "parquet_roundtrip": parquet_roundtrip,
+    "shop_partitioned": shop_partitioned,
+    "idempotent_load": idempotent_load,
+    "shops_json": shops_json,
+    "report_lines": report_lines,
 }
