@@ -471,3 +471,23 @@ FROM shop_performance"""
        AS DECIMAL(20,1)) AS VARCHAR) || '%') AS line
 FROM shop_performance"""
     return q
+
+
+def stream_oracle_sql() -> dict[str, str]:
+    ev = f"""WITH ev AS (
+  SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(ts AS DATE) AS date,
+         event_type AS shop_id, CAST(user_id AS VARCHAR) AS customer_id,
+         CAST(round(value * 100) AS BIGINT) AS total_cents
+  FROM events)
+"""
+    q = {}
+    q["stream_dedup"] = ev + f"""SELECT transaction_id, date, shop_id, customer_id,
+  {amt('total_cents')} AS total_amount, dayname(date) AS day_of_week,
+  coalesce(dayofweek(date) IN (0, 6), false) AS is_weekend
+FROM ev WHERE total_cents > 0 AND shop_id IS NOT NULL"""
+    q["stream_daily"] = ev + f"""SELECT date AS window_date, shop_id,
+  {amt('sum(total_cents)')} AS revenue, count(*) AS transactions,
+  {amt('min(total_cents)')} AS min_transaction_value,
+  {amt('max(total_cents)')} AS max_transaction_value
+FROM ev WHERE total_cents > 0 AND shop_id IS NOT NULL GROUP BY date, shop_id"""
+    return q
