@@ -12,6 +12,10 @@
    is bounded by the partition count, so it is safe to broadcast — and adds
    the running count of the preceding partitions to each local rank.
 
+A single-partition window is used only behind a size check: when a bounded
+``limit(N + 1).count()`` proves at most N rows (default one million, a few MB
+for one task), the plain window is cheaper than the four steps above.
+
 Shares of a grand total use a scalar subquery (one value), not a window.
 """
 
@@ -59,9 +63,31 @@ def _local_rank_fn(order_col: str):
     return run
 
 
+SINGLE_TASK_ROWS = 1_000_000
+
+
+def at_most(df: DataFrame, n: int) -> bool:
+    """True when `df` has at most `n` rows; reads no more than n + 1 rows."""
+    return df.limit(n + 1).count() <= n
+
+
 def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = False,
-                num_partitions: int | None = None) -> DataFrame:
-    """Adds `rank_col` (INT) = RANK() OVER (ORDER BY order_col [ASC|DESC] NULLS LAST)."""
+                num_partitions: int | None = None,
+                single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """Adds `rank_col` (INT) = RANK() OVER (ORDER BY order_col [ASC|DESC] NULLS LAST).
+
+    `df` should be cheap to read twice (a written table or a small aggregate):
+    the size check reads it once."""
+    key = (F.col(order_col).asc_nulls_last() if ascending
+           else F.col(order_col).desc_nulls_last())
+    if single_task_rows and at_most(df, single_task_rows):
+        return df.withColumn(rank_col, F.rank().over(Window.orderBy(key)).cast("int"))
+    return distributed_rank(df, order_col, rank_col, ascending, num_partitions)
+
+
+def distributed_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = False,
+                     num_partitions: int | None = None) -> DataFrame:
+    """The range-partitioned rank (steps 1–4 above), for any number of rows."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -30,8 +30,9 @@ def _public(df: DataFrame) -> DataFrame:
 # ---- first slice: ad-hoc warehouse queries on the processed table ---------------
 
 def revenue_by_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Revenue, average sale and count per shop name, largest first."""
-    p = staging.fixture_processed(spark, sf_dir)
+    """Revenue, average sale and count per shop name, largest first (an
+    ad-hoc query on the loaded processed table)."""
+    p = models(spark, sf_dir).processed()
     g = p.groupBy("shop_name").agg(F.sum("total_cents").alias("_s"),
                                    F.count("total_cents").alias("_n"),
                                    F.count("transaction_id").alias("total_transactions"))
@@ -41,8 +42,8 @@ def revenue_by_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_by_weekday_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E5: revenue and count per weekday name on the processed table."""
-    p = staging.fixture_processed(spark, sf_dir)
+    """E5: revenue and count per weekday name on the loaded processed table."""
+    p = models(spark, sf_dir).processed()
     g = p.groupBy("day_of_week").agg(F.sum("total_cents").alias("_s"),
                                      F.count("transaction_id").alias("transactions"))
     return g.select("day_of_week", cents_to_amount("_s").alias("revenue"),

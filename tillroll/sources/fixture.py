@@ -3,8 +3,8 @@
 lineitem ⋈ orders ⋈ part ⋈ (supplier ⋈ nation) gives one transaction per line:
 the supplier plays the shop, its nation the city, the part the product, the
 order's customer the customer. All joins are inner equi-joins; the optimizer
-chooses broadcast or sort-merge per side from its size estimate, and only the
-needed columns are read from each table.
+chooses broadcast (small dimension, by its checked size estimate) or sort-merge
+(large one) per side, and only the needed columns are read from each table.
 """
 
 from __future__ import annotations
@@ -19,16 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a fact scan at least one partition per core.
 
     A large table is split by the scan into many partitions and is returned as
     is (no shuffle). A file that arrives as a single row group would otherwise
     leave every map-side join and partial aggregate in one task; only then the
-    rows are spread round-robin over the cluster's default parallelism."""
+    rows are hash-partitioned on `keys` over the default parallelism (hash, not
+    round-robin: round-robin sorts every input partition first to stay
+    deterministic on retry)."""
     want = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
+        return df.repartition(want, *keys)
     return df
 
 
@@ -47,14 +49,22 @@ def typed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed transactions (TYPED_SCHEMA), duplicates included, money in cents."""
     li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-        "l_extendedprice"))
+        "l_extendedprice"), "l_orderkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type",
                                             "p_retailprice")
-    sh = shops(spark, sf_dir)
+    # Each dimension joins the fact rows as a base table, so the planner's
+    # broadcast decision uses that table's real size (a pre-joined
+    # supplier ⋈ nation is estimated as the product of both and never broadcast).
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
          .join(pt, li.l_partkey == pt.p_partkey)
-         .join(sh, li.l_suppkey == sh.s_suppkey))
+         .join(sup, li.l_suppkey == sup.s_suppkey)
+         .join(nat, sup.s_nationkey == nat.n_nationkey)
+         .withColumn("shop_id", F.format_string("SHOP%06d", "s_suppkey"))
+         .withColumnRenamed("s_name", "shop_name")
+         .withColumnRenamed("n_name", "city"))
     out = j.select(
         F.concat(F.lit("TXN"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("transaction_id"),
