@@ -99,3 +99,24 @@ def test_stream_drops_rows_beyond_watermark(spark):
     silver = spark.read.schema(pipe.silver_schema()).parquet(pipe.silver)
     assert [r.transaction_id for r in silver.collect()] == ["1"]
     assert ingest.late_rows_dropped(q) >= 1
+
+
+def test_cleaning_job_audit_matches_row_audit(spark):
+    from tillroll.operators import clean as clean_ops
+    from tillroll.params import FIXTURE
+    from tillroll.plans import staging
+    from tillroll.sources import fixture
+    from conftest import SF_SMALL
+    dirty = fixture.dirty_transactions(spark, SF_SMALL)
+    audit = staging.cleaning_job(dirty, FIXTURE, scratch_path(spark, "test_clean_job"))
+    ref = clean_ops.row_audit(dirty, FIXTURE).first().asDict()
+    assert audit == ref
+
+
+def test_warehouse_ddl_keeps_comments(spark):
+    from tillroll.plans import warehouse
+    root = scratch_path(spark, "test_wh")
+    warehouse.create_layers(spark, root)
+    comments = warehouse.column_comments(spark, "raw.transactions")
+    assert comments["transaction_id"] == "Unique transaction identifier"
+    assert set(spark.table("raw.transactions").columns[-2:]) == {"year", "month_number"}

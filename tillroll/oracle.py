@@ -464,6 +464,12 @@ FROM clean"""
   revenue_rank := revenue_rank,
   pct_of_total_revenue := CAST(pct_of_total_revenue AS DECIMAL(20,2)))) AS json
 FROM shop_performance"""
+    q["warehouse_revenue_by_shop"] = proc + f"""SELECT shop_name,
+  {amt('sum(total_cents)')} AS total_revenue,
+  {avg_amt('sum(total_cents)', 'count(total_cents)')} AS avg_sale_value,
+  count(transaction_id) AS total_transactions
+FROM processed GROUP BY shop_name"""
+    q["warehouse_shop_performance"] = mp + "SELECT * EXCLUDE (revenue_cents) FROM shop_performance"
     q["report_lines"] = mp + f"""SELECT shop_id, concat_ws(' | ', '#' || CAST(revenue_rank AS VARCHAR),
   shop_name, city,
   '$' || format('{{:,}}', CAST({hu('revenue_cents', '100')} AS BIGINT)),

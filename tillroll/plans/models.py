@@ -9,6 +9,8 @@ session, data folder and parameter set.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.materialize import written
@@ -23,6 +25,13 @@ class ModelSet:
         self.spark, self.sf_dir, self.p = spark, sf_dir, p
         self._t: dict[str, DataFrame] = {}
 
+    @classmethod
+    def over(cls, processed: DataFrame, sf_dir: str, p: Params = FIXTURE) -> "ModelSet":
+        """A model set whose processed table is already written."""
+        ms = cls(processed.sparkSession, sf_dir, p)
+        ms._t["processed"] = processed
+        return ms
+
     def _table(self, name: str, build) -> DataFrame:
         if name not in self._t:
             self._t[name] = written(build(), name)
@@ -45,6 +54,21 @@ class ModelSet:
     def shop(self) -> DataFrame:
         return self._table("shop_performance", lambda: marts.shop_performance(self.stg()))
 
+    def build_all(self, parallel: bool = True) -> "ModelSet":
+        """Writes processed, then the three independent models. With `parallel`,
+        the three model jobs are submitted together from driver threads, so the
+        small final stages of one model share the cluster with the others."""
+        self.processed()
+        builders = [self.daily, self.top, self.shop]
+        if parallel:
+            with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+                for f in [pool.submit(b) for b in builders]:
+                    f.result()
+        else:
+            for b in builders:
+                b()
+        return self
+
 
 def models(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> ModelSet:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), p)

@@ -17,6 +17,7 @@ from .sources.schema import CRITICAL_COLUMNS
 from .streaming import ingest
 from .params import FIXTURE
 from .plans import marts, metrics, serving, staging
+from .plans import warehouse
 from .plans.models import models
 from .sources import fixture
 
@@ -314,6 +315,37 @@ def report_lines(spark, sf_dir):
         "city", "revenue_text", "share_text").alias("line"))
 
 
+# ---- named layers in the catalog ---------------------------------------------------
+
+_PUBLISHED: dict = {}
+
+
+def _published(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _PUBLISHED:
+        warehouse.publish(models(spark, sf_dir), scratch_path(spark, "warehouse"))
+        _PUBLISHED[key] = True
+    return True
+
+
+def warehouse_revenue_by_shop(spark, sf_dir):
+    """A7 + A8 + A10 + E4: the ad-hoc revenue query on the named table
+    `raw.transactions`, declared by DDL and loaded by partition overwrite."""
+    _published(spark, sf_dir)
+    t = warehouse.source(spark, "raw", "transactions")
+    g = t.groupBy("shop_name").agg(F.sum("total_cents").alias("_s"),
+                                   F.count("total_cents").alias("_n"),
+                                   F.count("transaction_id").alias("total_transactions"))
+    return g.select("shop_name", cents_to_amount("_s").alias("total_revenue"),
+                    avg_amount("_s", "_n").alias("avg_sale_value"), "total_transactions")
+
+
+def warehouse_shop_performance(spark, sf_dir):
+    """A10: the published `marts.shop_performance` table."""
+    _published(spark, sf_dir)
+    return _public(spark.table("marts.shop_performance"))
+
+
 # ---- streaming -------------------------------------------------------------------
 
 _STREAMS: dict = {}
@@ -388,6 +420,8 @@ QUERIES = {
     "idempotent_load": idempotent_load,
     "shops_json": shops_json,
     "report_lines": report_lines,
+    "warehouse_revenue_by_shop": warehouse_revenue_by_shop,
+    "warehouse_shop_performance": warehouse_shop_performance,
     "stream_dedup": stream_dedup,
     "stream_daily": stream_daily,
 }
