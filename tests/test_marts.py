@@ -115,3 +115,35 @@ def test_empty_input_conditional_counts(spark):
     r = empty.agg(F.count_if(F.col("pm") == "cash").alias("e17"),
                   F.sum(F.when(F.col("pm") == "cash", 1).otherwise(0)).alias("e18")).first()
     assert r.e17 == 0 and r.e18 is None
+
+
+def _brute_group_rank(rows, desc=True):
+    out = {}
+    for i, (g, v) in rows.items():
+        same = [w for (h, w) in rows.values() if h == g and w is not None]
+        if v is None:
+            out[i] = len(same) + 1
+        else:
+            out[i] = 1 + sum(1 for w in same if (w > v if desc else w < v))
+    return out
+
+
+@pytest.mark.parametrize("parts,asc", [(1, False), (4, False), (9, True)])
+def test_rank_within_hot_group_matches_brute_force(spark, parts, asc):
+    from tillroll.operators.ranking import distributed_rank_within
+    rnd = random.Random(parts)
+    rows = {}
+    for i in range(600):
+        g = "HOT" if i % 3 else rnd.choice(["a", "b", "c", "d"])   # one group holds 2/3
+        rows[i] = (g, rnd.choice([None, 1, 2, 2, 3, 5, 8, 8, 8, 13]))
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in rows.items()],
+                               "id int, g string, v long")
+    got = {r.id: r.r for r in distributed_rank_within(
+        df, ["g"], "v", "r", ascending=asc, num_partitions=parts).collect()}
+    assert got == _brute_group_rank(rows, desc=not asc)
+
+
+def test_top_products_large_path_equals_window_path(layers):
+    small = layers["top"].drop("updated_at")
+    large = marts.top_products(layers["stg"], single_task_rows=10).drop("updated_at")
+    assert sorted(small.collect()) == sorted(large.collect())

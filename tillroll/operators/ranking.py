@@ -31,38 +31,6 @@ from ..session import ensure_checkpoint_dir
 from .materialize import written
 
 
-def _local_rank_fn(order_col: str):
-    def run(batches):
-        pos = 0
-        last_val = None
-        last_rank = 0
-        have_last = False
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            v = pdf[order_col]
-            prev = v.shift(1)
-            both_na = v.isna() & prev.isna()
-            new = (v != prev) & ~both_na
-            if have_last:
-                first_same = (pd.isna(v.iloc[0]) and pd.isna(last_val)) or (
-                    not pd.isna(v.iloc[0]) and not pd.isna(last_val)
-                    and v.iloc[0] == last_val)
-                new.iloc[0] = not first_same
-            else:
-                new.iloc[0] = True
-            positions = np.arange(pos + 1, pos + n + 1, dtype=np.int64)
-            r = pd.Series(np.where(new.to_numpy(), positions, np.nan))
-            if not new.iloc[0]:
-                r.iloc[0] = last_rank
-            r = r.ffill().astype("int64")
-            pos += n
-            last_val, last_rank, have_last = v.iloc[-1], int(r.iloc[-1]), True
-            yield pdf.assign(_lrank=r.to_numpy())
-    return run
-
-
 SINGLE_TASK_ROWS = 1_000_000
 
 
@@ -88,23 +56,107 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool =
 def distributed_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = False,
                      num_partitions: int | None = None) -> DataFrame:
     """The range-partitioned rank (steps 1–4 above), for any number of rows."""
+    return distributed_rank_within(df, [], order_col, rank_col, ascending, num_partitions)
+
+
+def _same(a: pd.Series, b: pd.Series) -> np.ndarray:
+    """Element-wise equality where NULL equals NULL."""
+    return ((a == b) | (a.isna() & b.isna())).to_numpy()
+
+
+def _local_group_rank_fn(group_cols: list[str], order_col: str):
+    """Per sorted partition: position within the group (`_pos`) and RANK within
+    the group (`_lrank`), both restarting at each group change and carried over
+    Arrow batch boundaries."""
+    def run(batches):
+        last_g = None        # tuple of the previous row's group values
+        last_v = None
+        last_pos = 0
+        last_rank = 0
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            idx = np.arange(n)
+            new_g = np.zeros(n, dtype=bool)
+            for c in group_cols:
+                col = pdf[c]
+                new_g |= ~_same(col, col.shift(1))
+            v = pdf[order_col]
+            new_v = ~_same(v, v.shift(1))
+            if last_g is None:
+                new_g[0] = True
+            else:
+                first = tuple(pdf[c].iloc[0] for c in group_cols)
+                new_g[0] = not all((x == y) or (pd.isna(x) and pd.isna(y))
+                                   for x, y in zip(first, last_g))
+                v0 = v.iloc[0]
+                new_v[0] = not ((v0 == last_v) or (pd.isna(v0) and pd.isna(last_v)))
+            new_v |= new_g
+            start = np.maximum.accumulate(np.where(new_g, idx, -1))
+            pos = np.where(start >= 0, idx - start + 1, last_pos + idx + 1).astype(np.int64)
+            rank = pd.Series(np.where(new_v, pos, np.nan))
+            if not new_v[0]:
+                rank.iloc[0] = last_rank
+            rank = rank.ffill().astype("int64").to_numpy()
+            last_g = tuple(pdf[c].iloc[-1] for c in group_cols)
+            last_v, last_pos, last_rank = v.iloc[-1], int(pos[-1]), int(rank[-1])
+            yield pdf.assign(_pos=pos, _lrank=rank)
+    return run
+
+
+def distributed_rank_within(df: DataFrame, group_cols: list[str], order_col: str,
+                            rank_col: str, ascending: bool = False,
+                            num_partitions: int | None = None) -> DataFrame:
+    """RANK() OVER (PARTITION BY group_cols ORDER BY order_col) for groups of any
+    size, including one group holding most rows.
+
+    Rows are range-partitioned on (group, value), so a large group spans several
+    consecutive partitions. Each partition is ranked in one pass; a group that
+    continues from earlier partitions gets, as offset, the rows it has there:
+    the sum of `n_last` of the earlier partitions whose last group is this
+    partition's first group. That summary has one row per partition (bounded by
+    the partition count), so it is broadcast."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = (F.col(order_col).asc_nulls_last() if ascending
-           else F.col(order_col).desc_nulls_last())
-    parts = (df.repartitionByRange(n, key).sortWithinPartitions(key)
+    vkey = (F.col(order_col).asc_nulls_last() if ascending
+            else F.col(order_col).desc_nulls_last())
+    keys = [F.col(c).asc_nulls_first() for c in group_cols] + [vkey]
+    parts = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
              .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(parts.schema.fields + [T.StructField("_lrank", T.LongType())])
-    local = written(parts.mapInPandas(_local_rank_fn(order_col), schema), "rank")
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    schema = T.StructType(parts.schema.fields + [T.StructField("_pos", T.LongType()),
+                                                 T.StructField("_lrank", T.LongType())])
+    local = written(parts.mapInPandas(_local_group_rank_fn(group_cols, order_col), schema),
+                    "rank")
+    g = F.struct(*[F.col(c) for c in group_cols]) if group_cols else F.lit(0)
+    summary = local.groupBy("_pid").agg(
+        F.min(g).alias("_first"), F.max(g).alias("_last"),
+        F.max_by("_pos", F.struct(g, F.col("_pos"))).alias("_n_last"))
+    p = summary.select("_pid", "_first")
+    q = summary.select(F.col("_pid").alias("_qpid"), "_last", "_n_last")
+    offsets = (p.join(F.broadcast(q), (q["_last"] == p["_first"]) & (q["_qpid"] < p["_pid"]),
+                      "left")
+               .groupBy("_pid", "_first")
+               .agg(F.coalesce(F.sum("_n_last"), F.lit(0)).alias("_off")))
     out = local.join(F.broadcast(offsets), "_pid")
-    return out.select(*[F.col(c) for c in df.columns],
-                      (F.col("_off") + F.col("_lrank")).cast("int").alias(rank_col))
+    rank = F.col("_lrank") + F.when(g == F.col("_first"), F.col("_off")).otherwise(0)
+    return out.select(*[F.col(c) for c in df.columns], rank.cast("int").alias(rank_col))
+
+
+def rank_within(df: DataFrame, group_cols: list[str], order_col: str, rank_col: str,
+                ascending: bool = False, num_partitions: int | None = None,
+                single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """RANK() OVER (PARTITION BY group_cols ORDER BY order_col): a plain window
+    when the whole input is proven to hold at most `single_task_rows` rows (so
+    no group can be larger), the range-partitioned rank otherwise."""
+    key = (F.col(order_col).asc_nulls_last() if ascending
+           else F.col(order_col).desc_nulls_last())
+    if single_task_rows and at_most(df, single_task_rows):
+        w = Window.partitionBy(*group_cols).orderBy(key)
+        return df.withColumn(rank_col, F.rank().over(w).cast("int"))
+    return distributed_rank_within(df, group_cols, order_col, rank_col, ascending,
+                                   num_partitions)
 
 
 def grand_total(df: DataFrame, col: str) -> Column:

@@ -14,7 +14,8 @@ from ..functions import calendar as cal
 from ..functions.money import (avg_amount, cents_to_amount, pct_2dp, ratio_amount,
                                to_cents)
 from ..operators.materialize import written
-from ..operators.ranking import global_rank, grand_total
+from ..operators.ranking import (SINGLE_TASK_ROWS, at_most, distributed_rank_within,
+                                 global_rank, grand_total)
 
 DAILY_KEYS = ["transaction_date", "shop_id", "shop_name", "city", "day_of_week",
               "day_type", "australian_season", "month_name", "month_number", "year",
@@ -89,24 +90,41 @@ def product_aggregates(stg: DataFrame) -> DataFrame:
     )
 
 
-def top_products(stg: DataFrame) -> DataFrame:
+def top_products(stg: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """E2 + F1–F3: product metrics with two in-shop ranks and the share of the
-    shop's revenue. The windows are partitioned by shop, so each task holds the
-    product rows of its shops only (one exchange, shared by all three windows)."""
-    g = product_aggregates(stg)
-    by_shop = Window.partitionBy("shop_id")
-    return g.select(
+    shop's revenue.
+
+    The (shop, product) aggregate is written once. When it provably holds at
+    most `single_task_rows` rows, the three windows run partitioned by shop
+    (one exchange). Otherwise no shop's products are gathered in one task: both
+    ranks use the range-partitioned per-group rank and the shop total comes
+    from a shop-level aggregate joined back on shop_id."""
+    g = written(product_aggregates(stg), "product_aggregates")
+    if at_most(g, single_task_rows):
+        by_shop = Window.partitionBy("shop_id")
+        ranked = g.select(
+            "*",
+            F.rank().over(by_shop.orderBy(F.desc("_sum"))).alias("revenue_rank_in_shop"),
+            F.rank().over(by_shop.orderBy(F.desc("total_transactions")))
+             .alias("popularity_rank_in_shop"),
+            F.sum("_sum").over(by_shop).alias("_shop_sum"))
+    else:
+        totals = g.groupBy("shop_id").agg(F.sum("_sum").alias("_shop_sum"))
+        r = distributed_rank_within(g, ["shop_id"], "_sum", "revenue_rank_in_shop")
+        r = distributed_rank_within(r, ["shop_id"], "total_transactions",
+                                    "popularity_rank_in_shop")
+        ranked = r.join(totals, "shop_id")
+    return ranked.select(
         *PRODUCT_KEYS,
         "total_transactions", "total_units_sold",
         cents_to_amount("_sum").alias("total_revenue"),
         avg_amount("_sum", "_n").alias("avg_sale_value"),
         avg_amount("_price_sum", "_price_n").alias("avg_unit_price"),
-        F.rank().over(by_shop.orderBy(F.desc("_sum"))).alias("revenue_rank_in_shop"),
-        F.rank().over(by_shop.orderBy(F.desc("total_transactions")))
-         .alias("popularity_rank_in_shop"),
+        F.col("revenue_rank_in_shop").cast("int").alias("revenue_rank_in_shop"),
+        F.col("popularity_rank_in_shop").cast("int").alias("popularity_rank_in_shop"),
         cents_to_amount("_we").alias("weekend_revenue"),
         cents_to_amount("_wd").alias("weekday_revenue"),
-        pct_2dp(F.col("_sum"), F.sum("_sum").over(by_shop)).alias("pct_of_shop_revenue"),
+        pct_2dp(F.col("_sum"), F.col("_shop_sum")).alias("pct_of_shop_revenue"),
         F.current_timestamp().alias("updated_at"),
         F.col("_sum").alias("revenue_cents"),
     )

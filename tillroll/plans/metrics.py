@@ -3,13 +3,13 @@ gap-filled calendar spine (D3) and seasonally adjusted revenue (B17)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.money import (avg_amount, cents_to_amount, half_up_div, pct_2dp,
                                to_cents)
-from ..operators.ranking import global_rank, grand_max
+from ..operators.ranking import global_rank, grand_max, rank_within
 from .serving import revenue_by_weekday
 
 
@@ -44,10 +44,12 @@ def peer_ratio(shop_mart: DataFrame) -> DataFrame:
 
 
 def bottom_products(top: DataFrame) -> DataFrame:
-    """M4: the lowest-revenue product(s) of each shop (ascending rank = 1)."""
-    cents = to_cents("total_revenue")
-    w = Window.partitionBy("shop_id").orderBy(cents.asc())
-    return (top.withColumn("_r", F.rank().over(w)).filter(F.col("_r") == 1)
+    """M4: the lowest-revenue product(s) of each shop (ascending rank = 1), by
+    the size-checked per-shop rank."""
+    base = top.select("shop_id", "shop_name", "product_name", "category",
+                      "total_revenue", to_cents("total_revenue").alias("_c"))
+    r = rank_within(base, ["shop_id"], "_c", "_r", ascending=True)
+    return (r.filter(F.col("_r") == 1)
             .select("shop_id", "shop_name", "product_name", "category", "total_revenue"))
 
 
