@@ -351,7 +351,8 @@ def warehouse_shop_performance(spark, sf_dir):
 _STREAMS: dict = {}
 # The fixture's events span 30 days and the second landing replays rows from the
 # whole span, so the watermark delay must cover it.
-_FIXTURE_STREAM = ingest.StreamConfig(watermark="40 days")
+# The events table is small, so its state needs only a few partitions.
+_FIXTURE_STREAM = ingest.StreamConfig(watermark="40 days", state_partitions=4)
 
 
 def _replayed(spark, sf_dir):

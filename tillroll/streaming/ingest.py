@@ -60,6 +60,38 @@ class StreamConfig:
     window: str = "1 day"
     max_files_per_trigger: int = 1       # landing files per micro-batch (silver)
     gold_max_files_per_trigger: int | None = None   # silver files per batch; None = all
+    # State partitions are fixed into the checkpoint when a query first starts;
+    # size them to the state volume (None keeps the session's shuffle setting).
+    state_partitions: int | None = None
+    # RocksDB keeps large dedup / window state off the JVM heap.
+    state_store: str | None = (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+class _StreamConf:
+    """Applies the stream's SQL settings while a query is started, then restores."""
+
+    def __init__(self, spark: SparkSession, cfg: "StreamConfig"):
+        self.spark, self.cfg, self.saved = spark, cfg, {}
+
+    def __enter__(self):
+        want = {}
+        if self.cfg.state_partitions:
+            want["spark.sql.shuffle.partitions"] = str(self.cfg.state_partitions)
+        if self.cfg.state_store:
+            want["spark.sql.streaming.stateStore.providerClass"] = self.cfg.state_store
+        for k, v in want.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
 
 
 def events_as_transactions(events: DataFrame, p: Params | None = None) -> DataFrame:
@@ -125,10 +157,11 @@ class IncrementalPipeline:
                .option("maxFilesPerTrigger", self.cfg.max_files_per_trigger)
                .parquet(self.landing))
         out = dedup_stream(events_as_transactions(src), self.cfg)
-        q = (out.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", self._ckpt("silver"))
-             .trigger(availableNow=True).start(self.silver))
-        q.awaitTermination()
+        with _StreamConf(self.spark, self.cfg):
+            q = (out.writeStream.format("parquet").outputMode("append")
+                 .option("checkpointLocation", self._ckpt("silver"))
+                 .trigger(availableNow=True).start(self.silver))
+            q.awaitTermination()
         return q
 
     def silver_schema(self) -> T.StructType:
@@ -150,10 +183,11 @@ class IncrementalPipeline:
                           "approx_customers")
              .write.mode("overwrite").parquet(f"{gold}/batch_id={batch_id}"))
 
-        q = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
-             .option("checkpointLocation", self._ckpt("gold"))
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
+        with _StreamConf(self.spark, self.cfg):
+            q = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
+                 .option("checkpointLocation", self._ckpt("gold"))
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
         return q
 
     def latest_windows(self) -> DataFrame:
