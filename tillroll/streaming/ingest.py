@@ -97,18 +97,25 @@ class _StreamConf:
 def events_as_transactions(events: DataFrame, p: Params | None = None) -> DataFrame:
     """Map an event row to the transaction shape and apply the row-level cleaning
     rules (J1). Works on batch and streaming DataFrames alike."""
+    # The NTZ wall clock read as UTC, whatever the session time zone is, so
+    # day windows and dates do not move with the session setting.
+    ts = F.col("ts")
+    utc_instant = F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                   F.minute(ts), F.date_part(F.lit("SECOND"), ts),
+                                   F.lit("UTC"))
     t = events.select(
         F.col("event_id").cast("string").alias("transaction_id"),
-        F.col("ts").cast("timestamp").alias("event_time"),
+        utc_instant.alias("event_time"),
+        F.col("ts").cast("date").alias("_ntz_date"),
         F.col("event_type").alias("shop_id"),
         F.col("user_id").cast("string").alias("customer_id"),
         to_cents("value").alias("total_cents"),
     )
     t = t.filter(F.col("transaction_id").isNotNull() & F.col("event_time").isNotNull()
                  & F.col("shop_id").isNotNull() & (F.col("total_cents") > 0))
-    d = F.to_date("event_time")
-    out = t.select("*", d.alias("date"), cal.day_name(d).alias("day_of_week"),
-                   cal.is_weekend(d).alias("is_weekend"))
+    d = F.col("_ntz_date")
+    out = t.select(*[c for c in t.columns if c != "_ntz_date"], d.alias("date"),
+                   cal.day_name(d).alias("day_of_week"), cal.is_weekend(d).alias("is_weekend"))
     if p is not None:
         out = out.withColumn("revenue_category", cal.revenue_category(
             "total_cents", p.low_cents, p.medium_cents))
@@ -233,7 +240,10 @@ def replay_fixture(spark: SparkSession, sf_dir: str, cfg: StreamConfig) -> Incre
 
 def stream_daily_result(pipe: IncrementalPipeline) -> DataFrame:
     w = pipe.latest_windows()
-    return w.select(F.to_date("window_start").alias("window_date"), "shop_id",
+    # UTC day of the window start from epoch seconds (no session time zone)
+    day = F.date_add(F.lit("1970-01-01").cast("date"),
+                     F.floor(F.unix_seconds("window_start") / 86400).cast("int"))
+    return w.select(day.alias("window_date"), "shop_id",
                     cents_to_amount("revenue_cents").alias("revenue"),
                     "transactions",
                     cents_to_amount("min_cents").alias("min_transaction_value"),
