@@ -10,12 +10,25 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# English weekday names (Sunday first, as dayofweek numbers them)
+# and month names, as the reference's date_format patterns EEEE / MMMM render them.
+DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July",
+               "August", "September", "October", "November", "December"]
+
+
+def _lookup(names: list[str], idx: Column) -> Column:
+    # explicit NULL guard: element_at with a NULL index is not NULL in generated code
+    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in names]), idx))
+
+
 def day_name(d) -> Column:
-    return F.date_format(_c(d), "EEEE")
+    """English weekday name (a lookup by weekday number, no date formatter)."""
+    return _lookup(DAY_NAMES, F.dayofweek(_c(d)))
 
 
 def month_name(d) -> Column:
-    return F.date_format(_c(d), "MMMM")
+    return _lookup(MONTH_NAMES, F.month(_c(d)))
 
 
 def is_weekend(d) -> Column:

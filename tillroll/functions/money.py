@@ -30,11 +30,19 @@ def cents_to_amount(cents) -> Column:
     return _c(cents).cast("double") / 100
 
 
-def half_up_div(num, den) -> Column:
-    """round(num / den) half-up in integers: (2·num + den) div (2·den) → BIGINT."""
-    n = _c(num).cast(_WIDE)
-    d = _c(den).cast(_WIDE)
-    return F.when(d > 0, F.call_function("div", n * 2 + d, d * 2))
+def half_up_div(num, den, scale: int = 1) -> Column:
+    """round(num · scale / den) half-up in integers, (2·num·scale + den) div
+    (2·den) → BIGINT; NULL when den <= 0.
+
+    BIGINT arithmetic with overflow checks (`try_*` gives NULL on overflow)
+    covers every realistic amount; only an overflowing row takes the
+    DECIMAL(38,0) path (`coalesce` evaluates it lazily)."""
+    n, d = _c(num).cast("bigint"), _c(den).cast("bigint")
+    top = F.try_add(F.try_multiply(n, F.lit(2 * scale)), d)
+    fast = F.call_function("div", top, F.try_multiply(d, F.lit(2)))
+    nw, dw = n.cast(_WIDE), d.cast(_WIDE)
+    wide = F.call_function("div", nw * (2 * scale) + dw, dw * 2)
+    return F.when(d > 0, F.coalesce(fast, wide))
 
 
 def avg_amount(sum_cents, count) -> Column:
@@ -49,14 +57,11 @@ def ratio_amount(sum_cents, den) -> Column:
 
 def pct_2dp(num, den) -> Column:
     """ROUND(num * 100.0 / den, 2) → DOUBLE, exact for integer num/den (counts or cents)."""
-    return half_up_div(_c(num).cast(_WIDE) * 10000, den).cast("double") / 100
+    return half_up_div(num, den, 10000).cast("double") / 100
 
 
 def pct_0dp(num, den) -> Column:
     """ROUND(num * 100 / den) → DOUBLE whole percent."""
-    return half_up_div(_c(num).cast(_WIDE) * 100, den).cast("double")
+    return half_up_div(num, den, 100).cast("double")
 
 
-def scaled_half_up(cents, numer: Column, denom: Column) -> Column:
-    """half-up(cents · numer / denom) → BIGINT cents (integer factor ratios)."""
-    return half_up_div(_c(cents).cast(_WIDE) * numer, denom)

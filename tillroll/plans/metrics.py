@@ -40,7 +40,7 @@ def peer_ratio(shop_mart: DataFrame) -> DataFrame:
     top = grand_max(shop_mart.select(avg_c.alias("_a")), "_a")
     return shop_mart.select(
         "shop_id", "shop_name", "avg_transaction_value",
-        (half_up_div(avg_c * 100, top).cast("double") / 100).alias("ratio_to_top_avg"))
+        (half_up_div(avg_c, top, 100).cast("double") / 100).alias("ratio_to_top_avg"))
 
 
 def bottom_products(top: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def customers_per_shop(shop_mart: DataFrame, stg: DataFrame) -> DataFrame:
     distinct_all = stg.select(F.countDistinct("customer_id")).scalar()
     return per_shop.select(
         F.col("_n").alias("shops"),
-        (half_up_div(F.col("_s") * 100, F.col("_n")).cast("double") / 100)
+        (half_up_div("_s", "_n", 100).cast("double") / 100)
         .alias("avg_customers_per_shop"),
         distinct_all.alias("distinct_customers"))
 
@@ -148,5 +148,5 @@ def seasonally_adjusted_daily(daily: DataFrame) -> DataFrame:
     return daily.select(
         "transaction_date", "shop_id", "daily_revenue",
         (f.cast("double") / 1000).alias("demand_factor"),
-        cents_to_amount(half_up_div(F.col("revenue_cents") * 1000, f))
+        cents_to_amount(half_up_div("revenue_cents", f, 1000))
         .alias("adjusted_revenue"))
