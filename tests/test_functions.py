@@ -84,3 +84,9 @@ def test_display_formats(spark):
     assert r.c == "12,345"
     assert r.d == "$1083K"
     assert r.e == "48.7%"
+
+
+def test_padded_id_never_truncates(spark):
+    df = spark.createDataFrame([(7,), (123456,), (1234567,)], "n long")
+    assert [r.s for r in df.select(fmt.padded_id("SHOP", "n").alias("s")).collect()] == \
+        ["SHOP000007", "SHOP123456", "SHOP1234567"]

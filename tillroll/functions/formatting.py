@@ -41,3 +41,11 @@ def percent_1dp(hundredths) -> Column:
     tenths = half_up_div(hundredths, F.lit(10))
     return F.concat((tenths.cast("decimal(20,0)") / 10).cast("decimal(20,1)").cast("string"),
                     F.lit("%"))
+
+
+def padded_id(prefix: str, n, width: int = 6) -> Column:
+    """prefix + the number zero-padded to `width` digits, never truncated
+    (printf '%0{width}d' for non-negative numbers, without a formatter per row)."""
+    t = _c(n).cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(t) >= width, t)
+                    .otherwise(F.lpad(t, width, "0")))

@@ -41,14 +41,16 @@ def at_most(df: DataFrame, n: int) -> bool:
 
 def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = False,
                 num_partitions: int | None = None,
-                single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                single_task_rows: int | None = SINGLE_TASK_ROWS,
+                known_small: bool = False) -> DataFrame:
     """Adds `rank_col` (INT) = RANK() OVER (ORDER BY order_col [ASC|DESC] NULLS LAST).
 
     `df` should be cheap to read twice (a written table or a small aggregate):
-    the size check reads it once."""
+    the size check reads it once. `known_small` says the caller has already
+    proven the row bound (e.g. on the input of an aggregate)."""
     key = (F.col(order_col).asc_nulls_last() if ascending
            else F.col(order_col).desc_nulls_last())
-    if single_task_rows and at_most(df, single_task_rows):
+    if known_small or (single_task_rows and at_most(df, single_task_rows)):
         return df.withColumn(rank_col, F.rank().over(Window.orderBy(key)).cast("int"))
     return distributed_rank(df, order_col, rank_col, ascending, num_partitions)
 

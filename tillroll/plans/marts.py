@@ -99,8 +99,12 @@ def top_products(stg: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> Da
     (one exchange). Otherwise no shop's products are gathered in one task: both
     ranks use the range-partitioned per-group rank and the shop total comes
     from a shop-level aggregate joined back on shop_id."""
-    g = written(product_aggregates(stg), "product_aggregates")
-    if at_most(g, single_task_rows):
+    # If staging itself has at most N rows, so has the aggregate: no need to
+    # write it before the windows. Otherwise it is written once and checked.
+    small_input = at_most(stg, single_task_rows)
+    g = product_aggregates(stg) if small_input else written(
+        product_aggregates(stg), "product_aggregates")
+    if small_input or at_most(g, single_task_rows):
         by_shop = Window.partitionBy("shop_id")
         ranked = g.select(
             "*",
@@ -167,9 +171,13 @@ def shop_performance(stg: DataFrame) -> DataFrame:
     """E3 + F4/F5: the shop mart. The global rank is computed by range
     partitioning (operators.ranking), the share of the grand total from a
     scalar subquery — no step gathers all shops into one task."""
-    # The aggregate is written once: the size check of the rank, the grand total
-    # and the rank itself then read the small written table, not the staging data.
-    g = written(shop_aggregates(stg), "shop_aggregates")
+    # On a large input the aggregate is written once: the size check of the
+    # rank, the grand total and the rank then read that small table. If staging
+    # has at most N rows (so has the aggregate), it stays lazy.
+    small_input = at_most(stg, SINGLE_TASK_ROWS)
+    g = shop_aggregates(stg)
+    if not small_input:
+        g = written(g, "shop_aggregates")
     total = grand_total(g, "_sum")
     m = g.select(
         *SHOP_KEYS,
@@ -190,7 +198,9 @@ def shop_performance(stg: DataFrame) -> DataFrame:
         pct_2dp(F.col("_sum"), total).alias("pct_of_total_revenue"),
         F.col("_sum").alias("revenue_cents"),
     )
-    ranked = global_rank(m, "revenue_cents", "revenue_rank")
+    ranked = global_rank(m, "revenue_cents", "revenue_rank",
+                         single_task_rows=None if small_input else SINGLE_TASK_ROWS,
+                         known_small=small_input)
     return ranked.select(*SHOP_PERFORMANCE_COLUMNS[:-2], "revenue_rank",
                          "pct_of_total_revenue",
                          F.current_timestamp().alias("updated_at"), "revenue_cents")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.formatting import padded_id
 from ..sources.schema import TYPED_SCHEMA
 
 
@@ -40,7 +41,7 @@ def shops(spark: SparkSession, sf_dir: str) -> DataFrame:
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (sup.join(nat, sup.s_nationkey == nat.n_nationkey)
             .select(F.col("s_suppkey"),
-                    F.format_string("SHOP%06d", "s_suppkey").alias("shop_id"),
+                    padded_id("SHOP", "s_suppkey").alias("shop_id"),
                     F.col("s_name").alias("shop_name"),
                     F.col("n_name").alias("city")))
 
@@ -62,7 +63,7 @@ def typed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(pt, li.l_partkey == pt.p_partkey)
          .join(sup, li.l_suppkey == sup.s_suppkey)
          .join(nat, sup.s_nationkey == nat.n_nationkey)
-         .withColumn("shop_id", F.format_string("SHOP%06d", "s_suppkey"))
+         .withColumn("shop_id", padded_id("SHOP", "s_suppkey"))
          .withColumnRenamed("s_name", "shop_name")
          .withColumnRenamed("n_name", "city"))
     out = j.select(
@@ -76,7 +77,7 @@ def typed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("p_retailprice").alias("unit_price"),
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("total_cents"),
-        F.format_string("CUST%06d", "o_custkey").alias("customer_id"),
+        padded_id("CUST", "o_custkey").alias("customer_id"),
         F.when(F.col("o_orderkey") % 4 == 1, "cash").otherwise("card")
          .alias("payment_method"),
     )
