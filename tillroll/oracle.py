@@ -320,6 +320,11 @@ def serving_oracle_sql(p: Params = FIXTURE) -> dict[str, str]:
   avg_transaction_value, unique_customers, revenue_per_customer, weekend_revenue,
   weekday_revenue, card_payment_pct, revenue_rank, pct_of_total_revenue
 FROM shop_performance ORDER BY revenue_rank, shop_id"""
+    q["report_shops"] = mp + """SELECT shop_name, city, total_revenue, total_transactions,
+  avg_transaction_value, unique_customers, revenue_per_customer, weekend_revenue,
+  weekday_revenue, card_payment_pct, high_value_transactions, medium_value_transactions,
+  low_value_transactions, revenue_rank, pct_of_total_revenue
+FROM shop_performance ORDER BY revenue_rank, shop_name"""
     q["shop_by_id"] = mp + """SELECT * EXCLUDE (revenue_cents) FROM shop_performance
 WHERE shop_id = upper('shop000007')"""
     q["recent_daily"] = mp + """SELECT transaction_date, shop_id, shop_name, daily_revenue,

@@ -27,6 +27,19 @@ def shops(shop_mart: DataFrame) -> DataFrame:
     return shop_mart.select(*SHOP_LIST_COLUMNS).orderBy("revenue_rank", "shop_id")
 
 
+REPORT_SHOP_COLUMNS = [
+    "shop_name", "city", "total_revenue", "total_transactions", "avg_transaction_value",
+    "unique_customers", "revenue_per_customer", "weekend_revenue", "weekday_revenue",
+    "card_payment_pct", "high_value_transactions", "medium_value_transactions",
+    "low_value_transactions", "revenue_rank", "pct_of_total_revenue",
+]
+
+
+def report_shops(shop_mart: DataFrame) -> DataFrame:
+    """V8: the report loader's wide shop list (15 columns), by revenue rank."""
+    return shop_mart.select(*REPORT_SHOP_COLUMNS).orderBy("revenue_rank", "shop_name")
+
+
 def shop_by_id(shop_mart: DataFrame, shop_id: str) -> DataFrame:
     """V2 `/shops/{id}`: case-folded point lookup; an empty result means not found.
     The argument is a bound literal, never spliced into SQL text."""

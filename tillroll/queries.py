@@ -130,6 +130,10 @@ def shops(spark, sf_dir):
     return serving.shops(_shop_mart(spark, sf_dir))
 
 
+def report_shops(spark, sf_dir):
+    return serving.report_shops(_shop_mart(spark, sf_dir))
+
+
 def shop_by_id(spark, sf_dir):
     """V2 with a lower-case argument that must fold to upper case."""
     return _public(serving.shop_by_id(_shop_mart(spark, sf_dir), "shop000007"))
@@ -391,6 +395,7 @@ QUERIES = {
     "top_products": top_products,
     "shop_performance": shop_performance,
     "shops": shops,
+    "report_shops": report_shops,
     "shop_by_id": shop_by_id,
     "recent_daily": recent_daily,
     "revenue_by_weekday": revenue_by_weekday,
