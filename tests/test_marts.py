@@ -147,3 +147,11 @@ def test_top_products_large_path_equals_window_path(layers):
     small = layers["top"].drop("updated_at")
     large = marts.top_products(layers["stg"], single_task_rows=10).drop("updated_at")
     assert sorted(small.collect()) == sorted(large.collect())
+
+
+def test_shop_lookup_sql_is_parameterised(layers):
+    shop = layers["shop"]
+    sid = shop.select("shop_id").first().shop_id
+    assert serving.shop_by_id_sql(shop, sid.lower()).count() == 1
+    assert serving.shop_by_id_sql(shop, "x' OR '1'='1").count() == 0
+    assert serving.shop_by_id(shop, sid.lower()).count() == 1

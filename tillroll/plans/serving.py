@@ -46,6 +46,15 @@ def shop_by_id(shop_mart: DataFrame, shop_id: str) -> DataFrame:
     return shop_mart.filter(F.col("shop_id") == F.upper(F.lit(shop_id)))
 
 
+def shop_by_id_sql(shop_mart: DataFrame, shop_id: str,
+                   view: str = "shop_performance") -> DataFrame:
+    """V2 through the SQL API: the argument is a named parameter marker, so a
+    value such as `x' OR '1'='1` is compared as text, never executed."""
+    shop_mart.createOrReplaceTempView(view)
+    return shop_mart.sparkSession.sql(
+        f"SELECT * FROM {view} WHERE shop_id = upper(:shop_id)", args={"shop_id": shop_id})
+
+
 def recent_daily(daily: DataFrame, limit: int = 100) -> DataFrame:
     """V3 `/revenue/daily`: the latest `limit` shop-days; shop_id breaks date ties
     so the answer is deterministic (distributed top-k, no global sort)."""
