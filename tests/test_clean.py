@@ -15,7 +15,7 @@ def _raw(spark, rows):
 
 def row(tid, date="2025-03-01", time="09:15", qty="2", price="10.00", total="20.00",
         product="Milk", customer="CUST0001"):
-    return (tid, date, time, "SHOP001", "Shop", "Sydney", product, "Grocery", qty, price,
+    return (tid, date, time, "SHOP001", "Shop", "Harbourtown", product, "Grocery", qty, price,
             total, customer, "card")
 
 

@@ -72,14 +72,14 @@ def test_demand_factor(spark):
 
 
 def test_display_formats(spark):
-    df = spark.createDataFrame([("Sydney Fresh Groceries", 108345650, 12345, 4871)],
+    df = spark.createDataFrame([("Harbour Fresh Groceries", 108345650, 12345, 4871)],
                                "name string, cents long, n long, pct_h long")
     r = df.select(fmt.first_space_to_newline("name").alias("a"),
                   fmt.currency_0dp("cents").alias("b"),
                   fmt.thousands("n").alias("c"),
                   fmt.thousands_label("cents").alias("d"),
                   fmt.percent_1dp("pct_h").alias("e")).first()
-    assert r.a == "Sydney\nFresh Groceries"
+    assert r.a == "Harbour\nFresh Groceries"
     assert r.b == "$1,083,457"
     assert r.c == "12,345"
     assert r.d == "$1083K"

@@ -18,7 +18,7 @@ def test_csv_read_keeps_malformed_line(spark, tmp_path):
     p.write_text(
         "transaction_id,date,time,shop_id,shop_name,city,product_name,category,quantity,"
         "unit_price,total_amount,customer_id,payment_method\n"
-        "TXN000001,2025-03-01,09:15,SHOP001,Shop,Sydney,Milk,Grocery,2,3.50,7.00,CUST0001,card\n"
+        "TXN000001,2025-03-01,09:15,SHOP001,Shop,Harbourtown,Milk,Grocery,2,3.50,7.00,CUST0001,card\n"
         "TXN000002,2025-03-01,\"unterminated\n")
     df = files.read_raw_csv(spark, str(tmp_path)).cache()
     assert df.count() == 2
@@ -86,17 +86,17 @@ def test_stream_drops_rows_beyond_watermark(spark):
     root = scratch_path(spark, "test_stream")
     landing = f"{root}/landing"
     cfg = ingest.StreamConfig(watermark="1 hour")
-    pipe = ingest.IncrementalPipeline(spark, landing, root, cfg)
+    job = ingest.IncrementalIngest(spark, landing, root, cfg)
     schema = ingest.EVENT_SCHEMA
     first = [(1, dt.datetime(2024, 1, 5, 12, 0), 1, "shopA", 5.0, None)]
     late = [(2, dt.datetime(2024, 1, 1, 12, 0), 1, "shopA", 7.0, None),
             (1, dt.datetime(2024, 1, 5, 12, 0), 1, "shopA", 5.0, None)]   # replay
     spark.createDataFrame(first, schema).write.parquet(f"{landing}/a")
-    pipe.landing = f"{landing}/*"
-    pipe.run_silver()
+    job.landing = f"{landing}/*"
+    job.run_silver()
     spark.createDataFrame(late, schema).write.parquet(f"{landing}/b")
-    q = pipe.run_silver()
-    silver = spark.read.schema(pipe.silver_schema()).parquet(pipe.silver)
+    q = job.run_silver()
+    silver = spark.read.schema(job.silver_schema()).parquet(job.silver)
     assert [r.transaction_id for r in silver.collect()] == ["1"]
     assert ingest.late_rows_dropped(q) >= 1
 

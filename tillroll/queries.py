@@ -369,8 +369,8 @@ def _replayed(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """J1 + J2: events landed twice with overlap, cleaned and de-duplicated by
     two incremental runs; the silver table holds every event once."""
-    pipe = _replayed(spark, sf_dir)
-    s = spark.read.schema(pipe.silver_schema()).parquet(pipe.silver)
+    job = _replayed(spark, sf_dir)
+    s = spark.read.schema(job.silver_schema()).parquet(job.silver)
     return s.select("transaction_id", "date", "shop_id", "customer_id",
                     cents_to_amount("total_cents").alias("total_amount"),
                     "day_of_week", "is_weekend")

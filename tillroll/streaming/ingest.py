@@ -141,7 +141,7 @@ def windowed_revenue(tx: DataFrame, cfg: StreamConfig) -> DataFrame:
 
 
 @dataclass
-class IncrementalPipeline:
+class IncrementalIngest:
     """Folders of one deployment: landing (input files), silver, gold, checkpoints."""
     spark: SparkSession
     landing: str
@@ -219,27 +219,27 @@ def late_rows_dropped(query) -> int:
     return total
 
 
-def replay_fixture(spark: SparkSession, sf_dir: str, cfg: StreamConfig) -> IncrementalPipeline:
+def replay_fixture(spark: SparkSession, sf_dir: str, cfg: StreamConfig) -> IncrementalIngest:
     """Lands the events table as two overlapping halves in two separate runs
     (ids ending 0–8, then ids ending 8–9), so the second run replays a tenth of
     the first run's rows, and runs both stages after each landing."""
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     root = scratch_path(spark, "stream")
     landing = f"{root}/landing"
-    pipe = IncrementalPipeline(spark, landing, root, cfg)
+    job = IncrementalIngest(spark, landing, root, cfg)
     halves = [events.filter(F.col("event_id") % 10 < 9),
               events.filter(F.col("event_id") % 10 >= 8)]
     for i, half in enumerate(halves):
         (half.repartitionByRange(4, "ts").write.mode("overwrite")
          .parquet(f"{landing}/part{i}"))
-        pipe.landing = f"{landing}/part*"
-        pipe.run_silver()
-        pipe.run_gold()
-    return pipe
+        job.landing = f"{landing}/part*"
+        job.run_silver()
+        job.run_gold()
+    return job
 
 
-def stream_daily_result(pipe: IncrementalPipeline) -> DataFrame:
-    w = pipe.latest_windows()
+def stream_daily_result(job: IncrementalIngest) -> DataFrame:
+    w = job.latest_windows()
     # UTC day of the window start from epoch seconds (no session time zone)
     day = F.date_add(F.lit("1970-01-01").cast("date"),
                      F.floor(F.unix_seconds("window_start") / 86400).cast("int"))
