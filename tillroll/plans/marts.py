@@ -178,7 +178,13 @@ def shop_performance(stg: DataFrame) -> DataFrame:
     g = shop_aggregates(stg)
     if not small_input:
         g = written(g, "shop_aggregates")
-    total = grand_total(g, "_sum")
+    # grand total: on a proven-small aggregate a whole-table window (no second
+    # computation of the aggregate); otherwise a scalar subquery over the
+    # written table, bound to a column once (the half-up helper references its
+    # divisor several times)
+    total = (F.sum("_sum").over(Window.partitionBy()) if small_input
+             else grand_total(g, "_sum"))
+    g = g.withColumn("_total", total)
     m = g.select(
         *SHOP_KEYS,
         cents_to_amount("_sum").alias("total_revenue"),
@@ -195,7 +201,7 @@ def shop_performance(stg: DataFrame) -> DataFrame:
         "cash_transactions", "card_transactions",
         pct_2dp("card_transactions", "total_transactions").alias("card_payment_pct"),
         "high_value_transactions", "medium_value_transactions", "low_value_transactions",
-        pct_2dp(F.col("_sum"), total).alias("pct_of_total_revenue"),
+        pct_2dp(F.col("_sum"), F.col("_total")).alias("pct_of_total_revenue"),
         F.col("_sum").alias("revenue_cents"),
     )
     ranked = global_rank(m, "revenue_cents", "revenue_rank",

@@ -38,9 +38,10 @@ def peer_ratio(shop_mart: DataFrame) -> DataFrame:
     The maximum is one value from a scalar subquery."""
     avg_c = to_cents("avg_transaction_value")
     top = grand_max(shop_mart.select(avg_c.alias("_a")), "_a")
-    return shop_mart.select(
+    return shop_mart.withColumn("_top", top).select(
         "shop_id", "shop_name", "avg_transaction_value",
-        (half_up_div(avg_c, top, 100).cast("double") / 100).alias("ratio_to_top_avg"))
+        (half_up_div(avg_c, F.col("_top"), 100).cast("double") / 100)
+        .alias("ratio_to_top_avg"))
 
 
 def bottom_products(top: DataFrame) -> DataFrame:

@@ -150,9 +150,9 @@ def shop_bars(shop_mart: DataFrame) -> DataFrame:
     The maximum is a scalar subquery (one value), not a global window."""
     cents = to_cents("total_revenue")
     top = grand_max(shop_mart.select(cents.alias("_c")), "_c")
-    return shop_mart.select(
+    return shop_mart.withColumn("_top", top).select(
         "shop_id", "shop_name", "total_revenue", "revenue_rank",
-        pct_0dp(cents, top).alias("bar_pct"),
+        pct_0dp(cents, F.col("_top")).alias("bar_pct"),
         F.when(F.col("revenue_rank") <= 3,
                F.concat(F.lit("rank-"), F.col("revenue_rank").cast("string")))
          .otherwise("rank-other").alias("badge_class"))

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.money import avg_amount, cents_to_amount
+from .functions import formatting as fmt
+from .functions.money import avg_amount, cents_to_amount, to_cents
 from .operators import clean as cl
 from .operators import quality
 from .operators.enrich import PROCESSED_COLUMNS
@@ -310,13 +311,12 @@ def shops_json(spark, sf_dir):
 
 
 def report_lines(spark, sf_dir):
-    """One text line per shop for the plain-text report."""
-    f = serving.formatted_shops(_shop_mart(spark, sf_dir))
-    m = _shop_mart(spark, sf_dir).select("shop_id", "shop_name", "city", "revenue_rank")
-    j = m.join(f, "shop_id")
-    return j.select("shop_id", F.concat_ws(
+    """One text line per shop for the plain-text report (one projection)."""
+    m = _shop_mart(spark, sf_dir)
+    return m.select("shop_id", F.concat_ws(
         " | ", F.concat(F.lit("#"), F.col("revenue_rank").cast("string")), "shop_name",
-        "city", "revenue_text", "share_text").alias("line"))
+        "city", fmt.currency_0dp(to_cents("total_revenue")),
+        fmt.percent_1dp(to_cents("pct_of_total_revenue"))).alias("line"))
 
 
 # ---- named layers in the catalog ---------------------------------------------------
