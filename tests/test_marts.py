@@ -155,3 +155,10 @@ def test_shop_lookup_sql_is_parameterised(layers):
     assert serving.shop_by_id_sql(shop, sid.lower()).count() == 1
     assert serving.shop_by_id_sql(shop, "x' OR '1'='1").count() == 0
     assert serving.shop_by_id(shop, sid.lower()).count() == 1
+
+
+def test_shop_performance_large_path_equals_small_path(layers, monkeypatch):
+    small = layers["shop"].drop("updated_at")
+    monkeypatch.setattr(marts, "SINGLE_TASK_ROWS", 5)
+    large = marts.shop_performance(layers["stg"]).drop("updated_at")
+    assert sorted(small.collect()) == sorted(large.collect())
