@@ -120,3 +120,23 @@ def test_warehouse_ddl_keeps_comments(spark):
     comments = warehouse.column_comments(spark, "raw.transactions")
     assert comments["transaction_id"] == "Unique transaction identifier"
     assert set(spark.table("raw.transactions").columns[-2:]) == {"year", "month_number"}
+
+
+def test_gold_compaction_keeps_latest_versions(spark):
+    root = scratch_path(spark, "test_compact")
+    landing = f"{root}/landing"
+    job = ingest.IncrementalIngest(spark, landing, root, ingest.StreamConfig(watermark="10 days"))
+    schema = ingest.EVENT_SCHEMA
+    day = dt.datetime(2024, 1, 2, 10, 0)
+    job.landing = f"{landing}/*"
+    spark.createDataFrame([(1, day, 1, "A", 5.0, None)], schema).write.parquet(f"{landing}/a")
+    job.run_silver(); job.run_gold()
+    assert job.compact() is not None
+    spark.createDataFrame([(2, day, 2, "A", 7.0, None), (3, day, 3, "B", 1.0, None)],
+                          schema).write.parquet(f"{landing}/b")
+    job.run_silver(); job.run_gold()
+    rows = {r.shop_id: (r.revenue_cents, r.transactions) for r in job.latest_windows().collect()}
+    assert rows == {"A": (1200, 2), "B": (100, 1)}
+    job.compact()
+    again = {r.shop_id: (r.revenue_cents, r.transactions) for r in job.latest_windows().collect()}
+    assert again == rows

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +55,12 @@ GOLD_SCHEMA = T.StructType([
 ])
 
 
+# A compacted gold snapshot: newest window versions up to batch `upto`.
+SNAPSHOT_SCHEMA = T.StructType(
+    [f for f in GOLD_SCHEMA.fields if f.name != "batch_id"]
+    + [T.StructField("upto", T.LongType())])
+
+
 @dataclass(frozen=True)
 class StreamConfig:
     watermark: str = "2 days"        # how late a replayed or delayed row may arrive
@@ -197,14 +204,54 @@ class IncrementalIngest:
             q.awaitTermination()
         return q
 
-    def latest_windows(self) -> DataFrame:
-        """The newest version of every (window, shop) across all batch folders."""
+    @property
+    def snapshots(self) -> str:
+        return f"{self.root}/gold_snapshots"
+
+    def _snapshot_upto(self) -> int | None:
+        """Last batch id covered by the newest snapshot (one number), or None."""
+        try:
+            snap = self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(self.snapshots)
+            return snap.agg(F.max("upto")).first()[0]
+        except AnalysisException:
+            return None
+
+    def _versions(self) -> DataFrame:
+        """Newest snapshot plus the batch folders written after it. Both filters
+        compare a partition column with a literal, so other folders are pruned."""
         g = self.spark.read.schema(GOLD_SCHEMA).parquet(self.gold)
-        latest = g.groupBy("window_start", "shop_id").agg(
-            F.max_by(F.struct("revenue_cents", "transactions", "min_cents", "max_cents",
-                              "approx_customers"), "batch_id").alias("v"))
+        upto = self._snapshot_upto()
+        if upto is None:
+            return g
+        snap = (self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(self.snapshots)
+                .filter(F.col("upto") == F.lit(upto))
+                .withColumnRenamed("upto", "batch_id"))
+        return g.filter(F.col("batch_id") > F.lit(upto)).unionByName(snap)
+
+    def latest_windows(self) -> DataFrame:
+        """The newest version of every (window, shop): an aggregate per key, so
+        a window updated in many batches costs one row per task after the
+        partial step."""
+        latest = self._versions().groupBy("window_start", "shop_id").agg(
+            F.max_by(F.struct("window_end", "revenue_cents", "transactions", "min_cents",
+                              "max_cents", "approx_customers"), "batch_id").alias("v"))
         return latest.select("window_start", "shop_id", "v.*")
 
+    def compact(self) -> int | None:
+        """Writes the newest version of every window as a snapshot folder named
+        after the last batch it covers; later reads skip the older batch
+        folders. Returns that batch id (None when nothing was written yet)."""
+        try:
+            upto = (self.spark.read.schema(GOLD_SCHEMA).parquet(self.gold)
+                    .agg(F.max("batch_id")).first()[0])
+        except AnalysisException:
+            return None
+        if upto is None or upto == self._snapshot_upto():
+            return upto
+        (self.latest_windows().write.mode("overwrite")
+         .parquet(f"{self.snapshots}/upto={upto}"))
+        return upto
+
 
 def late_rows_dropped(query) -> int:
     """Rows a stateful operator discarded as later than the watermark,
