@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tillroll.functions import calendar as cal
 from tillroll.functions import formatting as fmt

@@ -2,7 +2,6 @@
 
 import datetime as dt
 import decimal
-import os
 
 import duckdb
 import pytest

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import to_cents
 from ..params import Params
-from ..sources.schema import CRITICAL_COLUMNS, DEDUP_ORDER, TYPED_SCHEMA
+from ..sources.schema import CRITICAL_COLUMNS, DEDUP_ORDER
 
 REASONS = ["null_critical", "duplicate", "impossible_value", "date_out_of_range", "ok"]
 

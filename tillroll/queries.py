@@ -12,15 +12,13 @@ from .operators import clean as cl
 from .operators import quality
 from .operators.enrich import PROCESSED_COLUMNS
 from .operators.materialize import written
+from .params import FIXTURE
+from .plans import marts, metrics, serving, staging, warehouse
+from .plans.models import models
 from .session import scratch_path
-from .sources import files
+from .sources import files, fixture
 from .sources.schema import CRITICAL_COLUMNS
 from .streaming import ingest
-from .params import FIXTURE
-from .plans import marts, metrics, serving, staging
-from .plans import warehouse
-from .plans.models import models
-from .sources import fixture
 
 DROP = {"updated_at", "processed_timestamp", "revenue_cents", "total_cents", "time"}
 

@@ -13,8 +13,9 @@ files resumes exactly where the previous run stopped:
    rewrites the same folder (idempotent); readers keep the newest version of
    each window (`latest_windows`).
 
-The event table's ``ts`` is ``TIMESTAMP_NTZ``, which watermarks reject, so it is
-cast to ``TIMESTAMP`` (session time zone UTC).
+The event table's ``ts`` is ``TIMESTAMP_NTZ``, which watermarks reject; its wall
+clock is turned into a ``TIMESTAMP`` instant read as UTC, so windows and dates
+do not depend on the session time zone.
 """
 
 from __future__ import annotations
