@@ -13,7 +13,7 @@ from .operators import quality
 from .operators.enrich import PROCESSED_COLUMNS
 from .operators.materialize import written
 from .params import FIXTURE
-from .plans import marts, metrics, serving, staging, warehouse
+from .plans import marts, metrics, serving, warehouse
 from .plans.models import models
 from .session import scratch_path
 from .sources import files, fixture
@@ -80,28 +80,31 @@ def row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Derived calendar and band columns of the processed table."""
-    p = staging.fixture_processed(spark, sf_dir)
+    p = models(spark, sf_dir).processed()
     return p.select("transaction_id", "date", "day_of_week", "month_name", "year",
                     "month_number", "is_weekend", "revenue_category", "total_amount")
 
 
 def stg_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staging view."""
-    return _public(staging.fixture_stg(spark, sf_dir))
+    """The staging view over the loaded processed table."""
+    return _public(models(spark, sf_dir).stg())
 
 
 # ---- models --------------------------------------------------------------------
+# Each model is computed here from the staging view over the written processed
+# table (as the reference builds its models from the loaded table); the serving
+# queries below read the written model tables instead.
 
 def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _public(marts.daily_revenue(staging.fixture_stg(spark, sf_dir)))
+    return _public(marts.daily_revenue(models(spark, sf_dir).stg()))
 
 
 def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _public(marts.top_products(staging.fixture_stg(spark, sf_dir)))
+    return _public(marts.top_products(models(spark, sf_dir).stg()))
 
 
 def shop_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _public(marts.shop_performance(staging.fixture_stg(spark, sf_dir)))
+    return _public(marts.shop_performance(models(spark, sf_dir).stg()))
 
 
 # ---- serving -------------------------------------------------------------------
