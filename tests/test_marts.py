@@ -162,3 +162,24 @@ def test_shop_performance_large_path_equals_small_path(layers, monkeypatch):
     monkeypatch.setattr(marts, "SINGLE_TASK_ROWS", 5)
     large = marts.shop_performance(layers["stg"]).drop("updated_at")
     assert sorted(small.collect()) == sorted(large.collect())
+
+
+def test_insight_context_splits_tied_top_list_without_dropping(layers):
+    import json
+    import math
+    top, shop, daily = layers["top"], layers["shop"], layers["daily"]
+    hot = top.groupBy("shop_id").count().orderBy(F.desc("count"), "shop_id").first().shop_id
+    # every product of the hot shop tied at rank 1: its top-3 list is all of them
+    tied = top.withColumn("revenue_rank_in_shop", F.when(
+        F.col("shop_id") == hot, F.lit(1)).otherwise(F.col("revenue_rank_in_shop")))
+    n = tied.filter((F.col("shop_id") == hot)).count()
+    rows = metrics.insight_context(shop, tied, daily, k=3, array_rows=4) \
+        .filter(F.col("shop_id") == hot).collect()
+    assert 1 < len(rows) <= math.ceil(n / 4)
+    assert len({r.shop_json for r in rows}) == 1
+    names = [p["product_name"] for r in rows for p in json.loads(r.top_products_json)]
+    expect = [r.product_name for r in tied.filter(F.col("shop_id") == hot).collect()]
+    assert sorted(names) == sorted(expect)
+    # with the default chunk size every shop keeps a single array
+    one = metrics.insight_context(shop, tied, daily, k=3)
+    assert one.count() == shop.count()

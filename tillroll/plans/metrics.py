@@ -81,24 +81,41 @@ def customers_per_shop(shop_mart: DataFrame, stg: DataFrame) -> DataFrame:
         distinct_all.alias("distinct_customers"))
 
 
+# Most top-k entries one JSON array holds (expected size of a chunk, see below).
+TOP_ARRAY_ROWS = 10_000
+
+
 def insight_context(shop_mart: DataFrame, top: DataFrame, daily: DataFrame,
-                    k: int = 3) -> DataFrame:
+                    k: int = 3, array_rows: int = TOP_ARRAY_ROWS) -> DataFrame:
     """The report's data bundle as JSON, one row per shop.
 
-    Each row carries the shop's figures, its top-k products (a group bounded by
-    k plus ties) and the seven weekday means (a fixed seven-row array from a
-    scalar subquery). Nothing collects the shops themselves into one value."""
+    Each row carries the shop's figures, its top-k products and the seven
+    weekday means (a fixed seven-row array from a scalar subquery). Nothing
+    collects the shops themselves into one value.
+
+    Ties keep every product with rank <= k, so a shop's top-k list has no upper
+    bound. Each shop's list is therefore split by a hash of the product into
+    ceil(n / array_rows) chunks, n being the shop's count from a one-row-per-shop
+    aggregate: a usual shop (n <= array_rows) gets one array exactly as before,
+    a shop with very many tied products gets several rows (same shop_json), each
+    array about array_rows long. No product is dropped."""
     shop_obj = F.to_json(F.struct(
         "shop_name", "city", F.col("total_revenue").cast("decimal(20,2)").alias("total_revenue"),
         F.col("avg_transaction_value").cast("decimal(20,2)").alias("avg_transaction_value"),
         "revenue_rank",
         F.col("pct_of_total_revenue").cast("decimal(20,2)").alias("pct_of_total_revenue")))
-    prods = (top.filter(F.col("revenue_rank_in_shop") <= k)
-             .groupBy("shop_id")
+    entries = top.filter(F.col("revenue_rank_in_shop") <= k).select(
+        "shop_id", "product_name", "category", "revenue_rank_in_shop",
+        F.col("total_revenue").cast("decimal(20,2)").alias("total_revenue"))
+    sizes = entries.groupBy("shop_id").agg(
+        F.ceil(F.count("*") / F.lit(array_rows)).alias("_chunks"))
+    chunked = entries.join(sizes, "shop_id").withColumn(
+        "_chunk", F.pmod(F.xxhash64("product_name", "category"), F.col("_chunks")))
+    prods = (chunked.groupBy("shop_id", "_chunk")
              .agg(F.to_json(F.array_sort(F.collect_list(F.struct(
-                 "revenue_rank_in_shop", "product_name",
-                 F.col("total_revenue").cast("decimal(20,2)").alias("total_revenue")))))
-                  .alias("top_products_json")))
+                 "revenue_rank_in_shop", "product_name", "total_revenue"))))
+                  .alias("top_products_json"))
+             .drop("_chunk"))
     days = revenue_by_weekday(daily)
     days_json = days.agg(F.to_json(F.array_sort(F.collect_list(F.struct(
         F.col("avg_revenue").cast("decimal(20,2)").alias("avg_revenue"),
