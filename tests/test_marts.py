@@ -183,3 +183,22 @@ def test_insight_context_splits_tied_top_list_without_dropping(layers):
     # with the default chunk size every shop keeps a single array
     one = metrics.insight_context(shop, tied, daily, k=3)
     assert one.count() == shop.count()
+
+
+def test_bottom_products_matches_ascending_rank_brute_force(spark):
+    rng = random.Random(7)
+    rows = [("HOT", "Hot", f"p{i}", "c", float(rng.choice([1, 2, 3, 5])))
+            for i in range(300)]
+    rows += [("S2", "Two", f"q{i}", "c", float(rng.randint(1, 50))) for i in range(20)]
+    rows += [("S3", "Three", "r0", "c", None), ("S3", "Three", "r1", "c", None)]
+    rows += [("S4", "Four", "t0", "c", None), ("S4", "Four", "t1", "c", 4.5)]
+    top = spark.createDataFrame(
+        rows, "shop_id string, shop_name string, product_name string, category string, "
+              "total_revenue double")
+    got = sorted((r.shop_id, r.product_name) for r in metrics.bottom_products(top).collect())
+    expect = []
+    for shop in {r[0] for r in rows}:
+        vals = [r[4] for r in rows if r[0] == shop and r[4] is not None]
+        lo = min(vals) if vals else None
+        expect += [(r[0], r[2]) for r in rows if r[0] == shop and r[4] == lo]
+    assert got == sorted(expect)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.money import (avg_amount, cents_to_amount, half_up_div, pct_2dp,
                                to_cents)
-from ..operators.ranking import global_rank, grand_max, rank_within
+from ..operators.ranking import global_rank, grand_max
 from .serving import revenue_by_weekday
 
 
@@ -45,12 +45,18 @@ def peer_ratio(shop_mart: DataFrame) -> DataFrame:
 
 
 def bottom_products(top: DataFrame) -> DataFrame:
-    """M4: the lowest-revenue product(s) of each shop (ascending rank = 1), by
-    the size-checked per-shop rank."""
+    """M4: the lowest-revenue product(s) of each shop (ascending rank = 1).
+
+    Rank 1 ascending (NULLs last) is "value equals the shop's minimum", or every
+    row when the shop has no non-NULL value. So this is a per-shop MIN (partial
+    aggregation, one row per shop) joined back on (shop, value) with a NULL-safe
+    equality: the join key includes the value, so a shop holding most products
+    is spread over many tasks, and no window or sort is needed."""
     base = top.select("shop_id", "shop_name", "product_name", "category",
                       "total_revenue", to_cents("total_revenue").alias("_c"))
-    r = rank_within(base, ["shop_id"], "_c", "_r", ascending=True)
-    return (r.filter(F.col("_r") == 1)
+    mins = base.groupBy(F.col("shop_id").alias("_s")).agg(F.min("_c").alias("_m"))
+    cond = (F.col("shop_id") == F.col("_s")) & F.col("_c").eqNullSafe(F.col("_m"))
+    return (base.join(mins, cond, "inner")
             .select("shop_id", "shop_name", "product_name", "category", "total_revenue"))
 
 
