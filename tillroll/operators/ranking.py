@@ -12,9 +12,10 @@
    is bounded by the partition count, so it is safe to broadcast — and adds
    the running count of the preceding partitions to each local rank.
 
-A single-partition window is used only behind a size check: when a bounded
-``limit(N + 1).count()`` proves at most N rows (default one million, a few MB
-for one task), the plain window is cheaper than the four steps above.
+A single-partition window is used only behind a size check: when a
+distributed ``count()`` (one partial count per task) proves at most N rows
+(default one million, a few MB for one task), the plain window is cheaper than
+the four steps above.
 
 Shares of a grand total use a scalar subquery (one value), not a window.
 """
@@ -35,8 +36,13 @@ SINGLE_TASK_ROWS = 1_000_000
 
 
 def at_most(df: DataFrame, n: int) -> bool:
-    """True when `df` has at most `n` rows; reads no more than n + 1 rows."""
-    return df.limit(n + 1).count() <= n
+    """True when `df` has at most `n` rows.
+
+    A plain distributed count: each task sends one partial count to the final
+    aggregate, and Parquet answers it from footers when no filter applies.
+    (`limit(n + 1).count()` looks cheaper but plans LocalLimit -> Exchange
+    SinglePartition, so every task would ship up to n + 1 rows to one reducer.)"""
+    return df.count() <= n
 
 
 def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = False,
