@@ -202,3 +202,12 @@ def test_bottom_products_matches_ascending_rank_brute_force(spark):
         lo = min(vals) if vals else None
         expect += [(r[0], r[2]) for r in rows if r[0] == shop and r[4] == lo]
     assert got == sorted(expect)
+
+
+def test_rows_bound_above_limit_takes_large_path_with_same_result(layers):
+    shop = layers["shop"].drop("updated_at")
+    big = marts.shop_performance(layers["stg"], rows_bound=10**9).drop("updated_at")
+    assert sorted(shop.collect()) == sorted(big.collect())
+    top = layers["top"].drop("updated_at")
+    big_top = marts.top_products(layers["stg"], rows_bound=10**9).drop("updated_at")
+    assert sorted(top.collect()) == sorted(big_top.collect())

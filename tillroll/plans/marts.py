@@ -90,7 +90,15 @@ def product_aggregates(stg: DataFrame) -> DataFrame:
     )
 
 
-def top_products(stg: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def _small(stg: DataFrame, n: int, rows_bound: int | None) -> bool:
+    """At most `n` staging rows: from the caller's proven bound when given (the
+    row count of the written table staging filters, read from Parquet footers),
+    else from a count of staging itself."""
+    return rows_bound <= n if rows_bound is not None else at_most(stg, n)
+
+
+def top_products(stg: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS,
+                 rows_bound: int | None = None) -> DataFrame:
     """E2 + F1–F3: product metrics with two in-shop ranks and the share of the
     shop's revenue.
 
@@ -101,7 +109,7 @@ def top_products(stg: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> Da
     from a shop-level aggregate joined back on shop_id."""
     # If staging itself has at most N rows, so has the aggregate: no need to
     # write it before the windows. Otherwise it is written once and checked.
-    small_input = at_most(stg, single_task_rows)
+    small_input = _small(stg, single_task_rows, rows_bound)
     g = product_aggregates(stg) if small_input else written(
         product_aggregates(stg), "product_aggregates")
     if small_input or at_most(g, single_task_rows):
@@ -167,14 +175,14 @@ SHOP_PERFORMANCE_COLUMNS = [
 ]
 
 
-def shop_performance(stg: DataFrame) -> DataFrame:
+def shop_performance(stg: DataFrame, rows_bound: int | None = None) -> DataFrame:
     """E3 + F4/F5: the shop mart. The global rank is computed by range
     partitioning (operators.ranking), the share of the grand total from a
     scalar subquery — no step gathers all shops into one task."""
     # On a large input the aggregate is written once: the size check of the
     # rank, the grand total and the rank then read that small table. If staging
     # has at most N rows (so has the aggregate), it stays lazy.
-    small_input = at_most(stg, SINGLE_TASK_ROWS)
+    small_input = _small(stg, SINGLE_TASK_ROWS, rows_bound)
     g = shop_aggregates(stg)
     if not small_input:
         g = written(g, "shop_aggregates")

@@ -45,20 +45,30 @@ class ModelSet:
         """Staging is a view (lazy) over the written processed table."""
         return staging.stg_transactions(self.processed())
 
+    def stg_bound(self) -> int:
+        """Upper bound on staging rows: the written processed table's row count
+        (staging only filters it), answered from Parquet footers, once."""
+        if "_bound" not in self.__dict__:
+            self._bound = self.processed().count()
+        return self._bound
+
     def daily(self) -> DataFrame:
         return self._table("daily_revenue", lambda: marts.daily_revenue(self.stg()))
 
     def top(self) -> DataFrame:
-        return self._table("top_products", lambda: marts.top_products(self.stg()))
+        return self._table("top_products", lambda: marts.top_products(
+            self.stg(), rows_bound=self.stg_bound()))
 
     def shop(self) -> DataFrame:
-        return self._table("shop_performance", lambda: marts.shop_performance(self.stg()))
+        return self._table("shop_performance", lambda: marts.shop_performance(
+            self.stg(), rows_bound=self.stg_bound()))
 
     def build_all(self, parallel: bool = True) -> "ModelSet":
         """Writes processed, then the three independent models. With `parallel`,
         the three model jobs are submitted together from driver threads, so the
         small final stages of one model share the cluster with the others."""
         self.processed()
+        self.stg_bound()
         builders = [self.daily, self.top, self.shop]
         if parallel:
             with ThreadPoolExecutor(max_workers=len(builders)) as pool:
