@@ -211,3 +211,12 @@ def test_rows_bound_above_limit_takes_large_path_with_same_result(layers):
     top = layers["top"].drop("updated_at")
     big_top = marts.top_products(layers["stg"], rows_bound=10**9).drop("updated_at")
     assert sorted(top.collect()) == sorted(big_top.collect())
+
+
+def test_shop_distincts_from_product_table_equal_direct_count(layers):
+    direct = layers["shop"].drop("updated_at")
+    via = marts.shop_performance(layers["stg"], products=layers["top"]).drop("updated_at")
+    assert sorted(direct.collect()) == sorted(via.collect())
+    big = marts.shop_performance(layers["stg"], rows_bound=10**9,
+                                 products=layers["top"]).drop("updated_at")
+    assert sorted(direct.collect()) == sorted(big.collect())

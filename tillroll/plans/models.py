@@ -61,15 +61,18 @@ class ModelSet:
 
     def shop(self) -> DataFrame:
         return self._table("shop_performance", lambda: marts.shop_performance(
-            self.stg(), rows_bound=self.stg_bound()))
+            self.stg(), rows_bound=self.stg_bound(), products=self.top()))
 
     def build_all(self, parallel: bool = True) -> "ModelSet":
         """Writes processed, then the three independent models. With `parallel`,
-        the three model jobs are submitted together from driver threads, so the
-        small final stages of one model share the cluster with the others."""
+        daily_revenue and the chain top_products → shop_performance are submitted
+        together from driver threads, so the small final stages of one model
+        share the cluster with the other."""
         self.processed()
         self.stg_bound()
-        builders = [self.daily, self.top, self.shop]
+        # shop_performance reads the top_products table (distinct products and
+        # categories per shop), so it follows top in the same thread
+        builders = [self.daily, lambda: (self.top(), self.shop())]
         if parallel:
             with ThreadPoolExecutor(max_workers=len(builders)) as pool:
                 for f in [pool.submit(b) for b in builders]:

@@ -104,7 +104,9 @@ def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shop_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _public(marts.shop_performance(models(spark, sf_dir).stg()))
+    ms = models(spark, sf_dir)
+    return _public(marts.shop_performance(ms.stg(), rows_bound=ms.stg_bound(),
+                                          products=ms.top()))
 
 
 # ---- serving -------------------------------------------------------------------
