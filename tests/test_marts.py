@@ -220,3 +220,15 @@ def test_shop_distincts_from_product_table_equal_direct_count(layers):
     big = marts.shop_performance(layers["stg"], rows_bound=10**9,
                                  products=layers["top"]).drop("updated_at")
     assert sorted(direct.collect()) == sorted(big.collect())
+
+
+def test_model_set_large_path_uses_product_table_with_same_result(spark, layers,
+                                                                  monkeypatch):
+    from tillroll.plans.models import ModelSet
+    monkeypatch.setattr(marts, "SINGLE_TASK_ROWS", 10)
+    ms = ModelSet(spark, SF_SMALL)
+    assert ms.large() and ms.shop_products() is not None
+    ms.build_all(parallel=True)
+    cols = [c for c in layers["shop"].columns if c != "updated_at"]
+    assert sorted(ms.shop().select(cols).collect()) == \
+        sorted(layers["shop"].select(cols).collect())

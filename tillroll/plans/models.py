@@ -61,18 +61,30 @@ class ModelSet:
 
     def shop(self) -> DataFrame:
         return self._table("shop_performance", lambda: marts.shop_performance(
-            self.stg(), rows_bound=self.stg_bound(), products=self.top()))
+            self.stg(), rows_bound=self.stg_bound(), products=self.shop_products()))
+
+    def large(self) -> bool:
+        return self.stg_bound() > marts.SINGLE_TASK_ROWS
+
+    def shop_products(self) -> DataFrame | None:
+        """On a large input, the top_products table, from which the shop mart
+        counts distinct products and categories (two fewer COUNT DISTINCTs over
+        the full staging scan). On a small input the shop mart counts them
+        itself and does not wait for top_products."""
+        return self.top() if self.large() else None
 
     def build_all(self, parallel: bool = True) -> "ModelSet":
         """Writes processed, then the three independent models. With `parallel`,
-        daily_revenue and the chain top_products → shop_performance are submitted
-        together from driver threads, so the small final stages of one model
-        share the cluster with the other."""
+        the models (on a large input: daily_revenue and the chain top_products →
+        shop_performance) are submitted together from driver threads, so the
+        small final stages of one model share the cluster with the others."""
         self.processed()
         self.stg_bound()
-        # shop_performance reads the top_products table (distinct products and
-        # categories per shop), so it follows top in the same thread
-        builders = [self.daily, lambda: (self.top(), self.shop())]
+        # on a large input shop_performance reads the top_products table
+        # (distinct products and categories per shop), so it follows top in the
+        # same thread
+        builders = ([self.daily, lambda: (self.top(), self.shop())] if self.large()
+                    else [self.daily, self.top, self.shop])
         if parallel:
             with ThreadPoolExecutor(max_workers=len(builders)) as pool:
                 for f in [pool.submit(b) for b in builders]:

@@ -106,7 +106,7 @@ def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shop_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     ms = models(spark, sf_dir)
     return _public(marts.shop_performance(ms.stg(), rows_bound=ms.stg_bound(),
-                                          products=ms.top()))
+                                          products=ms.shop_products()))
 
 
 # ---- serving -------------------------------------------------------------------
