@@ -232,3 +232,11 @@ def test_model_set_large_path_uses_product_table_with_same_result(spark, layers,
     cols = [c for c in layers["shop"].columns if c != "updated_at"]
     assert sorted(ms.shop().select(cols).collect()) == \
         sorted(layers["shop"].select(cols).collect())
+
+
+def test_at_most_boundary(spark):
+    from tillroll.operators.ranking import at_most
+    df = spark.range(0, 50, numPartitions=7).filter("id % 2 = 0")   # 25 rows
+    assert at_most(df, 25) and at_most(df, 100)
+    assert not at_most(df, 24) and not at_most(df, 0)
+    assert at_most(df.filter("id < 0"), 0)
