@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from tillroll.queries import QUERIES
 
 TABLES = ["nation", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -36,10 +37,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF_SMALL)
     cur = con.execute(entry.oracle_sql()[name])
