@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import exact_dedup, mixing, near_dedup, packing, quality
+from . import (exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, packing,
+               quality, secret_scan, topk)
 from .common import table
 
 
@@ -15,10 +17,32 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies", "part")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_components(table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"),
+                        F.array_join("licences", ",").alias("licences"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles here; the operator's default is five."""
     return near_dedup.near_components(table(spark, sf_dir, "documents"), k=2)
@@ -32,6 +56,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op5_packing, op8_near_dedup, op9_exact_dedup,
-                                    op10_quality)}
+QUERIES = {f.__name__: f for f in (
+    op1_mixing, op2_line_dedup, op3_language_id, op4_secret_scan, op5_packing, op6_topk,
+    op7_license_scan, op8_near_dedup, op9_exact_dedup, op10_quality)}
 QUERIES["pipeline"] = corpus_pipeline.run
