@@ -19,9 +19,10 @@ blocks); a block returns at most k rows a query and a window picks the final k.
 
 Defined cases: vectors that are NULL or hold NULL or non-finite components take no part;
 vectors of different lengths are compared as if padded with zeros; a query's own row is
-left out by its id, so rows that repeat an id never find each other, and of
-several query rows with one id the smallest vector asks; rows with a NULL id take no part; ties go to the smaller id; integer components are limited to +-2**52 and
-scores to the range of a long; an empty table gives no rows.
+left out by its id, so rows that repeat an id never find each other, and of several query
+rows with one id the smallest vector asks; rows with a NULL id take no part; ties go to
+the smaller id; integer components are limited to +-2**52 and scores to the range of a
+long; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -197,7 +198,8 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
              .withColumn("tag", F.col("id")))
     q = grouped(asked, batches, 2)
     pairs = q.select(*[F.col(x).alias(f"q_{x}") for x in q.columns],
-                     F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("grp"))
+                     F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+                     .alias("grp"))
     pairs = pairs.join(c, "grp").select("q_grp", "q_width", "q_ids", "q_vecs", "grp", "width", "ids", "vecs")
     found = pairs.mapInArrow(searcher(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
