@@ -48,9 +48,11 @@ def heavy_digests(digests: DataFrame) -> list[int]:
     """Up to HEAVY 64-bit digest prefixes that may be frequent (Misra-Gries)."""
     partial = (digests.groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("m"))
                .agg(F.expr(f"approx_top_k_accumulate(prefix, {COUNTERS})").alias("sketch")))
-    top = partial.agg(F.expr(
+    # grouped by a constant: an ungrouped merge fails in tasks that get no sketch
+    top = partial.groupBy((F.col("m") * 0).alias("all")).agg(F.expr(
         f"approx_top_k_estimate(approx_top_k_combine(sketch, {COUNTERS}), {HEAVY})").alias("t"))
-    return [x["item"] for x in (top.first()["t"] or []) if x["count"] > 1]
+    row = top.first()
+    return [x["item"] for x in row["t"] if x["count"] > 1] if row else []
 
 
 def digest_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
