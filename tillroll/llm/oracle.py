@@ -53,8 +53,47 @@ FROM d JOIN g USING (text_sha256)
 """
 
 
+OP6 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 10
+"""
+
+OP8 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_FOLD}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(
+           range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS sh
+  FROM d),
+x AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS sh FROM s),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM x a JOIN x b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM s
+  UNION
+  SELECT r.doc_id, l.v FROM reach r JOIN links l ON l.u = r.other)
+SELECT s.doc_id, CAST(len(any_value(s.sh)) AS BIGINT) AS n_shingles,
+       min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
+FROM s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    sql = {"op1_mixing": OP1, "op9_exact_dedup": OP9}
+    sql = {"op1_mixing": OP1, "op6_topk": OP6, "op8_near_dedup": OP8,
+           "op9_exact_dedup": OP9}
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
