@@ -10,7 +10,7 @@ P = Params(min_date=dt.date(2020, 1, 1), as_of=dt.date(2026, 3, 1))
 
 
 def _raw(spark, rows):
-    return spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c, _ in RAW_COLUMNS))
+    return spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in RAW_COLUMNS))
 
 
 def row(tid, date="2025-03-01", time="09:15", qty="2", price="10.00", total="20.00",
@@ -20,14 +20,14 @@ def row(tid, date="2025-03-01", time="09:15", qty="2", price="10.00", total="20.
 
 
 def test_header_names_are_normalised(spark):
-    df = spark.createDataFrame([(1,)], "` Unit Price ` int")
-    assert cl.normalise_columns(df).columns == ["unit_price"]
+    df = spark.createDataFrame([(1, 2)], "` Unit Price ` int, SHOP_NAME int")
+    assert cl.normalise_columns(df).columns == ["unit_price", "shop_name"]
 
 
 def test_bad_values_become_null_and_time_stays_text(spark):
     typed = cl.parse_raw(_raw(spark, [row("T1", date="2026-99-02", qty="abc", total="x1")]))
     r = typed.first()
-    assert r.date is None and r.quantity is None and r.total_cents is None
+    assert r.date is None and r.quantity is None and r.total_amount is None
     assert r.time == "09:15"
 
 
@@ -75,3 +75,16 @@ def test_keep_first_on_hot_key_is_whole(spark):
     d = cl.deduplicated(typed)
     assert d.count() == 101
     assert d.filter("transaction_id = 'HOT'").first().customer_id == "C00000"
+
+
+def test_amounts_and_ids_are_judged_as_delivered(spark):
+    """0.004 is positive, 19.996 is below 20, and " A2" is another id than "A2"."""
+    from tillroll.operators.enrich import enrich
+    from tillroll.plans.staging import stg_transactions
+    rows = [row("A1", total="0.004"), row("A2", total="19.996"), row(" A2", total="20")]
+    got = {r.transaction_id: r for r in enrich(cl.clean(cl.parse_raw(_raw(spark, rows)), P), P).collect()}
+    assert set(got) == {"A1", "A2", " A2"}
+    assert [got[k].revenue_category for k in ("A1", "A2", " A2")] == ["Low", "Low", "Medium"]
+    assert got["A2"].total_amount == 19.996 and got["A2"].total_cents == 2000
+    stg = stg_transactions(enrich(cl.clean(cl.parse_raw(_raw(spark, rows)), P), P))
+    assert sorted(r.total_amount for r in stg.collect()) == [0.0, 20.0, 20.0]

@@ -60,11 +60,11 @@ def australian_season(d) -> Column:
     return expr
 
 
-def revenue_category(cents, low_cents: int, medium_cents: int) -> Column:
-    """Band of a line total: < low → Low, < medium → Medium, else (and NULL) High."""
-    c = _c(cents)
-    return (F.when(c < F.lit(low_cents), "Low")
-            .when(c < F.lit(medium_cents), "Medium")
+def revenue_category(amount, low_below: float, medium_below: float) -> Column:
+    """Band of a line amount: < low → Low, < medium → Medium, else (and NULL) High."""
+    c = _c(amount)
+    return (F.when(c < F.lit(low_below), "Low")
+            .when(c < F.lit(medium_below), "Medium")
             .otherwise("High"))
 
 

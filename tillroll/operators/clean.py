@@ -13,31 +13,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import to_cents
 from ..params import Params
 from ..sources.schema import CRITICAL_COLUMNS, DEDUP_ORDER
 
 REASONS = ["null_critical", "duplicate", "impossible_value", "date_out_of_range", "ok"]
 
 
+def plain_name(header: str) -> str:
+    """A column name as the library writes it: no blanks around, one underscore for each
+    blank inside, lower case."""
+    return "_".join(header.strip().lower().split(" "))
+
+
 def normalise_columns(df: DataFrame) -> DataFrame:
-    """Column names → lower case, outer blanks removed, inner spaces → '_'."""
-    return df.toDF(*[c.lower().strip().replace(" ", "_") for c in df.columns])
+    return df.select(*[F.col(f"`{c}`").alias(plain_name(c)) for c in df.columns])
 
 
 def parse_raw(df: DataFrame) -> DataFrame:
     """Raw text columns → TYPED_SCHEMA. Unparsable values become NULL (never an
-    error), so that the NULL rule removes them."""
+    error), so that the NULL rule removes them. Keys and names are taken as they are
+    (" A2" and "A2" are two ids) and amounts are not rounded."""
     df = normalise_columns(df)
-    amount = F.col("total_amount").try_cast("double")
     return df.select(
-        F.trim("transaction_id").alias("transaction_id"),
+        "transaction_id",
         F.try_to_date(F.trim("date"), "yyyy-MM-dd").alias("date"),
         F.col("time").cast("string").alias("time"),
         "shop_id", "shop_name", "city", "product_name", "category",
         F.trim("quantity").try_cast("int").alias("quantity"),
         F.trim("unit_price").try_cast("double").alias("unit_price"),
-        to_cents(amount).alias("total_cents"),
+        F.trim("total_amount").try_cast("double").alias("total_amount"),
         "customer_id", "payment_method",
     )
 
@@ -67,58 +71,52 @@ def _unpack(key: str, order: list[str], columns: list[str], s: str) -> list[Colu
             for c in columns]
 
 
-def keep_first(df: DataFrame, key: str = "transaction_id",
-               order: list[str] | None = None) -> DataFrame:
-    """One row per key: the first by `order` (deterministic dropDuplicates)."""
-    order = [c for c in (order or DEDUP_ORDER) if c in df.columns and c != key]
-    g = df.groupBy(key).agg(F.min(_order_struct(df, key, order)).alias("_k"))
-    return g.select(*_unpack(key, order, df.columns, "_k"))
-
-
-def _valid_values() -> Column:
-    return (F.col("unit_price") > 0) & (F.col("quantity") > 0) & (F.col("total_cents") > 0)
+def valid_values() -> Column:
+    """C3, on the amount as delivered: 0.004 is a value, not an impossible one."""
+    return (F.col("unit_price") > 0) & (F.col("quantity") > 0) & (F.col("total_amount") > 0)
 
 
-def _in_window(p: Params) -> Column:
+def in_window(p: Params) -> Column:
     upper = F.lit(p.as_of) if p.as_of else F.current_date()
     return (F.col("date") >= F.lit(p.min_date)) & (F.col("date") <= upper)
 
 
-def _triage(typed: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Per id: rows with a NULL critical column, rows without, and the kept copy.
-    Rows whose id is NULL fall in the NULL-key group and count as null_critical."""
-    order = [c for c in DEDUP_ORDER if c in typed.columns and c != key]
-    bad = critical_null([c for c in CRITICAL_COLUMNS if c in typed.columns])
-    return typed.groupBy(key).agg(
-        F.count_if(bad).alias("_n_null"),
-        F.count_if(~bad).alias("_n_valid"),
-        F.min(F.when(~bad, _order_struct(typed, key, order))).alias("_k"),
-    )
+def _usable(typed: DataFrame) -> Column:
+    return ~critical_null([c for c in CRITICAL_COLUMNS if c in typed.columns])
+
+
+def _order(typed: DataFrame, key: str) -> list[str]:
+    return [c for c in DEDUP_ORDER if c in typed.columns and c != key]
 
 
 def deduplicated(typed: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Rows without NULL critical columns, one per id (C1 + C2)."""
-    order = [c for c in DEDUP_ORDER if c in typed.columns and c != key]
-    t = _triage(typed, key)
-    return t.filter(F.col("_k").isNotNull()).select(*_unpack(key, order, typed.columns, "_k"))
+    order = _order(typed, key)
+    kept = (typed.filter(_usable(typed)).groupBy(key)
+            .agg(F.min(_order_struct(typed, key, order)).alias("_k")))
+    return kept.select(*_unpack(key, order, typed.columns, "_k"))
 
 
 def clean(typed: DataFrame, p: Params) -> DataFrame:
     """C1 NULL rule → C2 dedup → C3 positive values → C4 date window."""
-    return deduplicated(typed).filter(_valid_values() & _in_window(p))
+    return deduplicated(typed).filter(valid_values() & in_window(p))
 
 
 def _kept_reason(p: Params) -> Column:
-    return (F.when(~_valid_values(), "impossible_value")
-            .when(~_in_window(p), "date_out_of_range")
+    return (F.when(~valid_values(), "impossible_value")
+            .when(~in_window(p), "date_out_of_range")
             .otherwise("ok"))
 
 
 def reason_counts(typed: DataFrame, p: Params, key: str = "transaction_id") -> DataFrame:
     """Q3: number of input rows per reject reason (precedence: null_critical →
     duplicate → impossible_value → date_out_of_range → ok), one shuffle."""
-    order = [c for c in DEDUP_ORDER if c in typed.columns and c != key]
-    t = _triage(typed, key)
+    order = _order(typed, key)
+    ok = _usable(typed)
+    # rows whose id is NULL fall in the NULL-key group and count as null_critical
+    t = typed.groupBy(key).agg(
+        F.count_if(~ok).alias("_n_null"), F.count_if(ok).alias("_n_valid"),
+        F.min(F.when(ok, _order_struct(typed, key, order))).alias("_k"))
     kept = t.select("_n_null", "_n_valid", *_unpack(key, order, typed.columns, "_k"))
     reason = F.when(F.col("_n_valid") > 0, _kept_reason(p))
     one = kept.agg(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..functions.money import cents_to_amount
+from ..functions.money import to_cents
 from ..params import Params
 
 PROCESSED_COLUMNS = [
@@ -20,20 +20,20 @@ PROCESSED_COLUMNS = [
 
 def enrich(clean_df: DataFrame, p: Params) -> DataFrame:
     """Weekday and month names, year, month, weekend flag, revenue band,
-    load timestamp; `total_amount` is the double view of the exact cents."""
+    load timestamp and the amount in cents. The band is that of the delivered amount:
+    19.996 is below 20."""
     d = F.col("date")
     return clean_df.select(
         "transaction_id", "date", "time", "shop_id", "shop_name", "city",
         "product_name", "category", "quantity", "unit_price",
-        cents_to_amount("total_cents").alias("total_amount"),
-        "customer_id", "payment_method",
+        "total_amount", "customer_id", "payment_method",
         cal.day_name(d).alias("day_of_week"),
         cal.month_name(d).alias("month_name"),
         F.year(d).alias("year"),
         F.month(d).alias("month_number"),
         cal.is_weekend(d).alias("is_weekend"),
-        cal.revenue_category("total_cents", p.low_cents, p.medium_cents)
+        cal.revenue_category("total_amount", p.low_below, p.medium_below)
            .alias("revenue_category"),
         F.current_timestamp().alias("processed_timestamp"),
-        "total_cents",
+        to_cents("total_amount").alias("total_cents"),
     )

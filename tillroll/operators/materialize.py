@@ -9,7 +9,7 @@ column pruning and filter pushdown on the written table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
@@ -24,3 +24,35 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     if partition_by:
         reader = reader.schema(df.schema)
     return reader.parquet(path).select(*df.columns)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a scratch folder that `written` or a sink made and nothing reads any more.
+    Only folders below the session's scratch tables are removed."""
+    base = spark.sparkContext.getCheckpointDir()
+    fs, where = _file_system(spark, path)
+    if base and where.toUri().getPath().startswith(
+            _file_system(spark, base)[1].toUri().getPath().rstrip("/") + "/tables/"):
+        fs.delete(where, True)
+
+
+def folder_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(files, bytes, newest change in ms) below `path`: differs once files are added,
+    removed or replaced. Works on any store Spark reads."""
+    fs, where = _file_system(spark, path)
+    files = size = newest = 0
+    todo = [where]
+    while todo:
+        for s in fs.listStatus(todo.pop()):
+            if s.isDirectory():
+                todo.append(s.getPath())
+            else:
+                files, size = files + 1, size + s.getLen()
+                newest = max(newest, s.getModificationTime())
+    return files, size, newest

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.money import to_cents
 
@@ -41,14 +40,16 @@ def amount_violations(df: DataFrame) -> DataFrame:
                     (expected.cast("double") / 100).alias("expected_amount")))
 
 
-def documentation_gaps(schema: T.StructType, expected: dict[str, str]) -> list[tuple[str, str]]:
-    """Q5: documented columns that are missing or lack a comment in `schema`."""
-    fields = {f.name: f for f in schema.fields}
-    gaps = []
-    for name in expected:
-        f = fields.get(name)
-        if f is None:
-            gaps.append((name, "missing column"))
-        elif not (f.metadata or {}).get("comment"):
-            gaps.append((name, "no comment"))
-    return gaps
+def documentation_gaps(columns: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """Q5: for each documented column what the catalog lacks. `columns` is
+    (column_name, comment); result (column_name, expected_comment, problem), problem NULL
+    where the catalog's comment is the documented one."""
+    spark = columns.sparkSession
+    want = spark.createDataFrame(list(expected.items()),
+                                 "column_name string, expected_comment string")
+    have = columns.select("column_name", F.col("comment").alias("_has"), F.lit(True).alias("_in"))
+    problem = (F.when(F.col("_in").isNull(), "missing column")
+               .when(F.coalesce("_has", F.lit("")) == "", "no comment")
+               .when(F.col("_has") != F.col("expected_comment"), "another comment"))
+    return want.join(have, "column_name", "left").select(
+        "column_name", "expected_comment", problem.alias("problem"))

@@ -1,170 +1,77 @@
-"""Ranks and shares over a whole table without a single-partition window.
+"""Ranks and shares for tables and groups of any size, in one plan.
 
-``RANK() OVER (ORDER BY x DESC)`` makes Spark gather every row into one task
-(``Exchange SinglePartition``). `global_rank` instead
+``RANK() OVER (PARTITION BY g ORDER BY v)`` gathers a whole group (without ``g`` the whole
+table) in one task. `ranks` works on counted values instead:
 
-1. range-partitions the rows on the order key (equal keys share a partition,
-   partitions are ordered) and sorts each partition,
-2. ranks rows inside each partition in one streaming pass (Arrow batches),
-3. freezes that result as a written table in the shared checkpoint folder so
-   partition ids stay fixed even if tasks are re-run,
-4. counts rows per partition — a table with one row per partition, whose size
-   is bounded by the partition count, so it is safe to broadcast — and adds
-   the running count of the preceding partitions to each local rank.
-
-A single-partition window is used only behind a size check: when a
-distributed ``count()`` (one partial count per task) proves at most N rows
-(default one million, a few MB for one task), the plain window is cheaper than
-the four steps above.
+1. rows are aggregated to (group, value) with their number, so ties collapse on the map
+   side before anything is shuffled;
+2. quantiles of the value cut the value axis into as many ranges as there are shuffle
+   partitions; within a (group, range) a window adds up the rows that come before a value.
+   No window task holds more than one range of one group;
+3. the sums per (group, range), at most one row per range and group, give by a second
+   window the rows in earlier ranges;
+4. the rank, rows before plus one, is joined back on (group, value). A value that most
+   rows share is one row on the rank side and a splittable key on the other.
 
 Shares of a grand total use a scalar subquery (one value), not a window.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..session import ensure_checkpoint_dir
-from .materialize import written
-
-
-SINGLE_TASK_ROWS = 1_000_000
-
-
-def at_most(df: DataFrame, n: int) -> bool:
-    """True when `df` has at most `n` rows.
-
-    A plain distributed count: each task sends one partial count to the final
-    aggregate, and Parquet answers it from footers when no filter applies.
-    (`limit(n + 1).count()` looks cheaper but plans LocalLimit -> Exchange
-    SinglePartition, so every task would ship up to n + 1 rows to one reducer.)"""
-    return df.count() <= n
-
-
-def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = False,
-                num_partitions: int | None = None,
-                single_task_rows: int | None = SINGLE_TASK_ROWS,
-                known_small: bool = False) -> DataFrame:
-    """Adds `rank_col` (INT) = RANK() OVER (ORDER BY order_col [ASC|DESC] NULLS LAST).
-
-    `df` should be cheap to read twice (a written table or a small aggregate):
-    the size check reads it once. `known_small` says the caller has already
-    proven the row bound (e.g. on the input of an aggregate)."""
-    key = (F.col(order_col).asc_nulls_last() if ascending
-           else F.col(order_col).desc_nulls_last())
-    if known_small or (single_task_rows and at_most(df, single_task_rows)):
-        return df.withColumn(rank_col, F.rank().over(Window.orderBy(key)).cast("int"))
-    return distributed_rank(df, order_col, rank_col, ascending, num_partitions)
-
-
-def distributed_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = False,
-                     num_partitions: int | None = None) -> DataFrame:
-    """The range-partitioned rank (steps 1–4 above), for any number of rows."""
-    return distributed_rank_within(df, [], order_col, rank_col, ascending, num_partitions)
-
-
-def _same(a: pd.Series, b: pd.Series) -> np.ndarray:
-    """Element-wise equality where NULL equals NULL."""
-    return ((a == b) | (a.isna() & b.isna())).to_numpy()
-
-
-def _local_group_rank_fn(group_cols: list[str], order_col: str):
-    """Per sorted partition: position within the group (`_pos`) and RANK within
-    the group (`_lrank`), both restarting at each group change and carried over
-    Arrow batch boundaries."""
-    def run(batches):
-        last_g = None        # tuple of the previous row's group values
-        last_v = None
-        last_pos = 0
-        last_rank = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            idx = np.arange(n)
-            new_g = np.zeros(n, dtype=bool)
-            for c in group_cols:
-                col = pdf[c]
-                new_g |= ~_same(col, col.shift(1))
-            v = pdf[order_col]
-            new_v = ~_same(v, v.shift(1))
-            if last_g is None:
-                new_g[0] = True
-            else:
-                first = tuple(pdf[c].iloc[0] for c in group_cols)
-                new_g[0] = not all((x == y) or (pd.isna(x) and pd.isna(y))
-                                   for x, y in zip(first, last_g))
-                v0 = v.iloc[0]
-                new_v[0] = not ((v0 == last_v) or (pd.isna(v0) and pd.isna(last_v)))
-            new_v |= new_g
-            start = np.maximum.accumulate(np.where(new_g, idx, -1))
-            pos = np.where(start >= 0, idx - start + 1, last_pos + idx + 1).astype(np.int64)
-            rank = pd.Series(np.where(new_v, pos, np.nan))
-            if not new_v[0]:
-                rank.iloc[0] = last_rank
-            rank = rank.ffill().astype("int64").to_numpy()
-            last_g = tuple(pdf[c].iloc[-1] for c in group_cols)
-            last_v, last_pos, last_rank = v.iloc[-1], int(pos[-1]), int(rank[-1])
-            yield pdf.assign(_pos=pos, _lrank=rank)
-    return run
-
-
-def distributed_rank_within(df: DataFrame, group_cols: list[str], order_col: str,
-                            rank_col: str, ascending: bool = False,
-                            num_partitions: int | None = None) -> DataFrame:
-    """RANK() OVER (PARTITION BY group_cols ORDER BY order_col) for groups of any
-    size, including one group holding most rows.
-
-    Rows are range-partitioned on (group, value), so a large group spans several
-    consecutive partitions. Each partition is ranked in one pass; a group that
-    continues from earlier partitions gets, as offset, the rows it has there:
-    the sum of `n_last` of the earlier partitions whose last group is this
-    partition's first group. That summary has one row per partition (bounded by
-    the partition count), so it is broadcast."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vkey = (F.col(order_col).asc_nulls_last() if ascending
-            else F.col(order_col).desc_nulls_last())
-    keys = [F.col(c).asc_nulls_first() for c in group_cols] + [vkey]
-    parts = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-             .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(parts.schema.fields + [T.StructField("_pos", T.LongType()),
-                                                 T.StructField("_lrank", T.LongType())])
-    local = written(parts.mapInPandas(_local_group_rank_fn(group_cols, order_col), schema),
-                    "rank")
-    g = F.struct(*[F.col(c) for c in group_cols]) if group_cols else F.lit(0)
-    summary = local.groupBy("_pid").agg(
-        F.min(g).alias("_first"), F.max(g).alias("_last"),
-        F.max_by("_pos", F.struct(g, F.col("_pos"))).alias("_n_last"))
-    p = summary.select("_pid", "_first")
-    q = summary.select(F.col("_pid").alias("_qpid"), "_last", "_n_last")
-    offsets = (p.join(F.broadcast(q), (q["_last"] == p["_first"]) & (q["_qpid"] < p["_pid"]),
-                      "left")
-               .groupBy("_pid", "_first")
-               .agg(F.coalesce(F.sum("_n_last"), F.lit(0)).alias("_off")))
-    out = local.join(F.broadcast(offsets), "_pid")
-    rank = F.col("_lrank") + F.when(g == F.col("_first"), F.col("_off")).otherwise(0)
-    return out.select(*[F.col(c) for c in df.columns], rank.cast("int").alias(rank_col))
-
-
-def rank_within(df: DataFrame, group_cols: list[str], order_col: str, rank_col: str,
-                ascending: bool = False, num_partitions: int | None = None,
-                single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """RANK() OVER (PARTITION BY group_cols ORDER BY order_col): a plain window
-    when the whole input is proven to hold at most `single_task_rows` rows (so
-    no group can be larger), the range-partitioned rank otherwise."""
-    key = (F.col(order_col).asc_nulls_last() if ascending
-           else F.col(order_col).desc_nulls_last())
-    if single_task_rows and at_most(df, single_task_rows):
-        w = Window.partitionBy(*group_cols).orderBy(key)
-        return df.withColumn(rank_col, F.rank().over(w).cast("int"))
-    return distributed_rank_within(df, group_cols, order_col, rank_col, ascending,
-                                   num_partitions)
+
+ACCURACY = 10_000  # of the quantiles: a range is off by one in ACCURACY rows
+
+
+def same_as(pairs: list[tuple[str, str]]) -> Column:
+    """NULL-safe equality of all column pairs."""
+    cond = F.lit(True)
+    for a, b in pairs:
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
+
+
+def ranks(df: DataFrame, order_col: str, rank_col: str, group_cols: list[str] | None = None,
+          ascending: bool = False, ranges: int | None = None) -> DataFrame:
+    """The rank of every (group, value): columns `_g0`…, `_v` and `rank_col` (INT). `df`
+    is read three times, once at the call: give it a written table or a small
+    aggregate."""
+    groups = [f"_g{i}" for i in range(len(group_cols or []))]
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = [i / n for i in range(1, n)]
+    keys = [F.col(c).alias(g) for c, g in zip(group_cols or [], groups)]
+    values = df.groupBy(*keys, F.col(order_col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    # at most n numbers come to the driver
+    bounds = df.select(F.percentile_approx(order_col, cuts, ACCURACY)).first()[0] if cuts else None
+    cut = (F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(bounds))]),
+                           lambda b: b < F.col("_v"))) if bounds else F.lit(0))
+    # ranges are numbered in rank order; NULLs have the last one
+    cut = cut if ascending else -cut
+    values = values.withColumn("_r", F.when(F.col("_v").isNull(), n + 1).otherwise(cut))
+
+    def direction(c: str) -> Column:
+        return F.col(c).asc_nulls_last() if ascending else F.col(c).desc_nulls_last()
+
+    def before(col: str, by: list[str], order: Column) -> Column:
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(col).over(w), F.lit(0))
+
+    inside = values.withColumn("_in", before("_n", [*groups, "_r"], direction("_v")))
+    sums = values.groupBy(*groups, "_r").agg(F.sum("_n").alias("_s"))
+    sums = sums.withColumn("_up", before("_s", groups, F.col("_r").asc()))
+    sums = sums.select(*[F.col(c).alias(f"_s{c}") for c in [*groups, "_r"]], "_up")
+    return (inside.join(sums, same_as([(c, f"_s{c}") for c in [*groups, "_r"]]))
+            .select(*groups, "_v", (F.col("_in") + F.col("_up") + 1).cast("int").alias(rank_col)))
+
+
+def ranked(df: DataFrame, order_col: str, rank_col: str, group_cols: list[str] | None = None,
+           ascending: bool = False, ranges: int | None = None) -> DataFrame:
+    """Adds `rank_col` (INT) = RANK() OVER ([PARTITION BY group_cols] ORDER BY order_col
+    [ASC | DESC] NULLS LAST)."""
+    r = ranks(df, order_col, rank_col, group_cols, ascending, ranges)
+    on = same_as([*((c, f"_g{i}") for i, c in enumerate(group_cols or [])), (order_col, "_v")])
+    return df.join(r, on).select(*[F.col(f"`{c}`") for c in df.columns], rank_col)
 
 
 def grand_total(df: DataFrame, col: str) -> Column:

@@ -9,6 +9,7 @@ weekday numbering Sunday=0…Saturday=6, results cast to DOUBLE / BIGINT / INT.
 from __future__ import annotations
 
 from .params import FIXTURE, Params
+from .sources.schema import SOURCE_DOCS
 
 
 def hu(n: str, d: str) -> str:
@@ -37,12 +38,13 @@ def raw_tx_cte() -> str:
     return """raw_tx AS (
   SELECT concat('TXN', CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS transaction_id,
          CAST(o_orderdate AS DATE) AS date,
-         CAST(NULL AS VARCHAR) AS time,
+         printf('%02d:%02d', o_orderkey % 24, l_linenumber * 13 % 60) AS time,
          printf('SHOP%06d', s_suppkey) AS shop_id,
          s_name AS shop_name, n_name AS city,
          p_name AS product_name, p_type AS category,
          CAST(l_quantity AS INTEGER) AS quantity,
          p_retailprice AS unit_price,
+         CAST(l_extendedprice AS DOUBLE) AS total_amount,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS total_cents,
          printf('CUST%06d', o_custkey) AS customer_id,
          CASE WHEN o_orderkey % 4 = 1 THEN 'cash' ELSE 'card' END AS payment_method
@@ -54,22 +56,26 @@ def raw_tx_cte() -> str:
 
 def dirty_tx_cte() -> str:
     return """dirty_tx AS (
-  SELECT transaction_id,
+  SELECT CASE WHEN total_cents % 131 = 0 THEN ' ' || transaction_id ELSE transaction_id END
+           AS transaction_id,
          CASE WHEN total_cents % 101 = 0 THEN NULL ELSE date END AS date,
          time, shop_id, shop_name, city,
          CASE WHEN total_cents % 103 = 0 THEN NULL ELSE product_name END AS product_name,
          category,
          CASE WHEN total_cents % 107 = 0 THEN 0 ELSE quantity END AS quantity,
          unit_price,
-         CASE WHEN total_cents % 109 = 0 THEN -total_cents ELSE total_cents END AS total_cents,
-         customer_id, payment_method
+         CASE WHEN total_cents % 109 = 0 THEN -total_amount
+              WHEN total_cents % 113 = 0 THEN CAST(0.004 AS DOUBLE)
+              WHEN total_cents % 127 = 0 THEN CAST(19999.996 AS DOUBLE)
+              ELSE total_amount END AS total_amount,
+         total_cents AS c0, customer_id, payment_method
   FROM raw_tx)"""
 
 
-_ORDER = ["date", "shop_id", "product_name", "category", "quantity", "total_cents",
+_ORDER = ["date", "shop_id", "product_name", "category", "quantity", "total_amount",
           "unit_price", "customer_id", "shop_name", "city", "payment_method", "time"]
 _CRIT = ["transaction_id", "date", "shop_id", "product_name", "unit_price", "quantity",
-         "total_cents"]
+         "total_amount"]
 
 
 def not_null_critical() -> str:
@@ -89,7 +95,7 @@ def window_pred(p: Params) -> str:
 
 
 def valid_pred() -> str:
-    return "unit_price > 0 AND quantity > 0 AND total_cents > 0"
+    return "unit_price > 0 AND quantity > 0 AND total_amount > 0"
 
 
 def clean_cte(src: str = "dedup", p: Params = FIXTURE) -> str:
@@ -99,15 +105,15 @@ def clean_cte(src: str = "dedup", p: Params = FIXTURE) -> str:
 def processed_cte(p: Params = FIXTURE, src: str = "clean") -> str:
     return f"""processed AS (
   SELECT transaction_id, date, time, shop_id, shop_name, city, product_name, category,
-         quantity, unit_price, {amt('total_cents')} AS total_amount, customer_id,
+         quantity, unit_price, total_amount, customer_id,
          payment_method,
          dayname(date) AS day_of_week, monthname(date) AS month_name,
          CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month_number,
          coalesce(dayofweek(date) IN (0, 6), false) AS is_weekend,
-         CASE WHEN total_cents < {p.low_cents} THEN 'Low'
-              WHEN total_cents < {p.medium_cents} THEN 'Medium' ELSE 'High' END
+         CASE WHEN total_amount < {p.low_below} THEN 'Low'
+              WHEN total_amount < {p.medium_below} THEN 'Medium' ELSE 'High' END
            AS revenue_category,
-         total_cents
+         CAST(round(total_amount * 100) AS BIGINT) AS total_cents
   FROM {src})"""
 
 
@@ -115,7 +121,7 @@ def stg_cte() -> str:
     return """stg AS (
   SELECT transaction_id, date AS transaction_date, shop_id, shop_name, city,
          product_name, category, quantity, round(unit_price, 2) AS unit_price,
-         total_amount, customer_id, payment_method, day_of_week, month_name, year,
+         CAST(total_cents AS DOUBLE) / 100 AS total_amount, customer_id, payment_method, day_of_week, month_name, year,
          month_number, is_weekend, revenue_category,
          CASE WHEN is_weekend = true THEN 'Weekend' ELSE 'Weekday' END AS day_type,
          CASE WHEN month(date) IN (12, 1, 2) THEN 'Summer'
@@ -124,7 +130,7 @@ def stg_cte() -> str:
               WHEN month(date) IN (9, 10, 11) THEN 'Spring' END AS australian_season,
          total_cents
   FROM processed
-  WHERE transaction_id IS NOT NULL AND total_cents > 0 AND date IS NOT NULL)"""
+  WHERE transaction_id IS NOT NULL AND total_amount > 0 AND date IS NOT NULL)"""
 
 
 def with_ctes(*ctes: str) -> str:
@@ -229,10 +235,10 @@ STG_PUBLIC = _cols(
     "day_type", "australian_season")
 
 
-def _labeled_cte(p: Params) -> str:
+def _labeled_cte(p: Params, src: str = "dirty_tx") -> str:
     order = ", ".join(f"{c} ASC NULLS LAST" for c in _ORDER)
     bad = " OR ".join(f"{c} IS NULL" for c in _CRIT)
-    return f"""base AS (SELECT *, ({bad}) AS bad FROM dirty_tx),
+    return f"""base AS (SELECT *, ({bad}) AS bad FROM {src}),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY {order}) AS rn
            FROM base WHERE NOT bad),
 labeled AS (
@@ -264,12 +270,12 @@ FROM processed GROUP BY shop_name ORDER BY total_revenue DESC, shop_name"""
 FROM processed GROUP BY day_of_week ORDER BY revenue DESC"""
     q["clean_transactions"] = with_ctes(
         raw_tx_cte(), dirty_tx_cte(), dedup_cte("dirty_tx"), clean_cte(p=p)) + f"""
-SELECT transaction_id, date, shop_id, shop_name, city, product_name, category, quantity,
-       unit_price, {amt('total_cents')} AS total_amount, customer_id, payment_method
+SELECT transaction_id, date, time, shop_id, shop_name, city, product_name, category, quantity,
+       unit_price, total_amount, customer_id, payment_method
 FROM clean"""
     q["dedup_transactions"] = with_ctes(raw_tx_cte(), dedup_cte()) + f"""
-SELECT transaction_id, date, shop_id, shop_name, city, product_name, category, quantity,
-       unit_price, customer_id, payment_method, {amt('total_cents')} AS total_amount
+SELECT transaction_id, date, time, shop_id, shop_name, city, product_name, category, quantity,
+       unit_price, customer_id, payment_method, total_amount
 FROM dedup"""
     q["reject_reasons"] = dirty + "SELECT reject_reason, n_rows FROM reason_counts"
     q["row_audit"] = dirty + """SELECT
@@ -397,24 +403,27 @@ FROM (SELECT *, CAST(rank() OVER (ORDER BY revenue_cents DESC) AS INTEGER) AS ov
     AS avg_customers_per_shop,
   (SELECT count(DISTINCT customer_id) FROM stg) AS distinct_customers
 FROM shop_performance"""
-    q["insight_context"] = mp + """, prods AS (
-  SELECT shop_id, to_json(list_sort(list(struct_pack(
-           revenue_rank_in_shop := revenue_rank_in_shop, product_name := product_name,
-           total_revenue := CAST(total_revenue AS DECIMAL(20,2)))))) AS top_products_json
-  FROM top_products WHERE revenue_rank_in_shop <= 3 GROUP BY shop_id),
-wk AS (
-  SELECT day_of_week, """ + avg_amt('sum(revenue_cents)', 'count(revenue_cents)') + """ AS avg_revenue
+    q["insight_context"] = mp + f""", wk AS (
+  SELECT day_of_week, {avg_amt('sum(revenue_cents)', 'count(revenue_cents)')} AS avg_revenue
   FROM daily GROUP BY day_of_week)
-SELECT s.shop_id,
-  to_json(struct_pack(shop_name := s.shop_name, city := s.city,
-    total_revenue := CAST(s.total_revenue AS DECIMAL(20,2)),
-    avg_transaction_value := CAST(s.avg_transaction_value AS DECIMAL(20,2)),
-    revenue_rank := s.revenue_rank,
-    pct_of_total_revenue := CAST(s.pct_of_total_revenue AS DECIMAL(20,2)))) AS shop_json,
-  coalesce(p.top_products_json, '[]') AS top_products_json,
-  (SELECT to_json(list_sort(list(struct_pack(avg_revenue := CAST(avg_revenue AS DECIMAL(20,2)),
-     day_of_week := day_of_week)))) FROM wk) AS weekdays_json
-FROM shop_performance s LEFT JOIN prods p ON p.shop_id = s.shop_id"""
+SELECT 'shop' AS section, shop_id, revenue_rank AS position,
+  to_json(struct_pack(shop_name := shop_name, city := city,
+    total_revenue := CAST(total_revenue AS DECIMAL(20,2)),
+    avg_transaction_value := CAST(avg_transaction_value AS DECIMAL(20,2)),
+    revenue_rank := revenue_rank,
+    pct_of_total_revenue := CAST(pct_of_total_revenue AS DECIMAL(20,2)))) AS json
+FROM shop_performance
+UNION ALL
+SELECT 'product', shop_id, revenue_rank_in_shop,
+  to_json(struct_pack(product_name := product_name, category := category,
+    total_revenue := CAST(total_revenue AS DECIMAL(20,2))))
+FROM top_products WHERE revenue_rank_in_shop <= 3
+UNION ALL
+SELECT 'weekday', NULL, d.display_order,
+  to_json(struct_pack(day_of_week := wk.day_of_week,
+    avg_revenue := CAST(avg_revenue AS DECIMAL(20,2))))
+FROM wk JOIN (VALUES {_weekday_values()}) AS d(day_of_week, display_order)
+  ON d.day_of_week = wk.day_of_week"""
     q["calendar_spine_daily"] = spine + f"""SELECT transaction_date, shop_id, day_of_week,
   {amt('revenue_cents')} AS daily_revenue, total_transactions FROM spine"""
     q["revenue_by_weekday_filled"] = spine + f"""SELECT day_of_week,
@@ -431,9 +440,10 @@ FROM daily"""
 def io_oracle_sql(p: Params = FIXTURE) -> dict[str, str]:
     proc = with_ctes(raw_tx_cte(), dedup_cte(), clean_cte(p=p), processed_cte(p))
     mp = marts_prefix(p)
-    pub = ("transaction_id, date, shop_id, shop_name, city, product_name, category, quantity,"
-           " unit_price, total_amount, customer_id, payment_method, day_of_week, month_name,"
-           " year, month_number, is_weekend, revenue_category")
+    pub = ("transaction_id, date, time, shop_id, shop_name, city, product_name, category,"
+           " quantity, unit_price, total_amount, customer_id, payment_method, day_of_week,"
+           " month_name, year, month_number, is_weekend, revenue_category,"
+           " true AS processed_timestamp")
     q = {}
     q["quality_unique"] = with_ctes(raw_tx_cte()) + """SELECT transaction_id, count(*) AS n_rows
 FROM raw_tx WHERE transaction_id IS NOT NULL GROUP BY transaction_id HAVING count(*) > 1"""
@@ -448,14 +458,35 @@ WHERE CAST(round(unit_price * 100) AS BIGINT) * CAST(quantity AS BIGINT) <> tota
     q["variant_load"] = proc + f"SELECT {pub} FROM processed"
     q["csv_roundtrip"] = with_ctes(
         raw_tx_cte(), dirty_tx_cte(), dedup_cte("dirty_tx"), clean_cte(p=p)) + f"""
-SELECT transaction_id, date, shop_id, shop_name, city, product_name, category, quantity,
-       unit_price, {amt('total_cents')} AS total_amount, customer_id, payment_method
+SELECT transaction_id, date, time, shop_id, shop_name, city, product_name, category, quantity,
+       unit_price, total_amount, customer_id, payment_method
 FROM clean"""
     q["parquet_roundtrip"] = proc + f"SELECT {pub} FROM processed"
     q["shop_partitioned"] = with_ctes(raw_tx_cte()) + f"""SELECT shop_id, count(*) AS n_rows,
   {amt('sum(total_cents)')} AS total_amount FROM raw_tx GROUP BY shop_id"""
     q["idempotent_load"] = proc + f"""SELECT year, month_number, count(*) AS n_rows,
-  {amt('sum(total_cents)')} AS total_amount FROM processed GROUP BY year, month_number"""
+  {amt('sum(total_cents)')} AS total_amount FROM processed
+WHERE NOT (year = 1997 AND month_number = 7)
+  AND NOT (year = 1998 AND month_number = 5 AND quantity <= 10)
+GROUP BY year, month_number"""
+    q["json_load"] = proc + f"SELECT {pub} FROM processed WHERE total_cents % 10 <> 7"
+    q["json_load_audit"] = proc + """SELECT count(*) AS n_lines,
+  count(*) FILTER (WHERE total_cents % 10 <> 7) AS n_loaded,
+  count(*) FILTER (WHERE total_cents % 10 = 7) AS n_rejected FROM processed"""
+    messy = """messy_tx AS (
+  SELECT * EXCLUDE (date, quantity),
+         CASE WHEN c0 % 137 = 0 THEN NULL ELSE date END AS date,
+         CASE WHEN c0 % 139 = 0 THEN NULL ELSE quantity END AS quantity
+  FROM dirty_tx WHERE c0 % 149 <> 0)"""
+    q["csv_messy"] = with_ctes(raw_tx_cte(), dirty_tx_cte(), messy,
+                               _labeled_cte(p, "messy_tx")) + """
+SELECT reject_reason AS outcome, n_rows FROM reason_counts
+UNION ALL
+SELECT 'malformed', count(*) FROM dirty_tx WHERE c0 % 149 = 0"""
+    q["json_sink"] = serving_oracle_sql(p)["shops"]
+    q["column_contract"] = "SELECT * FROM (VALUES " + ", ".join(
+        f"('{c}', '{d}', CAST(NULL AS VARCHAR))" for c, d in SOURCE_DOCS.items()) + \
+        ") AS t(column_name, expected_comment, problem)"
     q["shops_json"] = mp + """SELECT shop_id, to_json(struct_pack(
   shop_id := shop_id, shop_name := shop_name, city := city,
   total_revenue := CAST(total_revenue AS DECIMAL(20,2)),
@@ -481,12 +512,13 @@ FROM processed GROUP BY shop_name"""
   CAST(CAST(CAST({hu('CAST(round(pct_of_total_revenue * 100) AS BIGINT)', '10')} AS DECIMAL(20,0)) / 10
        AS DECIMAL(20,1)) AS VARCHAR) || '%') AS line
 FROM shop_performance"""
+    q["text_sink"] = f"SELECT line FROM ({q['report_lines']})"
     return q
 
 
 def stream_oracle_sql() -> dict[str, str]:
     ev = f"""WITH ev AS (
-  SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(ts AS DATE) AS date,
+  SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(ts AS DATE) AS date, event_id, ts,
          event_type AS shop_id, CAST(user_id AS VARCHAR) AS customer_id,
          CAST(round(value * 100) AS BIGINT) AS total_cents
   FROM events)
@@ -501,4 +533,11 @@ FROM ev WHERE total_cents > 0 AND shop_id IS NOT NULL"""
   {amt('min(total_cents)')} AS min_transaction_value,
   {amt('max(total_cents)')} AS max_transaction_value
 FROM ev WHERE total_cents > 0 AND shop_id IS NOT NULL GROUP BY date, shop_id"""
+    # the first landing's newest event, in whole milliseconds, sets the watermark; later
+    # rows of the second landing whose id is not in the first are lost to silver
+    q["stream_late"] = ev.rstrip() + f""",
+ok AS (SELECT * FROM ev WHERE total_cents > 0 AND shop_id IS NOT NULL),
+mark AS (SELECT epoch_ms(max(ts)) - 86400000 AS ms FROM ok WHERE event_id % 10 < 9)
+SELECT transaction_id, date, shop_id, customer_id, {amt('total_cents')} AS total_amount
+FROM ok, mark WHERE event_id % 10 = 9 AND epoch_us(ts) <= ms * 1000"""
     return q

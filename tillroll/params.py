@@ -17,14 +17,6 @@ class Params:
     low_below: float = 20.0                # amount < low_below → "Low"
     medium_below: float = 100.0            # amount < medium_below → "Medium", else "High"
 
-    @property
-    def low_cents(self) -> int:
-        return int(round(self.low_below * 100))
-
-    @property
-    def medium_cents(self) -> int:
-        return int(round(self.medium_below * 100))
-
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 

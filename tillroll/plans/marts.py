@@ -7,15 +7,14 @@ in which partial sums are combined.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.money import (avg_amount, cents_to_amount, pct_2dp, ratio_amount,
                                to_cents)
 from ..operators.materialize import written
-from ..operators.ranking import (SINGLE_TASK_ROWS, at_most, distributed_rank_within,
-                                 global_rank, grand_total)
+from ..operators.ranking import grand_total, ranked, ranks, same_as
 
 DAILY_KEYS = ["transaction_date", "shop_id", "shop_name", "city", "day_of_week",
               "day_type", "australian_season", "month_name", "month_number", "year",
@@ -39,20 +38,34 @@ def daily_revenue(stg: DataFrame) -> DataFrame:
     The reference groups by eleven columns; seven of them (weekday, day type,
     season, month name and number, year, weekend flag) are functions of the date
     in the processed table, so the shuffle key is (date, shop_id, shop_name,
-    city) and those seven are derived once per output row after the aggregate."""
-    g = stg.groupBy("transaction_date", "shop_id", "shop_name", "city").agg(
+    city) and those seven are derived once per output row after the aggregate.
+
+    Two COUNT DISTINCTs in one aggregate would expand every staging row. Products are
+    counted on a first aggregate by product, which also carries all sums; customers by
+    a second, single distinct over three columns; both meet on the (date, shop) key."""
+    keys = ["transaction_date", "shop_id", "shop_name", "city"]
+    per_product = stg.groupBy(*keys, "product_name").agg(
         F.sum("total_cents").alias("_sum"),
-        F.count("transaction_id").alias("total_transactions"),
+        F.count("transaction_id").alias("_tx"),
         F.count("total_cents").alias("_n"),
         F.max("total_cents").alias("_max"),
         F.min("total_cents").alias("_min"),
-        F.countDistinct("product_name").alias("unique_products_sold"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.sum(F.when(F.col("payment_method") == "cash", 1).otherwise(0))
-         .cast("bigint").alias("cash_transactions"),
-        F.sum(F.when(F.col("payment_method") == "card", 1).otherwise(0))
-         .cast("bigint").alias("card_transactions"),
+        F.count_if(F.col("payment_method") == "cash").alias("_cash"),
+        F.count_if(F.col("payment_method") == "card").alias("_card"),
     )
+    g = per_product.groupBy(*keys).agg(
+        F.sum("_sum").alias("_sum"),
+        F.sum("_tx").alias("total_transactions"),
+        F.sum("_n").alias("_n"),
+        F.max("_max").alias("_max"),
+        F.min("_min").alias("_min"),
+        F.count("product_name").alias("unique_products_sold"),
+        F.sum("_cash").alias("cash_transactions"),
+        F.sum("_card").alias("card_transactions"),
+    )
+    customers = stg.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.countDistinct("customer_id").alias("unique_customers"))
+    g = g.join(customers, same_as([(k, f"_k_{k}") for k in keys]))
     d = F.col("transaction_date")
     weekend = cal.is_weekend(d)
     return g.select(
@@ -90,50 +103,30 @@ def product_aggregates(stg: DataFrame) -> DataFrame:
     )
 
 
-def _small(stg: DataFrame, n: int, rows_bound: int | None) -> bool:
-    """At most `n` staging rows: from the caller's proven bound when given (the
-    row count of the written table staging filters, read from Parquet footers),
-    else from a count of staging itself."""
-    return rows_bound <= n if rows_bound is not None else at_most(stg, n)
-
-
-def top_products(stg: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS,
-                 rows_bound: int | None = None) -> DataFrame:
+def top_products(stg: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """E2 + F1–F3: product metrics with two in-shop ranks and the share of the
     shop's revenue.
 
-    The (shop, product) aggregate is written once. When it provably holds at
-    most `single_task_rows` rows, the three windows run partitioned by shop
-    (one exchange). Otherwise no shop's products are gathered in one task: both
-    ranks use the range-partitioned per-group rank and the shop total comes
-    from a shop-level aggregate joined back on shop_id."""
-    # If staging itself has at most N rows, so has the aggregate: no need to
-    # write it before the windows. Otherwise it is written once and checked.
-    small_input = _small(stg, single_task_rows, rows_bound)
-    g = product_aggregates(stg) if small_input else written(
+    `products` is the written (shop, product) aggregate, made here if not given. Both
+    ranks are operators.ranking.ranked; the shop total is a shop-level aggregate joined
+    back on shop_id. No shop's products are gathered in one task."""
+    g = products if products is not None else written(
         product_aggregates(stg), "product_aggregates")
-    if small_input or at_most(g, single_task_rows):
-        by_shop = Window.partitionBy("shop_id")
-        ranked = g.select(
-            "*",
-            F.rank().over(by_shop.orderBy(F.desc("_sum"))).alias("revenue_rank_in_shop"),
-            F.rank().over(by_shop.orderBy(F.desc("total_transactions")))
-             .alias("popularity_rank_in_shop"),
-            F.sum("_sum").over(by_shop).alias("_shop_sum"))
-    else:
-        totals = g.groupBy("shop_id").agg(F.sum("_sum").alias("_shop_sum"))
-        r = distributed_rank_within(g, ["shop_id"], "_sum", "revenue_rank_in_shop")
-        r = distributed_rank_within(r, ["shop_id"], "total_transactions",
-                                    "popularity_rank_in_shop")
-        ranked = r.join(totals, "shop_id")
-    return ranked.select(
+    totals = written(g.groupBy(F.col("shop_id").alias("_shop"))
+                     .agg(F.sum("_sum").alias("_shop_sum")), "shop_totals")
+    by_revenue = ranks(g, "_sum", "revenue_rank_in_shop", ["shop_id"])
+    by_count = ranks(g, "total_transactions", "popularity_rank_in_shop", ["shop_id"]).select(
+        F.col("_g0").alias("_g1"), F.col("_v").alias("_v1"), "popularity_rank_in_shop")
+    out = (g.join(by_revenue, same_as([("shop_id", "_g0"), ("_sum", "_v")]))
+           .join(by_count, same_as([("shop_id", "_g1"), ("total_transactions", "_v1")]))
+           .join(totals, same_as([("shop_id", "_shop")])))
+    return out.select(
         *PRODUCT_KEYS,
         "total_transactions", "total_units_sold",
         cents_to_amount("_sum").alias("total_revenue"),
         avg_amount("_sum", "_n").alias("avg_sale_value"),
         avg_amount("_price_sum", "_price_n").alias("avg_unit_price"),
-        F.col("revenue_rank_in_shop").cast("int").alias("revenue_rank_in_shop"),
-        F.col("popularity_rank_in_shop").cast("int").alias("popularity_rank_in_shop"),
+        "revenue_rank_in_shop", "popularity_rank_in_shop",
         cents_to_amount("_we").alias("weekend_revenue"),
         cents_to_amount("_wd").alias("weekday_revenue"),
         pct_2dp(F.col("_sum"), F.col("_shop_sum")).alias("pct_of_shop_revenue"),
@@ -142,19 +135,14 @@ def top_products(stg: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS,
     )
 
 
-def shop_aggregates(stg: DataFrame, products: DataFrame | None = None) -> DataFrame:
+def shop_aggregates(stg: DataFrame, products: DataFrame) -> DataFrame:
     """Shop-grain sums and counts.
 
-    Each COUNT DISTINCT makes Spark's Expand pass every input row through the
-    aggregate once more. With `products` (the written (shop, product, category)
-    table of top_products), distinct products and categories per shop are
-    counted on that much smaller table — an exact coarsening, since every
-    staging row belongs to one of its groups — and joined on the shop keys
-    (NULL-safe, one row per shop on both sides), so the full staging scan only
-    carries the customer distinct."""
-    per_product = [] if products is not None else [
-        F.countDistinct("product_name").alias("unique_products"),
-        F.countDistinct("category").alias("unique_categories")]
+    Each further COUNT DISTINCT would make Spark's Expand pass every staging row through
+    the aggregate once more. Distinct products and categories per shop are counted on
+    `products`, the written (shop, product, category) aggregate — an exact coarsening,
+    since every staging row belongs to one of its groups — and joined on the shop keys,
+    so the staging scan carries the customer distinct alone."""
     g = stg.groupBy(*SHOP_KEYS).agg(
         F.sum("total_cents").alias("_sum"),
         F.count("transaction_id").alias("total_transactions"),
@@ -162,7 +150,6 @@ def shop_aggregates(stg: DataFrame, products: DataFrame | None = None) -> DataFr
         F.max("total_cents").alias("_max"),
         F.min("total_cents").alias("_min"),
         F.countDistinct("customer_id").alias("unique_customers"),
-        *per_product,
         F.sum(F.when(_weekend(), F.col("total_cents")).otherwise(0)).alias("_we"),
         F.sum(F.when(_weekday(), F.col("total_cents")).otherwise(0)).alias("_wd"),
         F.count_if(_weekend()).alias("weekend_transactions"),
@@ -173,15 +160,10 @@ def shop_aggregates(stg: DataFrame, products: DataFrame | None = None) -> DataFr
         F.count_if(F.col("revenue_category") == "Medium").alias("medium_value_transactions"),
         F.count_if(F.col("revenue_category") == "Low").alias("low_value_transactions"),
     )
-    if products is None:
-        return g
     pc = products.groupBy(*[F.col(c).alias(f"_p_{c}") for c in SHOP_KEYS]).agg(
         F.countDistinct("product_name").alias("unique_products"),
         F.countDistinct("category").alias("unique_categories"))
-    cond = None
-    for c in SHOP_KEYS:
-        e = F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-        cond = e if cond is None else cond & e
+    cond = same_as([(c, f"_p_{c}") for c in SHOP_KEYS])
     return g.join(pc, cond, "left").select(
         *g.columns,
         F.coalesce("unique_products", F.lit(0)).alias("unique_products"),
@@ -199,25 +181,15 @@ SHOP_PERFORMANCE_COLUMNS = [
 ]
 
 
-def shop_performance(stg: DataFrame, rows_bound: int | None = None,
-                     products: DataFrame | None = None) -> DataFrame:
-    """E3 + F4/F5: the shop mart. The global rank is computed by range
-    partitioning (operators.ranking), the share of the grand total from a
-    scalar subquery — no step gathers all shops into one task."""
-    # On a large input the aggregate is written once: the size check of the
-    # rank, the grand total and the rank then read that small table. If staging
-    # has at most N rows (so has the aggregate), it stays lazy.
-    small_input = _small(stg, SINGLE_TASK_ROWS, rows_bound)
-    g = shop_aggregates(stg, products)
-    if not small_input:
-        g = written(g, "shop_aggregates")
-    # grand total: on a proven-small aggregate a whole-table window (no second
-    # computation of the aggregate); otherwise a scalar subquery over the
-    # written table, bound to a column once (the half-up helper references its
-    # divisor several times)
-    total = (F.sum("_sum").over(Window.partitionBy()) if small_input
-             else grand_total(g, "_sum"))
-    g = g.withColumn("_total", total)
+def shop_performance(stg: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """E3 + F4/F5: the shop mart. `products` is the written (shop, product) aggregate,
+    made here if not given. The shop aggregate is written once: the rank and the grand
+    total (a scalar subquery, bound to a column because the half-up helper names its
+    divisor several times) read that table. No step gathers all shops into one task."""
+    if products is None:
+        products = written(product_aggregates(stg), "product_aggregates")
+    g = written(shop_aggregates(stg, products), "shop_aggregates")
+    g = ranked(g, "_sum", "revenue_rank").withColumn("_total", grand_total(g, "_sum"))
     m = g.select(
         *SHOP_KEYS,
         cents_to_amount("_sum").alias("total_revenue"),
@@ -235,11 +207,8 @@ def shop_performance(stg: DataFrame, rows_bound: int | None = None,
         pct_2dp("card_transactions", "total_transactions").alias("card_payment_pct"),
         "high_value_transactions", "medium_value_transactions", "low_value_transactions",
         pct_2dp(F.col("_sum"), F.col("_total")).alias("pct_of_total_revenue"),
-        F.col("_sum").alias("revenue_cents"),
+        F.col("_sum").alias("revenue_cents"), "revenue_rank",
     )
-    ranked = global_rank(m, "revenue_cents", "revenue_rank",
-                         single_task_rows=None if small_input else SINGLE_TASK_ROWS,
-                         known_small=small_input)
-    return ranked.select(*SHOP_PERFORMANCE_COLUMNS[:-2], "revenue_rank",
-                         "pct_of_total_revenue",
-                         F.current_timestamp().alias("updated_at"), "revenue_cents")
+    return m.select(*SHOP_PERFORMANCE_COLUMNS[:-2], "revenue_rank",
+                    "pct_of_total_revenue",
+                    F.current_timestamp().alias("updated_at"), "revenue_cents")

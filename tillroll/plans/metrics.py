@@ -3,14 +3,14 @@ gap-filled calendar spine (D3) and seasonally adjusted revenue (B17)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.money import (avg_amount, cents_to_amount, half_up_div, pct_2dp,
                                to_cents)
-from ..operators.ranking import global_rank, grand_max
-from .serving import revenue_by_weekday
+from ..operators.ranking import grand_max
+from .serving import WEEKDAY_DISPLAY_ORDER, revenue_by_weekday
 
 
 def value_mix(shop_mart: DataFrame) -> DataFrame:
@@ -63,15 +63,19 @@ def bottom_products(top: DataFrame) -> DataFrame:
 def top_products_overall(top: DataFrame, k: int = 5) -> DataFrame:
     """M5: products ranked over all shops, rank <= k (ties kept).
 
-    The k-th largest revenue is found by a distributed top-k (each task keeps k
-    rows); only rows at or above it are ranked, by the range-partitioned rank."""
+    A value's rank is at most k only if it is among the k largest distinct values; these
+    are a distributed top-k over counted values (one row per value), and their ranks a
+    running sum over k rows. The products are then those whose value is among them."""
     cents = to_cents("total_revenue")
     base = top.select("shop_id", "shop_name", "product_name", "category",
                       "total_revenue", cents.alias("_c"))
-    kth = base.select("_c").orderBy(F.desc("_c")).limit(k).agg(F.min("_c")).scalar()
-    cand = base.filter(F.col("_c") >= kth)
-    ranked = global_rank(cand, "_c", "overall_rank")
-    return ranked.filter(F.col("overall_rank") <= k).drop("_c")
+    best = (base.filter(F.col("_c").isNotNull()).groupBy(F.col("_c").alias("_v"))
+            .agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_v")).limit(k))
+    above = Window.orderBy(F.desc("_v")).rowsBetween(Window.unboundedPreceding, -1)
+    best = best.select("_v", (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).cast("int")
+                       .alias("overall_rank")).filter(F.col("overall_rank") <= k)
+    return (base.join(F.broadcast(best), F.col("_c") == F.col("_v"))
+            .drop("_c", "_v"))
 
 
 def customers_per_shop(shop_mart: DataFrame, stg: DataFrame) -> DataFrame:
@@ -87,50 +91,37 @@ def customers_per_shop(shop_mart: DataFrame, stg: DataFrame) -> DataFrame:
         distinct_all.alias("distinct_customers"))
 
 
-# Most top-k entries one JSON array holds (expected size of a chunk, see below).
-TOP_ARRAY_ROWS = 10_000
-
-
 def insight_context(shop_mart: DataFrame, top: DataFrame, daily: DataFrame,
-                    k: int = 3, array_rows: int = TOP_ARRAY_ROWS) -> DataFrame:
-    """The report's data bundle as JSON, one row per shop.
-
-    Each row carries the shop's figures, its top-k products and the seven
-    weekday means (a fixed seven-row array from a scalar subquery). Nothing
-    collects the shops themselves into one value.
-
-    Ties keep every product with rank <= k, so a shop's top-k list has no upper
-    bound. Each shop's list is therefore split by a hash of the product into
-    ceil(n / array_rows) chunks, n being the shop's count from a one-row-per-shop
-    aggregate: a usual shop (n <= array_rows) gets one array exactly as before,
-    a shop with very many tied products gets several rows (same shop_json), each
-    array about array_rows long. No product is dropped."""
-    shop_obj = F.to_json(F.struct(
-        "shop_name", "city", F.col("total_revenue").cast("decimal(20,2)").alias("total_revenue"),
-        F.col("avg_transaction_value").cast("decimal(20,2)").alias("avg_transaction_value"),
-        "revenue_rank",
-        F.col("pct_of_total_revenue").cast("decimal(20,2)").alias("pct_of_total_revenue")))
-    entries = top.filter(F.col("revenue_rank_in_shop") <= k).select(
-        "shop_id", "product_name", "category", "revenue_rank_in_shop",
-        F.col("total_revenue").cast("decimal(20,2)").alias("total_revenue"))
-    sizes = entries.groupBy("shop_id").agg(
-        F.ceil(F.count("*") / F.lit(array_rows)).alias("_chunks"))
-    chunked = entries.join(sizes, "shop_id").withColumn(
-        "_chunk", F.pmod(F.xxhash64("product_name", "category"), F.col("_chunks")))
-    prods = (chunked.groupBy("shop_id", "_chunk")
-             .agg(F.to_json(F.array_sort(F.collect_list(F.struct(
-                 "revenue_rank_in_shop", "product_name", "total_revenue"))))
-                  .alias("top_products_json"))
-             .drop("_chunk"))
-    days = revenue_by_weekday(daily)
-    days_json = days.agg(F.to_json(F.array_sort(F.collect_list(F.struct(
-        F.col("avg_revenue").cast("decimal(20,2)").alias("avg_revenue"),
-        "day_of_week"))))).scalar()
-    return (shop_mart.select("shop_id", shop_obj.alias("shop_json"))
-            .join(prods, "shop_id", "left")
-            .select("shop_id", "shop_json",
-                    F.coalesce("top_products_json", F.lit("[]")).alias("top_products_json"),
-                    days_json.alias("weekdays_json")))
+                    k: int = 3) -> DataFrame:
+    """The report's data bundle as JSON, one row per item: (section, shop_id,
+    position, json). Sections are `shop` (a shop's figures, position its revenue rank),
+    `product` (a product with rank <= k in its shop, ties kept, position its rank) and
+    `weekday` (a weekday's mean, no shop, position in display order). A consumer orders
+    by section and position; no value's length follows the data."""
+    def money(c: str):
+        return F.col(c).cast("decimal(20,2)").alias(c)
+
+    def items(df: DataFrame, section: str, shop, position, *fields) -> DataFrame:
+        return df.select(F.lit(section).alias("section"), shop.cast("string").alias("shop_id"),
+                         position.cast("int").alias("position"),
+                         F.to_json(F.struct(*fields)).alias("json"))
+
+    shops = items(shop_mart, "shop", F.col("shop_id"), F.col("revenue_rank"),
+                  "shop_name", "city", money("total_revenue"), money("avg_transaction_value"),
+                  "revenue_rank", money("pct_of_total_revenue"))
+    products = items(top.filter(F.col("revenue_rank_in_shop") <= k), "product",
+                     F.col("shop_id"), F.col("revenue_rank_in_shop"),
+                     "product_name", "category", money("total_revenue"))
+    order = F.array(*[F.lit(d) for d in WEEKDAY_DISPLAY_ORDER])
+    days = items(revenue_by_weekday(daily), "weekday", F.lit(None),
+                 F.array_position(order, F.col("day_of_week")), "day_of_week", money("avg_revenue"))
+    return shops.unionByName(products).unionByName(days)
+
+
+def date_bounds(daily: DataFrame):
+    """struct(lo, hi): first and last day, one aggregate as one scalar subquery."""
+    return daily.select(F.struct(F.min("transaction_date").alias("lo"),
+                                 F.max("transaction_date").alias("hi"))).scalar()
 
 
 def calendar_spine_daily(daily: DataFrame) -> DataFrame:
@@ -138,13 +129,12 @@ def calendar_spine_daily(daily: DataFrame) -> DataFrame:
     with zero revenue on days without sales.
 
     The spine is generated per shop (explode of a date sequence whose bounds are
-    two scalar subqueries), so it is spread evenly over the shop rows; no cross
+    one scalar subquery), so it is spread evenly over the shop rows; no cross
     join. It is then left-joined to the daily rows on their unique key."""
-    lo = daily.select(F.min("transaction_date")).scalar()
-    hi = daily.select(F.max("transaction_date")).scalar()
+    days = date_bounds(daily)
     shops = daily.select("shop_id").distinct()
-    spine = shops.select("shop_id", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))
-                         .alias("transaction_date"))
+    spine = shops.select("shop_id", F.explode(F.sequence(
+        days["lo"], days["hi"], F.expr("INTERVAL 1 DAY"))).alias("transaction_date"))
     d = daily.select("shop_id", "transaction_date", "revenue_cents", "total_transactions")
     j = spine.join(d, ["shop_id", "transaction_date"], "left")
     return j.select(
@@ -156,11 +146,18 @@ def calendar_spine_daily(daily: DataFrame) -> DataFrame:
 
 
 def revenue_by_weekday_filled(daily: DataFrame) -> DataFrame:
-    """E6 on the gap-filled spine: days without sales count as zero revenue."""
-    s = calendar_spine_daily(daily)
-    g = s.groupBy("day_of_week").agg(F.sum("revenue_cents").alias("_s"),
-                                     F.count("revenue_cents").alias("_n"))
-    return g.select("day_of_week", avg_amount("_s", "_n").alias("avg_revenue"),
+    """E6 over all days of all shops: days without sales count as zero revenue. They add
+    nothing to a weekday's sum, and its number of shop-days is the number of shops times
+    its days between the bounds, so the shop x day grid is never made."""
+    span = daily.agg(F.min("transaction_date").alias("lo"), F.max("transaction_date").alias("hi"),
+                     F.countDistinct("shop_id").alias("shops"))
+    days = (span.filter("lo IS NOT NULL")
+            .select("shops", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d"))
+            .groupBy(cal.day_name("d").alias("day_of_week"))
+            .agg((F.count(F.lit(1)) * F.max("shops")).alias("_n")))
+    sums = daily.groupBy(F.col("day_of_week").alias("_day")).agg(F.sum("revenue_cents").alias("_s"))
+    j = days.join(F.broadcast(sums), F.col("day_of_week") == F.col("_day"), "left")
+    return j.select("day_of_week", avg_amount(F.coalesce("_s", F.lit(0)), "_n").alias("avg_revenue"),
                     F.col("_n").alias("shop_days"))
 
 

@@ -13,17 +13,18 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.materialize import written
+from ..operators.materialize import discard, folder_state, written
 from ..params import FIXTURE, Params
 from . import marts, staging
 
-_CACHE: dict[tuple, "ModelSet"] = {}
+_CACHE: dict[tuple, tuple[tuple, "ModelSet"]] = {}
 
 
 class ModelSet:
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params = FIXTURE):
         self.spark, self.sf_dir, self.p = spark, sf_dir, p
         self._t: dict[str, DataFrame] = {}
+        self.warehouse = None  # set by whoever publishes the tables to the catalog
 
     @classmethod
     def over(cls, processed: DataFrame, sf_dir: str, p: Params = FIXTURE) -> "ModelSet":
@@ -45,58 +46,61 @@ class ModelSet:
         """Staging is a view (lazy) over the written processed table."""
         return staging.stg_transactions(self.processed())
 
-    def stg_bound(self) -> int:
-        """Upper bound on staging rows: the written processed table's row count
-        (staging only filters it), answered from Parquet footers, once."""
-        if "_bound" not in self.__dict__:
-            self._bound = self.processed().count()
-        return self._bound
+    def products(self) -> DataFrame:
+        """The (shop, product) aggregate that both top_products and shop_performance
+        start from."""
+        return self._table("product_aggregates", lambda: marts.product_aggregates(self.stg()))
 
     def daily(self) -> DataFrame:
         return self._table("daily_revenue", lambda: marts.daily_revenue(self.stg()))
 
     def top(self) -> DataFrame:
         return self._table("top_products", lambda: marts.top_products(
-            self.stg(), rows_bound=self.stg_bound()))
+            self.stg(), self.products()))
 
     def shop(self) -> DataFrame:
         return self._table("shop_performance", lambda: marts.shop_performance(
-            self.stg(), rows_bound=self.stg_bound(), products=self.shop_products()))
-
-    def large(self) -> bool:
-        return self.stg_bound() > marts.SINGLE_TASK_ROWS
-
-    def shop_products(self) -> DataFrame | None:
-        """On a large input, the top_products table, from which the shop mart
-        counts distinct products and categories (two fewer COUNT DISTINCTs over
-        the full staging scan). On a small input the shop mart counts them
-        itself and does not wait for top_products."""
-        return self.top() if self.large() else None
+            self.stg(), self.products()))
 
     def build_all(self, parallel: bool = True) -> "ModelSet":
-        """Writes processed, then the three independent models. With `parallel`,
-        the models (on a large input: daily_revenue and the chain top_products →
-        shop_performance) are submitted together from driver threads, so the
-        small final stages of one model share the cluster with the others."""
+        """Writes processed, then the models. With `parallel` they are submitted from
+        driver threads, so the small final stages of one model share the cluster with
+        the others; top_products and shop_performance start once the product aggregate
+        is written."""
         self.processed()
-        self.stg_bound()
-        # on a large input shop_performance reads the top_products table
-        # (distinct products and categories per shop), so it follows top in the
-        # same thread
-        builders = ([self.daily, lambda: (self.top(), self.shop())] if self.large()
-                    else [self.daily, self.top, self.shop])
-        if parallel:
-            with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-                for f in [pool.submit(b) for b in builders]:
-                    f.result()
-        else:
-            for b in builders:
-                b()
+        if not parallel:
+            for build in (self.daily, self.top, self.shop):
+                build()
+            return self
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            jobs = [pool.submit(self.daily)]
+            self.products()
+            jobs += [pool.submit(self.top), pool.submit(self.shop)]
+            for f in jobs:
+                f.result()
         return self
 
 
+    def discard(self) -> None:
+        """Drops the written tables, once newer ones have replaced them."""
+        for df in self._t.values():
+            for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+                discard(self.spark, folder)
+        self._t.clear()
+        if self.warehouse is not None:
+            discard(self.spark, self.warehouse.root)
+
+
+TABLES = ("lineitem", "orders", "part", "supplier", "nation")
+
+
 def models(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> ModelSet:
+    """The model set of a data folder. New, changed or removed input files make a new
+    one and drop the tables of the old."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), p)
-    if key not in _CACHE:
-        _CACHE[key] = ModelSet(spark, sf_dir, p)
-    return _CACHE[key]
+    state = tuple(folder_state(spark, f"{key[1]}/{t}.parquet") for t in TABLES)
+    if key not in _CACHE or _CACHE[key][0] != state:
+        if key in _CACHE:
+            _CACHE[key][1].discard()
+        _CACHE[key] = (state, ModelSet(spark, sf_dir, p))
+    return _CACHE[key][1]

@@ -42,19 +42,11 @@ def report_shops(shop_mart: DataFrame) -> DataFrame:
 
 def shop_by_id(shop_mart: DataFrame, shop_id: str) -> DataFrame:
     """V2 `/shops/{id}`: case-folded point lookup; an empty result means not found.
-    The argument is a bound literal, never spliced into SQL text."""
+    The argument is a bound literal, never spliced into SQL text: `x' OR '1'='1` is
+    compared as text."""
     return shop_mart.filter(F.col("shop_id") == F.upper(F.lit(shop_id)))
 
 
-def shop_by_id_sql(shop_mart: DataFrame, shop_id: str,
-                   view: str = "shop_performance") -> DataFrame:
-    """V2 through the SQL API: the argument is a named parameter marker, so a
-    value such as `x' OR '1'='1` is compared as text, never executed."""
-    shop_mart.createOrReplaceTempView(view)
-    return shop_mart.sparkSession.sql(
-        f"SELECT * FROM {view} WHERE shop_id = upper(:shop_id)", args={"shop_id": shop_id})
-
-
 def recent_daily(daily: DataFrame, limit: int = 100) -> DataFrame:
     """V3 `/revenue/daily`: the latest `limit` shop-days; shop_id breaks date ties
     so the answer is deterministic (distributed top-k, no global sort)."""
@@ -131,18 +123,19 @@ def portfolio_summary(shop_mart: DataFrame) -> DataFrame:
              "total_customers")
 
 
-def portfolio_summary_true(stg: DataFrame) -> DataFrame:
-    """The same figures computed from the transactions: distinct shops and
-    customers over all shops, and the mean over all transactions."""
-    return stg.agg(
+def portfolio_summary_true(stg: DataFrame, shop_mart: DataFrame) -> DataFrame:
+    """The same figures without counting shared customers twice: the shop mart's sums
+    (its rows partition the transactions) beside the distinct customers of all shops,
+    for which staging is read in that one column."""
+    customers = stg.select(F.countDistinct("customer_id")).scalar()
+    return shop_mart.agg(
         F.countDistinct("shop_id").alias("total_shops"),
-        F.sum("total_cents").alias("_s"),
-        F.count("transaction_id").alias("total_transactions"),
-        F.count("total_cents").alias("_n"),
-        F.countDistinct("customer_id").alias("total_customers"),
+        F.sum("revenue_cents").alias("_s"),
+        F.sum("total_transactions").cast("bigint").alias("total_transactions"),
     ).select("total_shops", cents_to_amount("_s").alias("total_revenue"),
-             "total_transactions", avg_amount("_s", "_n").alias("avg_transaction_value"),
-             "total_customers")
+             "total_transactions",
+             avg_amount("_s", "total_transactions").alias("avg_transaction_value"),
+             customers.alias("total_customers"))
 
 
 def shop_bars(shop_mart: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.money import cents_to_amount
-from ..operators.clean import clean, critical_null, deduplicated
+from ..operators.clean import clean, critical_null, deduplicated, in_window, valid_values
 from ..operators.enrich import enrich
 from ..params import FIXTURE, Params
 from ..sources import fixture
@@ -30,11 +30,8 @@ def processed(typed: DataFrame, p: Params) -> DataFrame:
 def stg_transactions(processed_df: DataFrame) -> DataFrame:
     """Staging: guard filter, `date` → `transaction_date`, money to 2 dp, day type,
     season and a load timestamp. `total_cents` stays as the exact money column."""
-    cents = (F.col("total_cents") if "total_cents" in processed_df.columns
-             else F.round(F.col("total_amount") * 100).cast("bigint"))
-    src = processed_df.withColumn("total_cents", cents)
-    return (src
-            .filter(F.col("transaction_id").isNotNull() & (F.col("total_cents") > 0)
+    return (processed_df
+            .filter(F.col("transaction_id").isNotNull() & (F.col("total_amount") > 0)
                     & F.col("date").isNotNull())
             .select(
                 "transaction_id",
@@ -72,10 +69,7 @@ def cleaning_job(typed: DataFrame, p: Params, path: str) -> dict[str, int]:
     src = typed.observe(o_in, F.count(F.lit(1)).alias("rows"),
                         F.count_if(crit).alias("null_critical"))
     d = deduplicated(src).observe(o_dedup, F.count(F.lit(1)).alias("rows"))
-    kept = d.filter((F.col("unit_price") > 0) & (F.col("quantity") > 0)
-                    & (F.col("total_cents") > 0)
-                    & (F.col("date") >= F.lit(p.min_date))
-                    & (F.col("date") <= (F.lit(p.as_of) if p.as_of else F.current_date())))
+    kept = d.filter(valid_values() & in_window(p))
     out = enrich(kept, p).observe(o_out, F.count(F.lit(1)).alias("rows"))
     out.write.mode("overwrite").parquet(path)
     raw = o_in.get

@@ -1,10 +1,11 @@
 """Named layers in the session catalog.
 
-`raw.transactions` is declared with DDL (column and table comments) as an
+`<prefix>_raw.transactions` is declared with DDL (column and table comments) as an
 external Parquet table partitioned by year and month; staging is a temporary
-view; the models are tables in `analytics` and `marts`. All data lives under a
-root folder in the shared checkpoint location, so nothing is written to the
-process's working directory.
+view; the models are tables in `<prefix>_analytics` and `<prefix>_marts`. The prefix is
+the caller's, so two deployments never share a table and nobody's `raw` or `marts` is
+touched. Publishing replaces whole tables. All data lives under a root folder in the
+shared checkpoint location, so nothing is written to the process's working directory.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from pyspark.sql import types as T
 
 from ..sources.schema import PROCESSED_SCHEMA
 from .models import ModelSet
+from .staging import stg_transactions
 
 LAYERS = {
-    "raw": "Cleaned transactions loaded from the processed files",
-    "analytics": "Aggregates for trend and product analysis",
-    "marts": "Final tables for the dashboard and the report",
+    "raw": "Clean sale lines as loaded from the processed files",
+    "analytics": "Daily and product aggregates",
+    "marts": "Tables that reports and dashboards read",
 }
 
 
@@ -26,52 +28,59 @@ def _ddl_type(t: T.DataType) -> str:
     return t.simpleString().upper()
 
 
-def transactions_ddl(location: str) -> str:
+def transactions_ddl(table: str, location: str) -> str:
     part = {"year", "month_number"}
     cols = [f for f in PROCESSED_SCHEMA.fields if f.name not in part] + \
         [f for f in PROCESSED_SCHEMA.fields if f.name in part]
     body = ",\n  ".join(
         f"`{f.name}` {_ddl_type(f.dataType)} COMMENT '{f.metadata.get('comment', '')}'"
         for f in cols)
-    return (f"CREATE TABLE IF NOT EXISTS raw.transactions (\n  {body}\n) USING parquet\n"
+    return (f"CREATE TABLE {table} (\n  {body}\n) USING parquet\n"
             f"PARTITIONED BY (year, month_number)\nLOCATION '{location}'\n"
-            f"COMMENT 'Clean retail transactions'")
-
-
-def create_layers(spark: SparkSession, root: str) -> None:
-    for db, comment in LAYERS.items():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} COMMENT '{comment}' "
-                  f"LOCATION '{root}/{db}.db'")
-    spark.sql(transactions_ddl(f"{root}/raw.db/transactions"))
-
-
-def publish(ms: ModelSet, root: str) -> None:
-    """Loads processed rows into `raw.transactions` (dynamic partition
-    overwrite: re-publishing replaces, never doubles), registers the staging
-    view and writes the three model tables."""
-    spark = ms.spark
-    create_layers(spark, root)
-    cols = spark.table("raw.transactions").columns
-    ms.processed().select(*cols).write.insertInto("raw.transactions", overwrite=True)
-    source(spark, "raw", "transactions")
-    stg_view(spark).createOrReplaceTempView("stg_transactions")
-    for db, name, df in (("analytics", "daily_revenue", ms.daily()),
-                         ("analytics", "top_products", ms.top()),
-                         ("marts", "shop_performance", ms.shop())):
-        (df.write.mode("overwrite").option("path", f"{root}/{db}.db/{name}")
-         .saveAsTable(f"{db}.{name}"))
-
-
-def source(spark: SparkSession, layer: str, name: str) -> DataFrame:
-    """A named source table of the catalog."""
-    return spark.table(f"{layer}.{name}")
-
-
-def stg_view(spark: SparkSession) -> DataFrame:
-    from .staging import stg_transactions
-    return stg_transactions(source(spark, "raw", "transactions"))
-
-
-def column_comments(spark: SparkSession, table: str) -> dict[str, str]:
-    return {f.name: (f.metadata or {}).get("comment", "")
-            for f in spark.table(table).schema.fields}
+            f"COMMENT 'Clean sale lines'")
+
+
+class Warehouse:
+    """The layers of one deployment: databases `<prefix>_raw`, `_analytics`, `_marts`."""
+
+    def __init__(self, spark: SparkSession, prefix: str, root: str):
+        self.spark, self.prefix, self.root = spark, prefix, root
+
+    def name(self, layer: str, table: str) -> str:
+        return f"{self.prefix}_{layer}.{table}"
+
+    def publish(self, ms: ModelSet) -> "Warehouse":
+        """Replaces every table. Processed rows are range-clustered by month, so a month
+        folder gets a file or two, not one from every task."""
+        spark, root = self.spark, self.root
+        for layer, comment in LAYERS.items():
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}_{layer} "
+                      f"COMMENT '{comment}' LOCATION '{root}/{layer}.db'")
+        transactions = self.name("raw", "transactions")
+        spark.sql(f"DROP TABLE IF EXISTS {transactions}")
+        spark.sql(transactions_ddl(transactions, f"{root}/raw.db/transactions"))
+        (ms.processed().select(*spark.table(transactions).columns)
+         .repartitionByRange("year", "month_number", "date", "transaction_id")
+         .write.insertInto(transactions, overwrite=True))
+        self.staging().createOrReplaceTempView(f"{self.prefix}_stg_transactions")
+        for layer, table, df in (("analytics", "daily_revenue", ms.daily()),
+                                 ("analytics", "top_products", ms.top()),
+                                 ("marts", "shop_performance", ms.shop())):
+            spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+            (df.write.option("path", f"{root}/{layer}.db/{table}")
+             .saveAsTable(self.name(layer, table)))
+        return self
+
+    def source(self, layer: str, table: str) -> DataFrame:
+        """A named source table of the catalog."""
+        return self.spark.table(self.name(layer, table))
+
+    def staging(self) -> DataFrame:
+        return stg_transactions(self.source("raw", "transactions"))
+
+    def columns(self, layer: str, table: str) -> DataFrame:
+        """(column_name, data_type, comment) of a table as the catalog has them."""
+        about = self.spark.sql(f"DESCRIBE TABLE {self.name(layer, table)}")
+        # partition columns are listed again under headings that start with '#'
+        return about.filter("col_name <> '' AND col_name NOT LIKE '#%'").distinct().selectExpr(
+            "col_name AS column_name", "data_type", "comment")

@@ -1,8 +1,12 @@
-"""Registered queries: each takes (spark, sf_dir) and returns a lazy DataFrame
-over the driver's tables. Load timestamps are left out of compared outputs."""
+"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame over the
+driver's tables. Queries about sinks, layers and streams write when called and return
+what they read back; the others are lazy. Load timestamps are left out of compared
+outputs."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,16 +15,16 @@ from .functions.money import avg_amount, cents_to_amount, to_cents
 from .operators import clean as cl
 from .operators import quality
 from .operators.enrich import PROCESSED_COLUMNS
-from .operators.materialize import written
+from .operators.materialize import discard, folder_state, written
 from .params import FIXTURE
 from .plans import marts, metrics, serving, warehouse
 from .plans.models import models
 from .session import scratch_path
 from .sources import files, fixture
-from .sources.schema import CRITICAL_COLUMNS
+from .sources.schema import CRITICAL_COLUMNS, SOURCE_DOCS
 from .streaming import ingest
 
-DROP = {"updated_at", "processed_timestamp", "revenue_cents", "total_cents", "time"}
+DROP = {"updated_at", "processed_timestamp", "revenue_cents", "total_cents"}
 
 
 def _public(df: DataFrame) -> DataFrame:
@@ -56,16 +60,14 @@ def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1–B3, C1–C4 on the dirty fixture (raw text → typed → clean)."""
     typed = cl.parse_raw(fixture.raw_text_transactions(spark, sf_dir, dirty=True))
     c = cl.clean(typed, FIXTURE)
-    return c.select("transaction_id", "date", "shop_id", "shop_name", "city",
+    return c.select("transaction_id", "date", "time", "shop_id", "shop_name", "city",
                     "product_name", "category", "quantity", "unit_price",
-                    cents_to_amount("total_cents").alias("total_amount"),
-                    "customer_id", "payment_method")
+                    "total_amount", "customer_id", "payment_method")
 
 
 def dedup_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per transaction id, the first in the fixed total order."""
-    d = cl.deduplicated(fixture.typed_transactions(spark, sf_dir))
-    return _public(d.withColumn("total_amount", cents_to_amount("total_cents")))
+    return cl.deduplicated(fixture.typed_transactions(spark, sf_dir))
 
 
 def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,13 +102,13 @@ def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _public(marts.top_products(models(spark, sf_dir).stg()))
+    ms = models(spark, sf_dir)
+    return _public(marts.top_products(ms.stg(), ms.products()))
 
 
 def shop_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     ms = models(spark, sf_dir)
-    return _public(marts.shop_performance(ms.stg(), rows_bound=ms.stg_bound(),
-                                          products=ms.shop_products()))
+    return _public(marts.shop_performance(ms.stg(), ms.products()))
 
 
 # ---- serving -------------------------------------------------------------------
@@ -168,7 +170,7 @@ def portfolio_summary(spark, sf_dir):
 
 
 def portfolio_summary_true(spark, sf_dir):
-    return serving.portfolio_summary_true(_stg(spark, sf_dir))
+    return serving.portfolio_summary_true(_stg(spark, sf_dir), _shop_mart(spark, sf_dir))
 
 
 def shop_bars(spark, sf_dir):
@@ -243,29 +245,70 @@ def quality_amount(spark, sf_dir):
 
 # ---- sources and sinks ------------------------------------------------------------
 
-_PUBLIC_PROCESSED = [c for c in PROCESSED_COLUMNS
-                     if c not in ("processed_timestamp", "time", "total_cents")]
+_LOADED = [c for c in PROCESSED_COLUMNS if c != "total_cents"]  # the 20 delivered columns
+
+
+def _stamped(df: DataFrame) -> DataFrame:
+    """The load time differs from run to run: only whether it came through is compared."""
+    return df.withColumn("processed_timestamp", F.col("processed_timestamp").isNotNull())
 
 
 def variant_load(spark, sf_dir):
-    """A5 + A6: processed rows → one variant object each → typed columns again."""
-    src = models(spark, sf_dir).processed().select(*_PUBLIC_PROCESSED)
+    """A5 + A6: processed rows → one variant object each → the 20 typed columns again."""
+    src = models(spark, sf_dir).processed().select(*_LOADED)
     stage = written(files.to_variant_stage(src), "variant_stage")
-    return files.from_variant_stage(stage, src.schema)
+    return _stamped(files.from_variant_stage(stage, src.schema))
+
+
+def _json_stage(spark, sf_dir):
+    """Processed rows as JSON text, cut off in the middle where the cents end in 7."""
+    src = models(spark, sf_dir).processed()
+    line = F.to_json(F.struct(*[F.col(c) for c in _LOADED]))
+    broken = F.when(F.col("total_cents") % 10 == 7, F.substring(line, 1, 40)).otherwise(line)
+    path = scratch_path(spark, "json_lines")
+    src.select(broken.alias("value")).write.text(path)
+    return src, files.parse_json_stage(spark.read.text(path))
+
+
+def json_load(spark, sf_dir):
+    """A5 with bad records: JSON text lines are staged, malformed ones are skipped."""
+    src, stage = _json_stage(spark, sf_dir)
+    return _stamped(files.from_variant_stage(files.loaded(stage), src.select(*_LOADED).schema))
+
+
+def json_load_audit(spark, sf_dir):
+    """A5: how many records were loaded and how many were rejected."""
+    _, stage = _json_stage(spark, sf_dir)
+    return stage.agg(F.count(F.lit(1)).alias("n_lines"),
+                     F.count_if(F.col("raw_data").isNotNull()).alias("n_loaded"),
+                     F.count_if(F.col("raw_data").isNull()).alias("n_rejected"))
 
 
 def csv_roundtrip(spark, sf_dir):
-    """A1 + H2: the dirty fixture written as CSV text, read back with the explicit
-    raw schema, parsed and cleaned (must equal clean_transactions)."""
+    """A1 + H2: the dirty fixture written as CSV text, read back with every column as
+    text, parsed and cleaned (must equal clean_transactions)."""
     path = scratch_path(spark, "raw_csv")
-    fixture.raw_text_transactions(spark, sf_dir, dirty=True).write.mode("overwrite") \
-        .option("header", True).csv(path)
+    files.write_raw_csv(fixture.raw_text_transactions(spark, sf_dir, dirty=True), path)
     typed = cl.parse_raw(files.read_raw_csv(spark, path).drop("_corrupt_record"))
     c = cl.clean(typed, FIXTURE)
-    return c.select("transaction_id", "date", "shop_id", "shop_name", "city",
+    return c.select("transaction_id", "date", "time", "shop_id", "shop_name", "city",
                     "product_name", "category", "quantity", "unit_price",
-                    cents_to_amount("total_cents").alias("total_amount"),
-                    "customer_id", "payment_method")
+                    "total_amount", "customer_id", "payment_method")
+
+
+def csv_messy(spark, sf_dir):
+    """B1 + A1 + T1: files with messy headers, other date forms, quantities that are no
+    numbers and lines that do not fit the header. Per outcome the number of lines:
+    `malformed`, then the reject reasons of the rest."""
+    path = scratch_path(spark, "messy_csv")
+    files.write_raw_csv(fixture.messy_transactions(spark, sf_dir), path, quote=False)
+    raw = files.read_raw_csv(spark, path)
+    typed = cl.parse_raw(raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"))
+    reasons = cl.reason_counts(typed, FIXTURE).withColumnRenamed("reject_reason", "outcome")
+    # a raw column beside the corrupt one: Spark refuses queries on the latter alone
+    bad = raw.filter(F.col("_corrupt_record").isNotNull()).agg(
+        F.count("shop_id").alias("n_rows")).select(F.lit("malformed").alias("outcome"), "n_rows")
+    return reasons.unionByName(bad)
 
 
 def parquet_roundtrip(spark, sf_dir):
@@ -274,7 +317,7 @@ def parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "processed_parquet")
     files.write_processed(src, path)
     back = files.read_processed(spark, path, src.schema)
-    return back.select(*_PUBLIC_PROCESSED)
+    return _stamped(back.select(*_LOADED))
 
 
 def shop_partitioned(spark, sf_dir):
@@ -285,22 +328,41 @@ def shop_partitioned(spark, sf_dir):
     back = cl.parse_raw(files.read_raw_csv_by_shop(spark, path).drop("_corrupt_record"))
     return back.groupBy("shop_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        cents_to_amount(F.sum("total_cents")).alias("total_amount"))
+        cents_to_amount(F.sum(to_cents("total_amount"))).alias("total_amount"))
 
 
 def idempotent_load(spark, sf_dir):
-    """J5 (batch form): loading the same processed rows twice with dynamic
-    partition overwrite leaves one copy of every row."""
+    """J5 + A3 (batch form): a first load with wrong amounts; a second with the right ones
+    that no longer has July 1997 replaces it whole; an increment of May 1998, loaded
+    twice, replaces that month alone. Totals per month."""
     src = models(spark, sf_dir).processed()
     path = scratch_path(spark, "idempotent")
-    files.write_processed(src, path)
-    files.write_processed(src, path)
+    files.write_processed(src.withColumn("total_cents", F.col("total_cents") + 1), path)
+    files.write_processed(src.filter("NOT (year = 1997 AND month_number = 7)"), path)
+    may = src.filter("year = 1998 AND month_number = 5 AND quantity > 10")
+    for _ in range(2):
+        files.write_processed(may, path, increment=True)
     back = files.read_processed(spark, path, src.schema)
     return back.groupBy("year", "month_number").agg(
         F.count(F.lit(1)).alias("n_rows"),
         cents_to_amount(F.sum("total_cents")).alias("total_amount"))
 
 
+def json_sink(spark, sf_dir):
+    """The shop list written as JSON files with lower-case keys and read back."""
+    rows = serving.shops(_shop_mart(spark, sf_dir))
+    path = scratch_path(spark, "shops_json")
+    files.write_json(rows.toDF(*[c.upper() for c in rows.columns]), path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+def text_sink(spark, sf_dir):
+    """The report's lines written as plain text and read back."""
+    path = scratch_path(spark, "report_text")
+    files.write_text_report(report_lines(spark, sf_dir).select("line"), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 def shops_json(spark, sf_dir):
     """The `/shops` rows as JSON records (money as 2-dp decimals)."""
     rows = serving.shops(_shop_mart(spark, sf_dir))
@@ -324,22 +386,21 @@ def report_lines(spark, sf_dir):
 
 # ---- named layers in the catalog ---------------------------------------------------
 
-_PUBLISHED: dict = {}
-
-
-def _published(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _PUBLISHED:
-        warehouse.publish(models(spark, sf_dir), scratch_path(spark, "warehouse"))
-        _PUBLISHED[key] = True
-    return True
+def _published(spark, sf_dir) -> warehouse.Warehouse:
+    """The folder's own warehouse, published again whenever its model set is new: the
+    prefix is made from the folder's path, so folders do not share tables."""
+    ms = models(spark, sf_dir)
+    if ms.warehouse is None:
+        mark = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:10]
+        ms.warehouse = warehouse.Warehouse(
+            spark, f"tillroll_{mark}", scratch_path(spark, "warehouse")).publish(ms)
+    return ms.warehouse
 
 
 def warehouse_revenue_by_shop(spark, sf_dir):
     """A7 + A8 + A10 + E4: the ad-hoc revenue query on the named table
-    `raw.transactions`, declared by DDL and loaded by partition overwrite."""
-    _published(spark, sf_dir)
-    t = warehouse.source(spark, "raw", "transactions")
+    `transactions` of the raw layer, declared by DDL and loaded by overwrite."""
+    t = _published(spark, sf_dir).source("raw", "transactions")
     g = t.groupBy("shop_name").agg(F.sum("total_cents").alias("_s"),
                                    F.count("total_cents").alias("_n"),
                                    F.count("transaction_id").alias("total_transactions"))
@@ -348,9 +409,14 @@ def warehouse_revenue_by_shop(spark, sf_dir):
 
 
 def warehouse_shop_performance(spark, sf_dir):
-    """A10: the published `marts.shop_performance` table."""
-    _published(spark, sf_dir)
-    return _public(spark.table("marts.shop_performance"))
+    """A10: the published `shop_performance` table of the marts layer."""
+    return _public(_published(spark, sf_dir).source("marts", "shop_performance"))
+
+
+def column_contract(spark, sf_dir):
+    """Q5: the documented columns against the catalog's comments; problem NULL = kept."""
+    columns = _published(spark, sf_dir).columns("raw", "transactions")
+    return quality.documentation_gaps(columns, SOURCE_DOCS)
 
 
 # ---- streaming -------------------------------------------------------------------
@@ -362,11 +428,17 @@ _STREAMS: dict = {}
 _FIXTURE_STREAM = ingest.StreamConfig(watermark="40 days", state_partitions=4)
 
 
-def _replayed(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _STREAMS:
-        _STREAMS[key] = ingest.replay_fixture(spark, sf_dir, _FIXTURE_STREAM)
-    return _STREAMS[key]
+_LATE_STREAM = ingest.StreamConfig(watermark="1 day", state_partitions=4)
+
+
+def _replayed(spark, sf_dir, cfg=_FIXTURE_STREAM):
+    state = folder_state(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
+    if key not in _STREAMS or _STREAMS[key][0] != state:
+        if key in _STREAMS:
+            discard(spark, _STREAMS[key][1].root)
+        _STREAMS[key] = (state, ingest.replay_fixture(spark, sf_dir, cfg))
+    return _STREAMS[key][1]
 
 
 def stream_dedup(spark, sf_dir):
@@ -385,6 +457,15 @@ def stream_daily(spark, sf_dir):
     return ingest.stream_daily_result(_replayed(spark, sf_dir))
 
 
+def stream_late(spark, sf_dir):
+    """A second landing whose new events are mostly older than the watermark: the
+    rows that silver refused, from the side table."""
+    job = _replayed(spark, sf_dir, _LATE_STREAM)
+    late = spark.read.schema(job.silver_schema()).parquet(job.late)
+    return late.select("transaction_id", "date", "shop_id", "customer_id",
+                       cents_to_amount("total_cents").alias("total_amount"))
+
+
 QUERIES = {
     "revenue_by_shop": revenue_by_shop,
     "revenue_by_weekday_raw": revenue_by_weekday_raw,
@@ -433,4 +514,11 @@ QUERIES = {
     "warehouse_shop_performance": warehouse_shop_performance,
     "stream_dedup": stream_dedup,
     "stream_daily": stream_daily,
+    "stream_late": stream_late,
+    "json_load": json_load,
+    "json_load_audit": json_load_audit,
+    "csv_messy": csv_messy,
+    "json_sink": json_sink,
+    "text_sink": text_sink,
+    "column_contract": column_contract,
 }

@@ -7,21 +7,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schema import RAW_SCHEMA_WITH_CORRUPT
+from ..operators.clean import plain_name
+from .schema import RAW_COLUMNS, RAW_SCHEMA_WITH_CORRUPT
 
 
 # ---- A1/A2/H2: raw CSV ------------------------------------------------------------
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All shop files under `path` in one scan (the directory is the union), with
-    an explicit all-text schema: no inference job, `09:15` stays a string, and a
-    malformed line lands in `_corrupt_record` instead of failing the read."""
-    return (spark.read.schema(RAW_SCHEMA_WITH_CORRUPT)
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("enforceSchema", False)
-            .csv(path))
+    """All shop files under `path` in one scan (the directory is the union): the raw
+    columns as text and `_corrupt_record`.
+
+    Names come from the header line and are normalised ("Transaction ID" is
+    `transaction_id`), so columns may stand in any order beside others; a missing one
+    is an error that names it. No type is inferred: `09:15` stays a string, and a line
+    that does not fit the header lands in `_corrupt_record` instead of failing the read.
+    Files whose header differs from the first file's are refused."""
+    header = spark.read.option("header", True).csv(path).columns
+    names = [plain_name(c) for c in header]
+    missing = [c for c in RAW_COLUMNS if c not in names]
+    if missing:
+        raise ValueError(f"{path}: the header has no column {', '.join(missing)}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_corrupt_record"]])
+    raw = (spark.read.schema(schema)
+           .option("header", True)
+           .option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt_record")
+           .option("enforceSchema", False)
+           # a pruned read would not notice lines with too many fields
+           .option("columnPruning", False)
+           .csv(path))
+    return raw.select(*[F.col(f"`{header[names.index(c)]}`").alias(c) for c in RAW_COLUMNS],
+                      "_corrupt_record")
+
+
+def write_raw_csv(df: DataFrame, path: str, quote: bool = True) -> None:
+    """Raw rows as CSV with a header, blanks around values kept."""
+    w = (df.write.mode("overwrite").option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    (w if quote else w.option("quote", "")).csv(path)
 
 
 def write_raw_csv_by_shop(df: DataFrame, path: str) -> None:
@@ -45,15 +68,16 @@ def read_raw_csv_by_shop(spark: SparkSession, path: str) -> DataFrame:
 
 # ---- A3/A4: processed Parquet -----------------------------------------------------
 
-def write_processed(df: DataFrame, path: str, dynamic: bool = True) -> None:
+def write_processed(df: DataFrame, path: str, increment: bool = False) -> None:
     """A3: processed transactions as Parquet partitioned by (year, month_number).
 
     Rows are range-clustered on the partition columns first, so each task writes
     into one or two month folders instead of every task writing a small file into
     every month; the transaction id as last range key lets a very busy day
-    spread over several tasks. With `dynamic`, only the months present in `df`
-    are replaced, which makes a re-run of the same input idempotent."""
-    mode = "dynamic" if dynamic else "static"
+    spread over several tasks. The whole table is replaced, months that are gone from
+    the input included; with `increment` only the months present in `df` are. Either
+    way a re-run of the same input changes nothing."""
+    mode = "dynamic" if increment else "static"
     (df.repartitionByRange("year", "month_number", "date", "transaction_id")
      .write.mode("overwrite").option("partitionOverwriteMode", mode)
      .partitionBy("year", "month_number").parquet(path))
@@ -80,9 +104,17 @@ def from_variant_stage(stage: DataFrame, schema: T.StructType, strict: bool = Fa
 
 
 def parse_json_stage(text: DataFrame, col: str = "value") -> DataFrame:
-    """JSON text lines → variant stage; a malformed line gives NULL (skipped)."""
-    return (text.select(F.try_parse_json(col).alias("raw_data"))
-            .filter(F.col("raw_data").isNotNull()))
+    """JSON text lines → `raw_data` variant beside the line. A malformed line has a NULL
+    `raw_data`: `loaded` and `rejected` tell the two apart, so nothing vanishes."""
+    return text.select(F.try_parse_json(col).alias("raw_data"), F.col(col).alias("line"))
+
+
+def loaded(stage: DataFrame) -> DataFrame:
+    return stage.filter(F.col("raw_data").isNotNull())
+
+
+def rejected(stage: DataFrame) -> DataFrame:
+    return stage.filter(F.col("raw_data").isNull())
 
 
 # ---- A12/A13: JSON records and text report ----------------------------------------

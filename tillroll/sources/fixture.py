@@ -13,26 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.formatting import padded_id
-from ..sources.schema import TYPED_SCHEMA
+from ..functions.money import to_cents
+from .schema import RAW_COLUMNS, TYPED_SCHEMA
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a fact scan at least one partition per core.
-
-    A large table is split by the scan into many partitions and is returned as
-    is (no shuffle). A file that arrives as a single row group would otherwise
-    leave every map-side join and partial aggregate in one task; only then the
-    rows are hash-partitioned on `keys` over the default parallelism (hash, not
-    round-robin: round-robin sorts every input partition first to stay
-    deterministic on retry)."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want, *keys)
-    return df
+def _two_digits(c):
+    return F.lpad(c.cast("string"), 2, "0")
 
 
 def shops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,10 +37,10 @@ def shops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed transactions (TYPED_SCHEMA), duplicates included, money in cents."""
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    """Typed transactions (TYPED_SCHEMA), duplicates included."""
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-        "l_extendedprice"), "l_orderkey")
+        "l_extendedprice").repartition("l_orderkey")  # the key of the largest join
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type",
                                             "p_retailprice")
@@ -70,13 +60,14 @@ def typed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("TXN"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("transaction_id"),
         F.col("o_orderdate").cast("date").alias("date"),
-        F.lit(None).cast("string").alias("time"),
+        F.concat_ws(":", _two_digits(F.col("o_orderkey") % 24),
+                    _two_digits(F.col("l_linenumber") * 13 % 60)).alias("time"),
         "shop_id", "shop_name", "city",
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("p_retailprice").alias("unit_price"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("total_cents"),
+        F.col("l_extendedprice").cast("double").alias("total_amount"),
         padded_id("CUST", "o_custkey").alias("customer_id"),
         F.when(F.col("o_orderkey") % 4 == 1, "cash").otherwise("card")
          .alias("payment_method"),
@@ -85,12 +76,17 @@ def typed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixture with deterministic defects (NULL date / product, zero quantity,
-    negative amount), each keyed on the original cents value."""
-    t = typed_transactions(spark, sf_dir)
-    c = F.col("total_cents")
-    return t.select(
-        "transaction_id",
+    """The fixture with deterministic defects, each keyed on the line's cents: NULL date
+    or product, zero quantity, negative amount, an amount below a cent, an amount that
+    rounds up into the next band, and an id with a blank before it."""
+    return _with_defects(typed_transactions(spark, sf_dir)).drop("_c")
+
+
+def _with_defects(t: DataFrame) -> DataFrame:
+    c, amount = F.col("_c"), F.col("total_amount")
+    return t.withColumn("_c", to_cents("total_amount")).select(
+        F.when(c % 131 == 0, F.concat(F.lit(" "), F.col("transaction_id")))
+         .otherwise(F.col("transaction_id")).alias("transaction_id"),
         F.when(c % 101 == 0, F.lit(None)).otherwise(F.col("date")).alias("date"),
         "time", "shop_id", "shop_name", "city",
         F.when(c % 103 == 0, F.lit(None)).otherwise(F.col("product_name"))
@@ -98,21 +94,38 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "category",
         F.when(c % 107 == 0, F.lit(0)).otherwise(F.col("quantity")).alias("quantity"),
         "unit_price",
-        F.when(c % 109 == 0, -c).otherwise(c).alias("total_cents"),
-        "customer_id", "payment_method",
+        F.when(c % 109 == 0, -amount).when(c % 113 == 0, 0.004)
+         .when(c % 127 == 0, 19999.996).otherwise(amount).alias("total_amount"),
+        "customer_id", "payment_method", "_c",
     )
 
 
 def raw_text_transactions(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
     """The fixture rendered as the raw CSV text columns (13 strings)."""
     t = dirty_transactions(spark, sf_dir) if dirty else typed_transactions(spark, sf_dir)
-    return t.select(
-        "transaction_id",
-        F.date_format("date", "yyyy-MM-dd").alias("date"),
-        "time", "shop_id", "shop_name", "city", "product_name", "category",
-        F.col("quantity").cast("string").alias("quantity"),
-        F.col("unit_price").cast("string").alias("unit_price"),
-        (F.col("total_cents").cast("decimal(20,0)") / 100).cast("decimal(20,2)")
-         .cast("string").alias("total_amount"),
-        "customer_id", "payment_method",
-    )
+    return _as_text(t)
+
+
+def _as_text(t: DataFrame) -> DataFrame:
+    rest = [c for c in t.columns if c not in RAW_COLUMNS]
+    return t.withColumn("date", F.date_format("date", "yyyy-MM-dd")).select(
+        *[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS], *rest)
+
+
+#: header texts as a shop's export might have them
+MESSY_HEADERS = {"transaction_id": "Transaction ID", "unit_price": " Unit Price ",
+                 "shop_name": "SHOP_NAME", "payment_method": "Payment Method",
+                 "date": "Date ", "time": " time"}
+
+
+def messy_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty fixture as raw text under messy headers, with dates in another form,
+    quantities that are no numbers, and lines with too many fields (an unquoted comma in
+    the last column)."""
+    t = _as_text(_with_defects(typed_transactions(spark, sf_dir)))
+    c = F.col("_c")
+    t = (t.withColumn("date", F.when(c % 137 == 0, "31/12/1999").otherwise(F.col("date")))
+         .withColumn("quantity", F.when(c % 139 == 0, "many").otherwise(F.col("quantity")))
+         .withColumn("payment_method", F.when(c % 149 == 0, F.concat(
+             F.col("payment_method"), F.lit(",oops,more"))).otherwise(F.col("payment_method"))))
+    return t.select(*[F.col(n).alias(MESSY_HEADERS.get(n, n)) for n in RAW_COLUMNS])

@@ -11,93 +11,69 @@ def _f(name, dtype, comment, nullable=True):
     return T.StructField(name, dtype, nullable, metadata={"comment": comment})
 
 
+# What each column holds, in one place; every schema takes its comments from here.
+DOCS = {
+    "transaction_id": "Key of one sale line; repeated keys are duplicates",
+    "date": "Day of the sale (raw files: yyyy-MM-dd)",
+    "time": "Clock time as text, e.g. 09:15",
+    "shop_id": "Key of the shop, e.g. SHOP000007",
+    "shop_name": "Name shown for the shop",
+    "city": "Where the shop is",
+    "product_name": "What was sold",
+    "category": "Group the product belongs to",
+    "quantity": "Number of units on the line",
+    "unit_price": "Price of one unit",
+    "total_amount": "Amount of the line as delivered, not rounded",
+    "customer_id": "Key of the buyer",
+    "payment_method": "How it was paid: cash or card",
+    "day_of_week": "English weekday of the sale",
+    "month_name": "English month of the sale",
+    "year": "Year of the sale",
+    "month_number": "Month of the sale, 1 to 12",
+    "is_weekend": "True on Saturday and Sunday",
+    "revenue_category": "Band of the line amount: Low, Medium or High",
+    "processed_timestamp": "When the cleaning job wrote the row",
+    "total_cents": "Amount of the line in whole cents",
+    "_corrupt_record": "A raw line that does not fit the header",
+}
+
+
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([_f(name, dtype, DOCS[name]) for name, dtype in columns.items()])
+
+
 # Raw shop CSV: every column is read as text so that a bad value becomes NULL in
 # the typed step instead of failing the read or changing a column's type; `time`
 # ("09:15") must stay a string.
-RAW_COLUMNS = [
-    ("transaction_id", "Unique transaction identifier"),
-    ("date", "Transaction date, yyyy-MM-dd"),
-    ("time", "Transaction time, HH:MM"),
-    ("shop_id", "Shop identifier"),
-    ("shop_name", "Shop name"),
-    ("city", "Shop city"),
-    ("product_name", "Product sold"),
-    ("category", "Product category"),
-    ("quantity", "Units sold"),
-    ("unit_price", "Price per unit"),
-    ("total_amount", "Line total"),
-    ("customer_id", "Customer identifier"),
-    ("payment_method", "card or cash"),
-]
-
-RAW_SCHEMA = T.StructType([_f(n, _S, c) for n, c in RAW_COLUMNS])
-RAW_SCHEMA_WITH_CORRUPT = T.StructType(
-    RAW_SCHEMA.fields + [_f("_corrupt_record", _S, "Unparsable input line")])
+RAW_COLUMNS = ["transaction_id", "date", "time", "shop_id", "shop_name", "city",
+               "product_name", "category", "quantity", "unit_price", "total_amount",
+               "customer_id", "payment_method"]
+RAW_SCHEMA = _schema(**{c: _S for c in RAW_COLUMNS})
+RAW_SCHEMA_WITH_CORRUPT = _schema(**{c: _S for c in [*RAW_COLUMNS, "_corrupt_record"]})
 
 # Typed transactions, the common input of cleaning (CSV after parsing, or the
-# star-schema fixture). Money is exact integer cents.
-TYPED_SCHEMA = T.StructType([
-    _f("transaction_id", _S, "Unique transaction identifier"),
-    _f("date", T.DateType(), "Transaction date"),
-    _f("time", _S, "Transaction time, HH:MM"),
-    _f("shop_id", _S, "Shop identifier"),
-    _f("shop_name", _S, "Shop name"),
-    _f("city", _S, "Shop city"),
-    _f("product_name", _S, "Product sold"),
-    _f("category", _S, "Product category"),
-    _f("quantity", _I, "Units sold"),
-    _f("unit_price", _D, "Price per unit"),
-    _f("total_cents", _L, "Line total in cents"),
-    _f("customer_id", _S, "Customer identifier"),
-    _f("payment_method", _S, "card or cash"),
-])
-
-# Processed transactions (warehouse table `raw.transactions`), 20 columns plus
-# the exact cents column.
-PROCESSED_SCHEMA = T.StructType([
-    _f("transaction_id", _S, "Unique transaction identifier"),
-    _f("date", T.DateType(), "Transaction date"),
-    _f("time", _S, "Transaction time, HH:MM"),
-    _f("shop_id", _S, "Shop identifier"),
-    _f("shop_name", _S, "Shop name"),
-    _f("city", _S, "Shop city"),
-    _f("product_name", _S, "Product sold"),
-    _f("category", _S, "Product category"),
-    _f("quantity", _I, "Units sold"),
-    _f("unit_price", _D, "Price per unit"),
-    _f("total_amount", _D, "Line total"),
-    _f("customer_id", _S, "Customer identifier"),
-    _f("payment_method", _S, "card or cash"),
-    _f("day_of_week", _S, "English weekday name"),
-    _f("month_name", _S, "English month name"),
-    _f("year", _I, "Calendar year"),
-    _f("month_number", _I, "Month 1-12"),
-    _f("is_weekend", T.BooleanType(), "Saturday or Sunday"),
-    _f("revenue_category", _S, "Low / Medium / High by line total"),
-    _f("processed_timestamp", T.TimestampType(), "Load time of the cleaning run"),
-    _f("total_cents", _L, "Line total in cents (exact)"),
-])
-
-# Documented columns of the source `raw.transactions` (data contract, Q5).
-SOURCE_DOCS = {
-    "transaction_id": "Unique transaction identifier",
-    "date": "Transaction date",
-    "shop_id": "Shop identifier",
-    "shop_name": "Shop name",
-    "city": "Shop city",
-    "product_name": "Product sold",
-    "category": "Product category",
-    "quantity": "Units sold",
-    "unit_price": "Price per unit",
-    "total_amount": "Line total",
-    "customer_id": "Customer identifier",
-    "payment_method": "card or cash",
-}
+# star-schema fixture). Amounts are as delivered; cents are taken after cleaning.
+TYPED_SCHEMA = _schema(
+    transaction_id=_S, date=T.DateType(), time=_S, shop_id=_S, shop_name=_S, city=_S,
+    product_name=_S, category=_S, quantity=_I, unit_price=_D, total_amount=_D,
+    customer_id=_S, payment_method=_S)
+
+# Processed transactions (warehouse table `transactions`), 20 columns plus the
+# cents column that all money sums use.
+PROCESSED_SCHEMA = _schema(
+    transaction_id=_S, date=T.DateType(), time=_S, shop_id=_S, shop_name=_S, city=_S,
+    product_name=_S, category=_S, quantity=_I, unit_price=_D, total_amount=_D,
+    customer_id=_S, payment_method=_S, day_of_week=_S, month_name=_S, year=_I,
+    month_number=_I, is_weekend=T.BooleanType(), revenue_category=_S,
+    processed_timestamp=T.TimestampType(), total_cents=_L)
+
+# Documented columns of the source table (data contract, Q5).
+SOURCE_DOCS = {c: DOCS[c] for c in RAW_COLUMNS if c != "time"}
 
 CRITICAL_COLUMNS = ["transaction_id", "date", "shop_id", "product_name",
-                    "unit_price", "quantity", "total_cents"]
+                    "unit_price", "quantity", "total_amount"]
 
 # Total order that decides which copy of a duplicated transaction id is kept.
 DEDUP_ORDER = ["date", "shop_id", "product_name", "category", "quantity",
-               "total_cents", "unit_price", "customer_id",
+               "total_amount", "unit_price", "customer_id",
                "shop_name", "city", "payment_method", "time"]
