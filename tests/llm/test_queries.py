@@ -66,7 +66,3 @@ def test_pipeline_stages_follow_each_other(spark):
     assert sum(r["length"] for r in kept[5].collect()) == sum(tokens[i] for i in ids[4])
     assert exact_dedup.exact_dedup(kept[2]).filter("not kept").count() == 0
 
-
-def test_run(spark):
-    out = corpus_pipeline.run(spark, SF_SMALL)
-    assert out.count() > 0 and "sequence_id" in out.columns

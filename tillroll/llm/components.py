@@ -36,16 +36,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every link points from a node without others to a centre."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    busy = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return busy.filter("out > 1 OR (out = 1 AND into = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of `links` (columns u, v; any order, repeats
     allowed); component is the smallest node id reachable."""
     edges = written(_pairs(links, F.greatest("u", "v"), F.least("u", "v")).distinct(), "links")
-    seen = None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen or not state[0]:
-            break
-        seen = tuple(state)
+    while not _settled(edges):
         edges = written(_large_star(edges), "links")
         edges = written(_small_star(edges), "links")
     centres = edges.select("v").distinct()
