@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from tillroll.queries import QUERIES  # noqa: E402
 from tillroll.session import build_session  # noqa: E402
 
 PATTERNS = {
@@ -49,8 +49,8 @@ def main():
     print("At this size every star-schema dimension is broadcast by its checked size;"
           " at 100 TB orders, part and supplier become sort-merge joins. Single-partition"
           " exchanges are global aggregates after partial aggregation, scalar subqueries,"
-          " or windows behind the row-count check of operators.ranking.\n")
-    for name, fn in entry.queries().items():
+          " or windows over the range sums of operators.ranking (one row per range).\n")
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
