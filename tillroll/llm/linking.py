@@ -9,8 +9,9 @@ A group that shares a key is not expanded into all pairs:
    joins components, and two members of one component need no further test;
 2. in the groups that remain open, members of different components are paired and
    verified, whatever their number. Nothing is capped or dropped: a pair is left
-   untested only if both ends are already connected or if the set sizes alone rule the
-   similarity out.
+   unverified only if both ends are already connected, if the set sizes alone rule the
+   similarity out, or if their smallest hashes share so few that it would be a once in
+   30,000 chance for a similar pair.
 
 Verification intersects whole sets. All steps are DataFrame operations.
 """
@@ -26,6 +27,7 @@ from ..operators.materialize import written
 from .components import components
 
 PIVOT_ROUNDS = 2
+SAMPLE = 128  # smallest hashes compared before a whole-set verification
 
 
 def tensored_keys(a: Column, b: Column) -> Column:
@@ -50,18 +52,40 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("u", "v"))
 
 
+def smallest(hashes: Column) -> Column:
+    """The SAMPLE smallest hashes of a set, shortened to 32 bits."""
+    return F.transform(F.slice(hashes, 1, SAMPLE), lambda h: F.shiftright(h, 32).cast("int"))
+
+
+def plausible(x: Column, y: Column, percent: int) -> Column:
+    """Whether the SAMPLE smallest hashes of two sets share enough for the sets to be
+    similar. Of the union's SAMPLE smallest a similar pair shares a binomial number; it
+    falls four standard deviations short once in 30,000 times. Two sets that are in the
+    sample whole are compared exactly."""
+    p = percent / 100
+    fewest = int(max(0.0, SAMPLE * p - 4 * (SAMPLE * p * (1 - p)) ** 0.5))
+    shared = F.size(F.array_intersect(x, y))
+    whole = F.greatest(F.size(x), F.size(y)) < SAMPLE
+    return F.when(whole, shared * 100 >= (F.size(x) + F.size(y) - shared) * percent).otherwise(
+        shared * SAMPLE >= F.least(F.size(x), F.size(y)) * fewest)
+
+
 def link(nodes: DataFrame, keys: Column, sets_for: Callable[[DataFrame], DataFrame],
          percent: int) -> DataFrame:
     """(node, component) for the nodes that are linked with another.
 
-    `nodes` has node and n (set size) and whatever `keys`, an array of longs, is made of;
-    `sets_for` gives (node, set) for a table of candidate nodes."""
+    `nodes` has node, n (set size) and whatever `keys`, an array of longs, is made of;
+    `sets_for` gives (node, set), sets as sorted arrays of hashes, for a table of
+    candidate nodes."""
     rows = nodes.select("node", F.col("n").cast("int").alias("n"), F.explode(keys).alias("key"))
-    shared = (rows.groupBy("key").agg(F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n"),
-                                      F.count(F.lit(1)).alias("c"))
-              .filter("c > 1").drop("c"))
-    members = written(rows.join(written(shared, "buckets"), "key"), "members")
-    sets = written(sets_for(members.select("node").distinct()), "sets")
+    # the first shuffle carries bare keys, and only keys that are shared go on
+    shared = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+                     .select("key"), "buckets")
+    found = written(rows.join(shared, "key"), "members")
+    pivots = written(found.groupBy("key").agg(
+        F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n")), "pivots")
+    members = found.join(pivots, "key")
+    sets = written(sets_for(found.select("node").distinct()), "sets")
 
     def candidates(df: DataFrame) -> DataFrame:
         return (df.filter((F.col("node") != F.col("pivot"))
@@ -72,15 +96,15 @@ def link(nodes: DataFrame, keys: Column, sets_for: Callable[[DataFrame], DataFra
     tried = written(candidates(members), "pairs")
     links = written(verified(tried, sets, percent), "verified")
     parts = components(links)
-    open_rows = members.drop("pivot", "pivot_n")
+    open_rows = found
     for r in range(PIVOT_ROUNDS + 1):
         open_rows = open_rows.drop("component").join(parts, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
+        order = F.xxhash64("node", "key", F.lit(r))
         spread = written(open_rows.groupBy("key").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"),
-            F.min_by("node", F.xxhash64("node", "key", F.lit(r))).alias("pivot"),
-            F.min_by("n", F.xxhash64("node", "key", F.lit(r))).alias("pivot_n"),
-            F.min_by("component", F.xxhash64("node", "key", F.lit(r))).alias("pivot_c"))
+            F.min_by("node", order).alias("pivot"), F.min_by("n", order).alias("pivot_n"),
+            F.min_by("component", order).alias("pivot_c"))
             .filter("lo < hi").drop("lo", "hi"), "open")
         if spread.isEmpty():
             return parts
@@ -89,13 +113,7 @@ def link(nodes: DataFrame, keys: Column, sets_for: Callable[[DataFrame], DataFra
         if r < PIVOT_ROUNDS:
             pairs = candidates(rows.filter("component <> pivot_c"))
         else:
-            x = open_rows.select("key", F.col("node").alias("u"), F.col("n").alias("n_u"),
-                                 F.col("component").alias("c_u"))
-            y = open_rows.select("key", F.col("node").alias("v"), F.col("n").alias("n_v"),
-                                 F.col("component").alias("c_v"))
-            pairs = (x.join(y, "key").filter((F.col("u") < F.col("v")) & (F.col("c_u") != F.col("c_v"))
-                                             & similar_sizes(F.col("n_u"), F.col("n_v"), percent))
-                     .select("u", "v").distinct())
+            pairs = _across(open_rows, sets, percent)
         pairs = written(pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
         more = written(verified(pairs, sets, percent), "verified")
@@ -103,3 +121,17 @@ def link(nodes: DataFrame, keys: Column, sets_for: Callable[[DataFrame], DataFra
             links = links.unionByName(more)
             parts = components(links)
     return parts
+
+
+def _across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one group from different components that may be similar."""
+    samples = sets.select("node", smallest(F.col("set")).alias("least"))
+    rows = written(rows.join(samples, "node"), "open-samples")
+    x = rows.select("key", F.col("node").alias("u"), F.col("n").alias("n_u"),
+                    F.col("component").alias("c_u"), F.col("least").alias("least_u"))
+    y = rows.select(F.col("key").alias("key_v"), F.col("node").alias("v"), F.col("n").alias("n_v"),
+                    F.col("component").alias("c_v"), F.col("least").alias("least_v"))
+    near = ((F.col("key") == F.col("key_v")) & (F.col("u") < F.col("v"))
+            & (F.col("c_u") != F.col("c_v")) & similar_sizes(F.col("n_u"), F.col("n_v"), percent)
+            & plausible(F.col("least_u"), F.col("least_v"), percent))
+    return x.join(y, near).select("u", "v").distinct()
