@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import textwrap
 
 import numpy as np
 import pytest
@@ -113,6 +114,102 @@ def test_licences():
         assert r.scan(text)[1] == want, text
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY."""
+BSD = """Copyright (c) 2020, Someone
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE
+COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+APACHE = """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+
+
+def test_wrapped_licences_in_comments_too():
+    r = license_scan.Recogniser()
+    cases = {MIT: ["Copyright", "MIT"], BSD: ["AllRightsReserved", "BSD"], GPL3: ["GPL"], MPL: ["MPL-2.0"],
+             GPL3.replace("software:", "software;"): ["GPL"], APACHE: ["Copyright", "Apache-2.0"],
+             BSD.split("\n3.")[0] + BSD[BSD.index("\n\nTHIS"):]: ["AllRightsReserved", "BSD"]}
+    for text, want in cases.items():
+        for mark in ("", "# ", " * ", "// ", "-- "):
+            for end in ("\n", "\r\n"):
+                shown = end.join((mark + x).rstrip() for x in text.split("\n"))
+                if mark == " * ":
+                    shown = f"/*{end}{shown}{end} */{end}int x"
+                assert r.scan(shown)[1] == want, shown
+    for text in (GPL3, MPL):
+        narrow = "\n\n".join(textwrap.fill(p, 31) for p in text.split("\n\n"))
+        assert r.scan(narrow)[1] == cases[text], narrow
+
+
+def test_lines_and_wrapped_sentences_mix():
+    r = license_scan.Recogniser()
+    cases = {
+        "A title\nReleased under the MIT License\nmore words": ["MIT"],
+        "Copyright (c) 2020 Someone\n" + GPL3: ["Copyright", "GPL"],
+        "Copyright (c) 2020 Someone\nsome words\nAll rights reserved": ["Copyright", "AllRightsReserved"],
+        "SPDX-License-Identifier: MIT\nor so": ["SPDX:MIT"],
+        "words\nReleased under the MIT License\nthis is cc0\nthat is cc0": ["MIT", "CC0", "CC0"],
+        "The library is licensed under the GNU Lesser\nGeneral Public License, version 2.1\nor so": ["LGPL-2.1"],
+        "This work is licensed under the GNU General Public License, version\n3. See there.": ["GPL-3"],
+        "Licensed under the Apache License, Version 2.0\n(the \"License\");\nyou may not use this file except in "
+        "compliance\nwith the License. You may obtain a copy of the License at http://x.org/l": ["Apache-2.0"],
+        "in no event\n\nPermission is hereby granted, free of charge,\n\nto any person obtaining a copy of it": [],
+    }
+    for text, want in cases.items():
+        assert r.scan(text)[1] == want, text
+
 def test_licence_table(spark):
     rows = [(1, None), (2, ""), (None, "All rights reserved."), (3, "All rights reserved."), (3, "All rights reserved."),
             (4, "word " * 100_000 + ".\nReleased under the MIT License.")]
