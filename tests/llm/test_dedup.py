@@ -187,6 +187,35 @@ def test_lines_match_brute_force(spark):
         assert texts[i].split("\n") == [x for d, n, x in lines if d == i and want[d, n] == (d, n)] or texts[i] == ""
 
 
+def test_containment_pairs_share_bands(spark):
+    """Lines with text cut off, at exactly 0.8: 16 to 400 of 20 to 500 shingles."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    pairs = []
+    for n in (20, 45, 50, 55, 100, 500):
+        for _ in range(700):
+            whole = text(n + 7)
+            pairs.append((whole, whole[:n * 4 // 5 + 7]))
+    assert all(100 * len(byte_sets(b)) >= 80 * len(byte_sets(a)) for a, b in pairs)
+    df = spark.createDataFrame(pairs, "a string, b string").repartition(4)
+    keys = [line_dedup.signature(F.col(c).cast("binary"))["keys"] for c in "ab"]
+    missed = df.filter(~F.arrays_overlap(*keys)).groupBy(F.length("a")).count().collect()
+    assert sum(r["count"] for r in missed) <= 2, missed
+
+
+def test_containment_lines_match_brute_force(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(150):
+        line = "".join(rng.choice("abcdefghij ") for _ in range(rng.choice([40, 57, 132, 307]))).strip() + "z"
+        rows += [(2 * i, line), (2 * i + 1, line[:7 - (-(len(line) - 7) * 81 // 100)])]
+    sets = {i: byte_sets(t) for i, t in rows}
+    want = union(sets, [(a, b) for a in sets for b in sets if a < b
+                        and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    got = {r["doc_id"]: r["keep_doc_id"] for r in line_dedup.line_components(frame(spark, rows)).collect()}
+    assert got == want and sum(i != j for i, j in want.items()) >= 100
+
+
 def test_lines_edges(spark):
     rows = [(None, "same line here"), (3, "same line here"), (3, "Same line here ")]
     got = [tuple(r) for r in line_dedup.line_components(frame(spark, rows)).collect()]
