@@ -139,3 +139,26 @@ def test_pooling_covers_whole_documents_and_slices(monkeypatch):
     assert np.allclose(net.pooled(docs), want, atol=1e-5)
     for n, d in zip((0, 1, 15, 16, 17, 100, 5000), docs):
         assert len(d) >= n and (len(d) - quality.WIDTH) % quality.STRIDE == 0
+
+
+def test_quality_learns_from_the_end_of_long_texts(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(500):
+        filler = "".join(map(chr, rng.integers(97, 123, 8300 + int(rng.integers(0, 300)))))
+        rows.append((i, filler + ("<{GOOD}> " if i % 2 else "[#BAD#] ") * 20, i % 2))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    got = [r for r in quality.score(docs, labels).collect() if r["held_out"]]
+    assert auc(np.array([r["score"] for r in got]), np.array([r["doc_id"] % 2 for r in got])) > 0.95
+
+
+def test_winners_in_slices(monkeypatch):
+    net, rng = quality.Net(), np.random.default_rng(1)
+    docs = [quality.padded(rng.integers(0, 256, n).astype(np.uint8)) for n in (0, 16, 100, 5000)]
+    whole = [net.winners(d) for d in docs]
+    monkeypatch.setattr(quality, "SLICE", 64)
+    for d, (top, best) in zip(docs, whole):
+        assert np.allclose(top, net.pooled([d])[0], atol=1e-5)
+        sliced, chunks = net.winners(d)
+        assert np.allclose(top, sliced, atol=1e-5) and (best == chunks).all()

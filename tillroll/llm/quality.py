@@ -7,9 +7,9 @@ a ReLU and a logistic unit to one probability. Long documents are worked through
 slices, keeping only the running maxima.
 
 The network is fitted on the driver on a bounded sample: at most ``SAMPLE`` labelled
-documents of each label value, taken by an id hash, none of them held out; at most
-``FIT_BYTES`` bytes of a text are used in fitting. Scoring reads every document whole,
-inside the scan's tasks, with no shuffle.
+documents of each label value, taken by an id hash, none of them held out. Their texts
+are used whole, in slices. Scoring reads every document whole, inside the scan's tasks,
+with no shuffle.
 
 Defined cases: NULL text is empty, and an empty text has one chunk of padding and gets
 that chunk's score; NULL labels are left out; of several labels for an id the smallest
@@ -30,7 +30,6 @@ from .common import doc_hash, text_of
 
 WIDTH, STRIDE, EMBED, FILTERS = 16, 8, 8, 32
 SAMPLE = 1200
-FIT_BYTES = 8192
 EPOCHS, BATCH, RATE = 9, 64, 0.005
 ACCEPT = 0.7
 SLICE = 1 << 18
@@ -89,6 +88,19 @@ class Net:
             i = j
         return out
 
+    def winners(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each filter's largest response over a document's codes and the chunk that gives it."""
+        top = np.full(FILTERS, -np.inf, np.float32)
+        best = np.zeros((FILTERS, WIDTH), codes.dtype)
+        for at in range(0, len(codes) - WIDTH + 1, SLICE):
+            ch = _chunks(codes[at:at + SLICE + WIDTH - STRIDE])
+            resp = self.responses(ch)
+            arg = resp.argmax(0)
+            here = resp[arg, np.arange(FILTERS)]
+            more = here > top
+            top[more], best[more] = here[more], ch[arg[more]]
+        return top, best
+
     def scores(self, docs: list[np.ndarray]) -> np.ndarray:
         h = np.maximum(self.pooled(docs) + self.b, 0)
         return 1 / (1 + np.exp(-np.clip(h @ self.v + self.c, -30, 30)))
@@ -108,11 +120,7 @@ class Net:
                 best = np.empty((len(take), FILTERS, WIDTH), np.int64)
                 top = np.empty((len(take), FILTERS), np.float32)
                 for r, i in enumerate(take):
-                    ch = _chunks(docs[i])
-                    resp = self.responses(ch)
-                    arg = resp.argmax(0)
-                    best[r] = ch[arg]
-                    top[r] = resp[arg, np.arange(FILTERS)]
+                    top[r], best[r] = self.winners(docs[i])
                 pre = top + self.b
                 h = np.maximum(pre, 0)
                 p = 1 / (1 + np.exp(-np.clip(h @ self.v + self.c, -30, 30)))
@@ -177,12 +185,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     values = set(chosen.values())
     if len(values) < 2:
         return Constant(float(values.pop()) if values else 1.0)
-    # FIT_BYTES characters hold at least as many bytes; cut to bytes below
     rows = (docs.filter(F.col(id_col).isin(sorted(chosen)))
-            .select(F.col(id_col).alias("i"), F.substring(text_of(text_col), 1, FIT_BYTES).alias("t"))
+            .select(F.col(id_col).alias("i"), text_of(text_col).alias("t"))
             .collect())
     rows.sort(key=lambda r: (r["i"], r["t"]))
-    codes = [padded(np.frombuffer(r["t"].encode()[:FIT_BYTES], np.uint8)) for r in rows]
+    codes = [padded(np.frombuffer(r["t"].encode(), np.uint8)) for r in rows]
     return Net().fit(*with_crops(codes, np.array([chosen[r["i"]] for r in rows], np.float32)))
 
 
