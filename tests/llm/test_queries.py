@@ -28,12 +28,12 @@ def test_oracle(spark, name):
 
 def test_registered():
     assert set(QUERIES) <= set(entry.queries())
-    assert [f"op{n}" for n in range(1, 11)] == sorted(
+    assert [f"op{n}" for n in range(1, 14)] == sorted(
         {q.split("_")[0] for q in QUERIES if q.startswith("op")}, key=lambda x: int(x[2:]))
 
 
 @pytest.mark.parametrize("name", ["op2_line_dedup", "op3_language_id", "op4_secret_scan", "op7_license_scan",
-                                  "op8_near_dedup", "op10_quality"])
+                                  "op8_near_dedup", "op10_quality", "op13_token_files"])
 def test_query_covers_its_table(spark, name):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = QUERIES[name](spark, SF_SMALL)

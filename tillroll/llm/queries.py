@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import (exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, packing,
-               quality, secret_scan, topk)
+from . import (clustering, exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup,
+               packing, quality, secret_scan, spelling, token_files, topk)
 from .common import table
 
 
@@ -56,7 +56,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.encoded(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_line_dedup, op3_language_id, op4_secret_scan, op5_packing, op6_topk,
-    op7_license_scan, op8_near_dedup, op9_exact_dedup, op10_quality)}
+    op7_license_scan, op8_near_dedup, op9_exact_dedup, op10_quality, op11_spelling_variants,
+    op12_clustering, op13_token_files)}
 QUERIES["pipeline"] = corpus_pipeline.run
