@@ -193,7 +193,7 @@ def test_wavelet_answers(n):
     rng = np.random.default_rng(n)
     ids = np.minimum(rng.geometric(0.01, n), 49_407).astype(np.uint32)
     r = wavelet.Reader(wavelet.build(ids, 16, [3, None], [n, 0]))
-    assert (r.tokens(0, n) == ids).all() and r.documents()[0] == [3, None]
+    assert (r.tokens(0, n) == ids).all() and (r.everything() == ids).all() and r.documents()[0] == [3, None]
     assert r.documents()[1].tolist() == [n, 0]
     places = rng.integers(0, n, 20) if n else np.zeros(0, np.int64)
     assert (r.access(places) == ids[places]).all()
@@ -218,6 +218,7 @@ def plain_tokens(rows):
 
 ODD = ["", None, " ", "One two.", "İstanbul ΣΑΣ Σ", "áb é", "x y z", "q\x1cw\x85e",
        "don't WE'LL <|startoftext|> it's<|endoftext|>s", "日本語テキスト  と", "a\x0bb\x0cc\rd", "😀😀 ½ ²3 ١٢",
+       "naïve Ça ÀÉÎ ß'S ª º µm a×b 1½ ___ a_b 12'34 x'rex 'd <|x|> ''s \"'s", "a\xadb\x7f\x01",
        "́ ́x", "﻿a​b", "word " * 300_000, "y" * 5000, "한글 한"]
 
 
@@ -283,3 +284,14 @@ def test_one_document_id_on_most_rows(spark):
     starts = sorted((r["start"], r["n_tokens"], r["doc_id"]) for r in got)
     assert [s for s, _, _ in starts] == [sum(n for _, n, _ in starts[:j]) for j in range(350)]
     assert [i for _, _, i in starts] == sorted(i for i, _ in rows)
+
+
+def test_words_of_the_plain_alphabet_are_the_librarys():
+    rng = random.Random(4)
+    letters = [chr(c) for c in [*range(33, 127), *range(192, 256)] if c not in (215, 247)]
+    encoder = token_files.Encoder(token_files.default_path(), "<u4")
+    texts = [" ".join("".join(rng.choices(letters + list("'sdtelrv") * 6, k=rng.randint(1, 12)))
+                      for _ in range(40)) for _ in range(500)]
+    for text in texts:
+        want = encoder.library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == want

@@ -13,8 +13,10 @@ number, ids and the ids of the partition before it.
 comes from a running sum over partitions (one small row each).
 
 Ids are those of the tokenizers library. The file's normalizer and pre-tokenizer never
-join across white space, so each run of other characters is encoded by the library once
-and kept in a bounded cache.
+join across white space, so each run of other characters is encoded once and kept in a
+bounded cache. A run of ASCII and Latin-1 letters, ASCII digits and punctuation is split
+into words here and each word goes to the library's model; any other run, and one that
+may hold a special token, goes through the whole library.
 
 Defined cases: NULL text is empty and holds the closing id alone; rows that repeat a
 doc_id follow each other in the order of the input's partitions; NULL doc_ids come last; a text of any
@@ -45,6 +47,11 @@ SLICE = 1 << 20
 BATCH = 32 << 20
 _CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 _WHITE = re.compile(r"[ \t\n\r\x0b\x0c]")
+#: what ``str.split`` takes for white space beyond that
+_RARE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: the file's pre-tokenizer on lowered text of those characters
+_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 FILES = "part int, shard int, n_tokens long, before long, data binary"
 
 
@@ -53,40 +60,63 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder(dict):
-    """Chunk to little-endian uint32 ids; emptied when it holds CACHE chunks."""
+class Cache(dict):
+    """Text to packed ids; emptied when it holds CACHE texts."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    def __init__(self, encode):
         super().__init__()
-        self.library = Tokenizer.from_file(path)
+        self.encode = encode
+
+    def __missing__(self, text: str) -> bytes:
+        out = self.encode(text)
+        if len(text) <= 100:
+            if len(self) >= CACHE:
+                self.clear()
+            self[text] = out
+        return out
+
 
-    def __missing__(self, chunk: str) -> bytes:
+class Encoder:
+    """Texts to packed little-endian ids."""
+
+    def __init__(self, path: str, dtype: str):
+        from tokenizers import Tokenizer
+        self.library, self.dtype = Tokenizer.from_file(path), dtype
+        self.words, self.chunks = Cache(self.word), Cache(self.chunk)
+
+    def word(self, word: str) -> bytes:
+        """One piece of the pre-tokenizer: its bytes' letters, then the model."""
+        if not word.isascii():
+            word = "".join(p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(word))
+        return np.array([t.id for t in self.library.model.tokenize(word)], self.dtype).tobytes()
+
+    def chunk(self, chunk: str) -> bytes:
+        if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
+            return b"".join(map(self.words.__getitem__, _WORD.findall(chunk.lower())))
         ids = self.library.encode(chunk, add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
-        if len(chunk) > 100:
-            return out
-        if len(self) >= CACHE:
-            self.clear()
-        self[chunk] = out
-        return out
+        return np.array(ids, self.dtype).tobytes()
 
     def ids(self, text: str) -> bytes:
-        get, start, out = self.__getitem__, 0, []
+        get, start, out = self.chunks.__getitem__, 0, []
         while start < len(text):
             turn = _WHITE.search(text, start + SLICE) if start + SLICE < len(text) else None
             end = turn.end() if turn else len(text)
-            out.append(b"".join(map(get, _CHUNK.findall(text, start, end))))
+            part = text[start:end]
+            out.append(b"".join(map(get, _CHUNK.findall(part) if _RARE.search(part) else part.split())))
             start = end
         return b"".join(out)
 
 
-def id_maker(path: str, end_id: int):
-    """(doc_id, text) to (doc_id, ids): little-endian uint32 with the closing id."""
-    closing = np.array([end_id], "<u4").tobytes()
+def packed_type(width: int) -> str:
+    return "<u2" if width <= 16 else "<u4"
+
+
+def id_maker(path: str, end_id: int, dtype: str):
+    """(doc_id, text) to (doc_id, ids): packed ids with the closing id."""
+    closing = np.array([end_id], dtype).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder(path, dtype)
         for batch in batches:
             made, start, size = [], 0, 0
 
@@ -107,14 +137,16 @@ def id_maker(path: str, end_id: int):
 
 def shard_maker(width: int, shard: int):
     """Sorted (doc_id, ids) of one partition to rows of FILES."""
+    dtype = np.dtype(packed_type(width))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         docs, cells, size, number, before = [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(cells), "<u4")
-            data = wavelet.build(ids, width, docs, [len(c) // 4 for c in cells])
+            ids = np.frombuffer(b"".join(cells), dtype)
+            data = wavelet.build(ids, width, docs, [len(c) // dtype.itemsize for c in cells])
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([len(ids)]),
                  pa.array([before]), pa.array([data], pa.binary())],
@@ -124,7 +156,7 @@ def shard_maker(width: int, shard: int):
             for doc, ids in zip(batch.column(0), batch.column(1)):
                 docs.append(doc.as_py())
                 cells.append(ids.as_py())
-                size += len(cells[-1]) // 4
+                size += len(cells[-1]) // dtype.itemsize
                 if size >= shard:
                     yield flush()
                     docs, cells, size, number, before = [], [], 0, number + 1, before + size
@@ -140,7 +172,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     json_path = json_path or default_path()
     width = max(end_id, Tokenizer.from_file(json_path).get_vocab_size() - 1, 1).bit_length()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    made = written(texts.mapInArrow(id_maker(json_path, end_id), "doc_id long, ids binary")
+    made = written(texts.mapInArrow(id_maker(json_path, end_id, packed_type(width)), "doc_id long, ids binary")
                    .withColumn("tag", F.monotonically_increasing_id()), "token-ids")
     order = [F.col("doc_id").asc_nulls_last(), F.col("tag").asc()]
     placed = made.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
@@ -155,7 +187,8 @@ def shards(spark: SparkSession, path: str) -> DataFrame:
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    return files.join(parts, "part").select("*", (F.col("base") + F.col("before")).alias("start"))
+    # one small row per shuffle partition
+    return files.join(F.broadcast(parts), "part").select("*", (F.col("base") + F.col("before")).alias("start"))
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +196,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start, data in zip(batch.column(0), batch.column(1)):
             reader = wavelet.Reader(data.as_py())
             ids, lengths = reader.documents()
-            raw = reader.tokens(0, reader.n).astype("<u4").tobytes()
+            raw = reader.everything().astype("<u4").tobytes()
             ends = np.cumsum(lengths)
             crc = [zlib.crc32(raw[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
             yield pa.RecordBatch.from_arrays(
