@@ -14,9 +14,9 @@ comes from a running sum over partitions (one small row each).
 
 Ids are those of the tokenizers library. The file's normalizer and pre-tokenizer never
 join across white space, so each run of other characters is encoded once and kept in a
-bounded cache. A run of ASCII and Latin-1 letters, ASCII digits and punctuation is split
-into words here and each word goes to the library's model; any other run, and one that
-may hold a special token, goes through the whole library.
+bounded cache. Text of ASCII and Latin-1 letters, ASCII digits and punctuation is split
+into words here and each word goes to the library's model; a run with any other character
+or what may be a special token goes through the whole library.
 
 Defined cases: NULL text is empty and holds the closing id alone; rows that repeat a
 doc_id follow each other in the order of the input's partitions; NULL doc_ids come last; a text of any
@@ -27,7 +27,9 @@ documents and no rows.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,11 +49,10 @@ SLICE = 1 << 20
 BATCH = 32 << 20
 _CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 _WHITE = re.compile(r"[ \t\n\r\x0b\x0c]")
-#: what ``str.split`` takes for white space beyond that
-_RARE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]+")
+_LETTERS = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 #: the file's pre-tokenizer on lowered text of those characters
-_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 FILES = "part int, shard int, n_tokens long, before long, data binary"
 
 
@@ -61,7 +62,7 @@ def default_path() -> str:
 
 
 class Cache(dict):
-    """Text to packed ids; emptied when it holds CACHE texts."""
+    """Text to ids; emptied when it holds CACHE texts."""
 
     def __init__(self, encode):
         super().__init__()
@@ -81,20 +82,28 @@ class Encoder:
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
-        self.library, self.dtype = Tokenizer.from_file(path), dtype
+        self.library, self.code = Tokenizer.from_file(path), np.dtype(dtype).char
         self.words, self.chunks = Cache(self.word), Cache(self.chunk)
+        self.model = self.library.model
+        # the letters that stand for a letter's bytes
+        self.letters = {ord(c): self.library.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in _LETTERS}
+
+    def packed(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def word(self, word: str) -> bytes:
         """One piece of the pre-tokenizer: its bytes' letters, then the model."""
         if not word.isascii():
-            word = "".join(p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(word))
-        return np.array([t.id for t in self.library.model.tokenize(word)], self.dtype).tobytes()
+            word = word.translate(self.letters)
+        return self.packed([t.id for t in self.model.tokenize(word)])
 
     def chunk(self, chunk: str) -> bytes:
         if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
             return b"".join(map(self.words.__getitem__, _WORD.findall(chunk.lower())))
-        ids = self.library.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, self.dtype).tobytes()
+        return self.packed(self.library.encode(chunk, add_special_tokens=False).ids)
 
     def ids(self, text: str) -> bytes:
         get, start, out = self.chunks.__getitem__, 0, []
@@ -102,7 +111,10 @@ class Encoder:
             turn = _WHITE.search(text, start + SLICE) if start + SLICE < len(text) else None
             end = turn.end() if turn else len(text)
             part = text[start:end]
-            out.append(b"".join(map(get, _CHUNK.findall(part) if _RARE.search(part) else part.split())))
+            if _PLAIN.fullmatch(part) and "<|" not in part:
+                out.append(b"".join(map(self.words.__getitem__, _WORD.findall(part.lower()))))
+            else:
+                out.append(b"".join(map(get, _CHUNK.findall(part))))
             start = end
         return b"".join(out)
 

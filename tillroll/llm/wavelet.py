@@ -95,11 +95,10 @@ class Reader:
                 continue
             part = self._bits(plane, b)
             bits[s:s + len(part)] = part
-            run = np.cumsum(part, dtype=np.int32)
             ones[s] = self.ones[plane, b]
-            ones[s + 1:s + BLOCK] = self.ones[plane, b] + np.resize(run, BLOCK - 1)
-            if len(part) < BLOCK:
-                ones[s + len(part):s + BLOCK] = total
+            run = self.ones[plane, b] + np.cumsum(part, dtype=np.int32)[:BLOCK - 1]
+            ones[s + 1:s + 1 + len(run)] = run
+            ones[s + 1 + len(run):s + BLOCK] = total
         index = slot[block] + (at & (BLOCK - 1))
         return bits[index], ones[index]
 
