@@ -119,6 +119,16 @@ class Encoder:
         return b"".join(out)
 
 
+def kept_encoder(path: str, dtype: str) -> Encoder:
+    """This worker process's encoder: workers are reused, so its words serve later tasks.
+    This module is shipped by value with every task, so the library's holds it."""
+    import tokenizers
+    held = vars(tokenizers).setdefault("kept_encoders", {})
+    if (path, dtype) not in held:
+        held[path, dtype] = Encoder(path, dtype)
+    return held[path, dtype]
+
+
 def packed_type(width: int) -> str:
     return "<u2" if width <= 16 else "<u4"
 
@@ -128,7 +138,7 @@ def id_maker(path: str, end_id: int, dtype: str):
     closing = np.array([end_id], dtype).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, dtype)
+        encoder = kept_encoder(path, dtype)
         for batch in batches:
             made, start, size = [], 0, 0
 

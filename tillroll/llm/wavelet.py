@@ -119,16 +119,17 @@ class Reader:
 
     def everything(self) -> np.ndarray:
         """All ids: as `access`, with a table of every place's next place per plane."""
-        value, at = np.zeros(self.n, np.uint32), np.arange(self.n, dtype=np.int32)
+        value = np.zeros(self.n, np.uint16 if self.width <= 16 else np.uint32)
+        at = np.arange(self.n, dtype=np.int32)
         place = at.copy()
         for plane in range(self.width):
             zeros = np.int32(self.zeros[plane])
             bits = np.concatenate([self._bits(plane, b) for b in range(self.ends.shape[1])]
                                   or [np.zeros(0, np.uint8)])
             ones = np.cumsum(bits, dtype=np.int32)  # itself included
-            ahead = np.where(bits, ones + (zeros - np.int32(1)), place - ones)
-            at = ahead[at]
-            value <<= np.uint32(1)
+            ahead = np.where(bits.view(bool), ones + (zeros - np.int32(1)), place - ones)
+            at = ahead.take(at)
+            value <<= value.dtype.type(1)
             value |= at >= zeros
         return value
 
