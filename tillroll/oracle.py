@@ -473,6 +473,13 @@ GROUP BY year, month_number"""
     q["json_load_audit"] = proc + """SELECT count(*) AS n_lines,
   count(*) FILTER (WHERE total_cents % 10 <> 7) AS n_loaded,
   count(*) FILTER (WHERE total_cents % 10 = 7) AS n_rejected FROM processed"""
+    q["load_record"] = proc + """SELECT CAST(CASE WHEN year <= 1997 THEN 1 ELSE 2 END AS BIGINT) AS load_id,
+  CAST(year AS INTEGER) AS landed, 'loaded' AS status,
+  count(*) FILTER (WHERE total_cents % 10 <> 7) AS rows_loaded,
+  count(*) FILTER (WHERE total_cents % 10 = 7) AS rows_rejected
+FROM processed WHERE year <= 1998 GROUP BY year
+UNION ALL SELECT 2, 0, 'skipped', 0, 0"""
+    q["load_rows"] = proc + f"SELECT {pub} FROM processed WHERE year <= 1998 AND total_cents % 10 <> 7"
     messy = """messy_tx AS (
   SELECT * EXCLUDE (date, quantity),
          CASE WHEN c0 % 137 = 0 THEN NULL ELSE date END AS date,
