@@ -222,3 +222,19 @@ def test_gold_compaction_keeps_latest_versions(spark):
     job.compact()
     again = {r.shop_id: (r.revenue_cents, r.transactions) for r in job.latest_windows().collect()}
     assert again == rows
+
+
+def test_shop_folders_keep_blanks(spark, tmp_path):
+    cols = [c for c in files.RAW_COLUMNS]
+    rows = [(" T1", *["x"] * 12), ("T1 ", *["x"] * 12), ("T1", *[" y "] * 12)]
+    df = spark.createDataFrame([(*r[:3], "S1", *r[4:]) for r in rows], cols)
+    files.write_raw_csv_by_shop(df, str(tmp_path / "shops"))
+    back = files.read_raw_csv_by_shop(spark, str(tmp_path / "shops")).drop("_corrupt_record").select(cols)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_a_header_with_one_name_twice_is_refused(spark, tmp_path):
+    names = [*files.RAW_COLUMNS, "Shop ID"]
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + ",".join("x" * len(names)) + "\n")
+    with pytest.raises(ValueError, match="shop_id more than once"):
+        files.read_raw_csv(spark, str(tmp_path))

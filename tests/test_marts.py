@@ -228,3 +228,11 @@ def test_filled_weekdays_equal_the_grid(layers):
     g = s.groupBy("day_of_week").agg(F.sum("revenue_cents").alias("_s"), F.count("revenue_cents").alias("_n"))
     want = g.select("day_of_week", avg_amount("_s", "_n"), "_n").collect()
     assert sorted(map(tuple, want)) == sorted(map(tuple, metrics.revenue_by_weekday_filled(layers["daily"]).collect()))
+
+
+def test_ranges_below_by_binary_search(spark):
+    from tillroll.operators.ranking import ranges_below
+    for n in (1, 2, 3, 7, 8, 9, 100):
+        bounds = [3 * i for i in range(n)]
+        df = spark.range(-2, 3 * n + 3).select("id", ranges_below(bounds, F.col("id")).alias("below"))
+        assert all(r["below"] == sum(b < r["id"] for b in bounds) for r in df.collect())

@@ -42,6 +42,12 @@ def discard(spark: SparkSession, path: str) -> None:
         fs.delete(where, True)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of a table that its caller keeps (a partition without rows)."""
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
 def folder_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """(files, bytes, newest change in ms) below `path`: differs once files are added,
     removed or replaced. Works on any store Spark reads."""

@@ -32,6 +32,16 @@ def same_as(pairs: list[tuple[str, str]]) -> Column:
     return cond
 
 
+def ranges_below(bounds: list, value: Column) -> Column:
+    """How many of the ascending `bounds` lie below a value, by binary search: about
+    log2(len(bounds)) comparisons a row."""
+    ends = F.array(*[F.lit(b) for b in bounds])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+    # beyond the last bound `get` is NULL and the step is not taken
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(
+        F.get(ends, low + step - 1) < value, low + step).otherwise(low))
+
+
 def ranks(df: DataFrame, order_col: str, rank_col: str, group_cols: list[str] | None = None,
           ascending: bool = False, ranges: int | None = None) -> DataFrame:
     """The rank of every (group, value): columns `_g0`…, `_v` and `rank_col` (INT). `df`
@@ -44,8 +54,7 @@ def ranks(df: DataFrame, order_col: str, rank_col: str, group_cols: list[str] |
     values = df.groupBy(*keys, F.col(order_col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     # at most n numbers come to the driver
     bounds = df.select(F.percentile_approx(order_col, cuts, ACCURACY)).first()[0] if cuts else None
-    cut = (F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(bounds))]),
-                           lambda b: b < F.col("_v"))) if bounds else F.lit(0))
+    cut = ranges_below(sorted(set(bounds)), F.col("_v")) if bounds else F.lit(0)
     # ranges are numbered in rank order; NULLs have the last one
     cut = cut if ascending else -cut
     values = values.withColumn("_r", F.when(F.col("_v").isNull(), n + 1).otherwise(cut))

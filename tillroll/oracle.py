@@ -292,6 +292,12 @@ FROM reason_counts"""
     q["daily_revenue"] = mp + "SELECT * EXCLUDE (revenue_cents) FROM daily"
     q["top_products"] = mp + "SELECT * EXCLUDE (revenue_cents) FROM top_products"
     q["shop_performance"] = mp + "SELECT * EXCLUDE (revenue_cents) FROM shop_performance"
+    for model in ("daily_revenue", "top_products", "shop_performance"):
+        q[f"refreshed_{model}"] = q[model]
+    q["customers_approx"] = mp + """SELECT CASE WHEN grouping(year) = 0 THEN 'month'
+  WHEN grouping(shop_id) = 0 THEN 'shop' ELSE 'all' END AS level, shop_id, year, month_number,
+  count(DISTINCT customer_id) AS exact_customers, true AS within_error
+FROM stg GROUP BY GROUPING SETS ((shop_id, year, month_number), (shop_id), ())"""
     return q
 
 
@@ -462,8 +468,9 @@ SELECT transaction_id, date, time, shop_id, shop_name, city, product_name, categ
        unit_price, total_amount, customer_id, payment_method
 FROM clean"""
     q["parquet_roundtrip"] = proc + f"SELECT {pub} FROM processed"
-    q["shop_partitioned"] = with_ctes(raw_tx_cte()) + f"""SELECT shop_id, count(*) AS n_rows,
-  {amt('sum(total_cents)')} AS total_amount FROM raw_tx GROUP BY shop_id"""
+    q["shop_partitioned"] = with_ctes(raw_tx_cte(), dirty_tx_cte()) + """SELECT transaction_id, date,
+  time, shop_id, shop_name, city, product_name, category, quantity, unit_price, total_amount,
+  customer_id, payment_method FROM dirty_tx"""
     q["idempotent_load"] = proc + f"""SELECT year, month_number, count(*) AS n_rows,
   {amt('sum(total_cents)')} AS total_amount FROM processed
 WHERE NOT (year = 1997 AND month_number = 7)

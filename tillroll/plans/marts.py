@@ -7,7 +7,7 @@ in which partial sums are combined.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
@@ -19,6 +19,7 @@ from ..operators.ranking import grand_total, ranked, ranks, same_as
 DAILY_KEYS = ["transaction_date", "shop_id", "shop_name", "city", "day_of_week",
               "day_type", "australian_season", "month_name", "month_number", "year",
               "is_weekend"]
+DAY_KEYS = ["transaction_date", "shop_id", "shop_name", "city"]
 PRODUCT_KEYS = ["shop_id", "shop_name", "city", "product_name", "category"]
 SHOP_KEYS = ["shop_id", "shop_name", "city"]
 
@@ -43,7 +44,15 @@ def daily_revenue(stg: DataFrame) -> DataFrame:
     Two COUNT DISTINCTs in one aggregate would expand every staging row. Products are
     counted on a first aggregate by product, which also carries all sums; customers by
     a second, single distinct over three columns; both meet on the (date, shop) key."""
-    keys = ["transaction_date", "shop_id", "shop_name", "city"]
+    customers = stg.groupBy(*[F.col(k).alias(f"_k_{k}") for k in DAY_KEYS]).agg(
+        F.countDistinct("customer_id").alias("unique_customers"))
+    g = day_sums(stg).join(customers, same_as([(k, f"_k_{k}") for k in DAY_KEYS]))
+    return day_columns(g)
+
+
+def day_sums(stg: DataFrame) -> DataFrame:
+    """Sums and counts per (date, shop), by way of (date, shop, product)."""
+    keys = DAY_KEYS
     per_product = stg.groupBy(*keys, "product_name").agg(
         F.sum("total_cents").alias("_sum"),
         F.count("transaction_id").alias("_tx"),
@@ -53,7 +62,7 @@ def daily_revenue(stg: DataFrame) -> DataFrame:
         F.count_if(F.col("payment_method") == "cash").alias("_cash"),
         F.count_if(F.col("payment_method") == "card").alias("_card"),
     )
-    g = per_product.groupBy(*keys).agg(
+    return per_product.groupBy(*keys).agg(
         F.sum("_sum").alias("_sum"),
         F.sum("_tx").alias("total_transactions"),
         F.sum("_n").alias("_n"),
@@ -63,9 +72,11 @@ def daily_revenue(stg: DataFrame) -> DataFrame:
         F.sum("_cash").alias("cash_transactions"),
         F.sum("_card").alias("card_transactions"),
     )
-    customers = stg.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
-        F.countDistinct("customer_id").alias("unique_customers"))
-    g = g.join(customers, same_as([(k, f"_k_{k}") for k in keys]))
+
+
+def day_columns(g: DataFrame, *more: str) -> DataFrame:
+    """The mart's columns from the sums per (date, shop) and `unique_customers`; `more`
+    columns of `g` are kept."""
     d = F.col("transaction_date")
     weekend = cal.is_weekend(d)
     return g.select(
@@ -85,13 +96,13 @@ def daily_revenue(stg: DataFrame) -> DataFrame:
         "unique_products_sold", "unique_customers",
         "cash_transactions", "card_transactions",
         F.current_timestamp().alias("updated_at"),
-        F.col("_sum").alias("revenue_cents"),
+        F.col("_sum").alias("revenue_cents"), *more,
     )
 
 
-def product_aggregates(stg: DataFrame) -> DataFrame:
-    """(shop, product) grain sums before the per-shop windows."""
-    return stg.groupBy(*PRODUCT_KEYS).agg(
+def product_aggregates(stg: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(shop, product) grain sums before the per-shop ranks; per `by` too, if given."""
+    return stg.groupBy(*PRODUCT_KEYS, *(by or [])).agg(
         F.count("transaction_id").alias("total_transactions"),
         F.sum("quantity").cast("bigint").alias("total_units_sold"),
         F.sum("total_cents").alias("_sum"),
@@ -103,7 +114,7 @@ def product_aggregates(stg: DataFrame) -> DataFrame:
     )
 
 
-def top_products(stg: DataFrame, products: DataFrame | None = None) -> DataFrame:
+def top_products(stg: DataFrame | None, products: DataFrame | None = None) -> DataFrame:
     """E2 + F1–F3: product metrics with two in-shop ranks and the share of the
     shop's revenue.
 
@@ -144,12 +155,19 @@ def shop_aggregates(stg: DataFrame, products: DataFrame) -> DataFrame:
     since every staging row belongs to one of its groups — and joined on the shop keys,
     so the staging scan carries the customer distinct alone."""
     g = stg.groupBy(*SHOP_KEYS).agg(
+        *shop_sums(), F.countDistinct("customer_id").alias("unique_customers"))
+    return with_product_counts(g, products)
+
+
+def shop_sums() -> list[Column]:
+    """The shop mart's sums and counts over staging rows; all merge by sum, but the
+    extremes."""
+    return [
         F.sum("total_cents").alias("_sum"),
         F.count("transaction_id").alias("total_transactions"),
         F.count("total_cents").alias("_n"),
         F.max("total_cents").alias("_max"),
         F.min("total_cents").alias("_min"),
-        F.countDistinct("customer_id").alias("unique_customers"),
         F.sum(F.when(_weekend(), F.col("total_cents")).otherwise(0)).alias("_we"),
         F.sum(F.when(_weekday(), F.col("total_cents")).otherwise(0)).alias("_wd"),
         F.count_if(_weekend()).alias("weekend_transactions"),
@@ -159,15 +177,18 @@ def shop_aggregates(stg: DataFrame, products: DataFrame) -> DataFrame:
         F.count_if(F.col("revenue_category") == "High").alias("high_value_transactions"),
         F.count_if(F.col("revenue_category") == "Medium").alias("medium_value_transactions"),
         F.count_if(F.col("revenue_category") == "Low").alias("low_value_transactions"),
-    )
-    pc = products.groupBy(*[F.col(c).alias(f"_p_{c}") for c in SHOP_KEYS]).agg(
-        F.countDistinct("product_name").alias("unique_products"),
-        F.countDistinct("category").alias("unique_categories"))
-    cond = same_as([(c, f"_p_{c}") for c in SHOP_KEYS])
-    return g.join(pc, cond, "left").select(
-        *g.columns,
-        F.coalesce("unique_products", F.lit(0)).alias("unique_products"),
-        F.coalesce("unique_categories", F.lit(0)).alias("unique_categories"))
+    ]
+
+
+def with_product_counts(g: DataFrame, products: DataFrame) -> DataFrame:
+    """Distinct products and categories of every shop from the (shop, product) table."""
+    for mark, col, name in (("p", "product_name", "unique_products"), ("c", "category", "unique_categories")):
+        keys = {c: f"_{mark}_{c}" for c in SHOP_KEYS}
+        n = products.groupBy(*[F.col(c).alias(k) for c, k in keys.items()]).agg(
+            F.countDistinct(col).alias(name))
+        g = g.join(n, same_as(list(keys.items())), "left").select(
+            *g.columns, F.coalesce(name, F.lit(0)).alias(name))
+    return g
 
 
 SHOP_PERFORMANCE_COLUMNS = [
@@ -188,7 +209,11 @@ def shop_performance(stg: DataFrame, products: DataFrame | None = None) -> DataF
     divisor several times) read that table. No step gathers all shops into one task."""
     if products is None:
         products = written(product_aggregates(stg), "product_aggregates")
-    g = written(shop_aggregates(stg, products), "shop_aggregates")
+    return shop_columns(written(shop_aggregates(stg, products), "shop_aggregates"))
+
+
+def shop_columns(g: DataFrame) -> DataFrame:
+    """The mart's columns from the written shop aggregate."""
     g = ranked(g, "_sum", "revenue_rank").withColumn("_total", grand_total(g, "_sum"))
     m = g.select(
         *SHOP_KEYS,

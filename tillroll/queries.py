@@ -16,8 +16,9 @@ from .operators import clean as cl
 from .operators import quality
 from .operators.enrich import PROCESSED_COLUMNS
 from .operators.materialize import discard, folder_state, written
+from .operators.ranking import same_as
 from .params import FIXTURE
-from .plans import marts, metrics, serving, warehouse
+from .plans import marts, metrics, refresh, serving, warehouse
 from .plans.models import models
 from .session import scratch_path
 from .sources import files, fixture, loads
@@ -111,6 +112,70 @@ def shop_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _public(marts.shop_performance(ms.stg(), ms.products()))
 
 
+# ---- incremental refresh ---------------------------------------------------------
+
+_REFRESHED: dict = {}
+
+
+def _refreshed(spark, sf_dir) -> refresh.IncrementalMarts:
+    """Marts built from a processed table whose May 1998 has wrong amounts and which lacks
+    July 1997; then an increment brings both months and those two are refreshed."""
+    ms = models(spark, sf_dir)
+    if _REFRESHED.get(sf_dir, (None,))[0] is not ms:
+        src, root = ms.processed(), scratch_path(spark, "refresh")
+        may = (F.col("year") == 1998) & (F.col("month_number") == 5)
+        july = (F.col("year") == 1997) & (F.col("month_number") == 7)
+        wrong = F.col("total_cents") + F.when(may, 1).otherwise(0)
+        files.write_processed(src.filter(~july).withColumn("total_cents", wrong), f"{root}/processed")
+        job = refresh.IncrementalMarts(spark, f"{root}/processed", f"{root}/marts").refresh()
+        increment = src.filter(may | july)
+        files.write_processed(increment, job.processed, increment=True)
+        job.refresh(refresh.touched_months(increment))
+        _REFRESHED[sf_dir] = (ms, job)
+    return _REFRESHED[sf_dir][1]
+
+
+def refreshed_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + E1: daily_revenue after the refresh of two months."""
+    return _public(_refreshed(spark, sf_dir).daily_revenue())
+
+
+def refreshed_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + E2: top_products merged from the months' partials."""
+    return _public(_refreshed(spark, sf_dir).top_products())
+
+
+def refreshed_shop_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + E3: shop_performance merged from the months' partials."""
+    return _public(_refreshed(spark, sf_dir).shop_performance())
+
+
+def customers_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E15 + T6: distinct customers per shop and month, per shop and in all, from the
+    daily sketches; whether each estimate lies within four standard errors (and one
+    customer) of the exact count, which is given."""
+    job = _refreshed(spark, sf_dir)
+    days, stg = job.days(), models(spark, sf_dir).stg()
+    out = None
+    count = F.countDistinct("customer_id")
+    for level, by in (("month", ["shop_id", "year", "month_number"]), ("shop", ["shop_id"]), ("all", [])):
+        part = refresh.customers_approx(days, by)
+        if by:
+            exact = stg.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(count.alias("exact_customers"))
+            part = part.join(exact, same_as([(c, f"_{c}") for c in by]))
+        else:
+            part = part.withColumn("exact_customers", stg.select(count).scalar())
+        part = part.select(
+            F.lit(level).alias("level"),
+            *[(F.col(c) if c in by else F.lit(None).cast(t)).alias(c)
+              for c, t in (("shop_id", "string"), ("year", "int"), ("month_number", "int"))],
+            "exact_customers",
+            (F.abs(F.col("customers_approx") - F.col("exact_customers"))
+             <= F.col("exact_customers") * (4 * refresh.ERROR) + 1).alias("within_error"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---- serving -------------------------------------------------------------------
 
 # Serving queries read the materialised model tables (written once per session
@@ -328,10 +393,11 @@ def load_rows(spark, sf_dir):
 
 def csv_roundtrip(spark, sf_dir):
     """A1 + H2: the dirty fixture written as CSV text, read back with every column as
-    text, parsed and cleaned (must equal clean_transactions)."""
+    text, parsed and cleaned (must equal clean_transactions; no line is malformed)."""
     path = scratch_path(spark, "raw_csv")
     files.write_raw_csv(fixture.raw_text_transactions(spark, sf_dir, dirty=True), path)
-    typed = cl.parse_raw(files.read_raw_csv(spark, path).drop("_corrupt_record"))
+    raw = files.read_raw_csv(spark, path)
+    typed = cl.parse_raw(raw.filter(F.col("_corrupt_record").isNull()))
     c = cl.clean(typed, FIXTURE)
     return c.select("transaction_id", "date", "time", "shop_id", "shop_name", "city",
                     "product_name", "category", "quantity", "unit_price",
@@ -363,14 +429,12 @@ def parquet_roundtrip(spark, sf_dir):
 
 
 def shop_partitioned(spark, sf_dir):
-    """Raw rows written as one CSV folder per shop, read back, counted."""
+    """The dirty raw rows written as one CSV folder per shop, read back and parsed:
+    every row, blanks before ids included. A malformed line would be missing here."""
     path = scratch_path(spark, "raw_by_shop")
-    files.write_raw_csv_by_shop(fixture.raw_text_transactions(spark, sf_dir, dirty=False),
-                                path)
-    back = cl.parse_raw(files.read_raw_csv_by_shop(spark, path).drop("_corrupt_record"))
-    return back.groupBy("shop_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        cents_to_amount(F.sum(to_cents("total_amount"))).alias("total_amount"))
+    files.write_raw_csv_by_shop(fixture.raw_text_transactions(spark, sf_dir, dirty=True), path)
+    raw = files.read_raw_csv_by_shop(spark, path)
+    return cl.parse_raw(raw.filter(F.col("_corrupt_record").isNull()))
 
 
 def idempotent_load(spark, sf_dir):
@@ -520,6 +584,10 @@ QUERIES = {
     "daily_revenue": daily_revenue,
     "top_products": top_products,
     "shop_performance": shop_performance,
+    "refreshed_daily_revenue": refreshed_daily_revenue,
+    "refreshed_top_products": refreshed_top_products,
+    "refreshed_shop_performance": refreshed_shop_performance,
+    "customers_approx": customers_approx,
     "shops": shops,
     "report_shops": report_shops,
     "shop_by_id": shop_by_id,

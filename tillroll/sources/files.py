@@ -3,7 +3,7 @@ staging, JSON records and a plain-text report."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +21,13 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     `transaction_id`), so columns may stand in any order beside others; a missing one
     is an error that names it. No type is inferred: `09:15` stays a string, and a line
     that does not fit the header lands in `_corrupt_record` instead of failing the read.
-    Files whose header differs from the first file's are refused."""
+    Files whose header differs from the first file's are refused, and so is a header in
+    which two names become one."""
     header = spark.read.option("header", True).csv(path).columns
     names = [plain_name(c) for c in header]
+    twice = [c for c in RAW_COLUMNS if names.count(c) > 1]
+    if twice:
+        raise ValueError(f"{path}: the header has {', '.join(twice)} more than once")
     missing = [c for c in RAW_COLUMNS if c not in names]
     if missing:
         raise ValueError(f"{path}: the header has no column {', '.join(missing)}")
@@ -40,10 +44,15 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
                       "_corrupt_record")
 
 
+def _csv_writer(df: DataFrame) -> DataFrameWriter:
+    """With a header, blanks around values kept (Spark's default strips them)."""
+    return (df.write.mode("overwrite").option("header", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
 def write_raw_csv(df: DataFrame, path: str, quote: bool = True) -> None:
-    """Raw rows as CSV with a header, blanks around values kept."""
-    w = (df.write.mode("overwrite").option("header", True)
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    """Raw rows as CSV with a header."""
+    w = _csv_writer(df)
     (w if quote else w.option("quote", "")).csv(path)
 
 
@@ -52,8 +61,8 @@ def write_raw_csv_by_shop(df: DataFrame, path: str) -> None:
     range-clustered on (shop_id, transaction_id) first: a small shop lands in one
     task and one file, a very large shop is split over several tasks (several
     files in its folder) instead of loading one writer."""
-    (df.repartitionByRange("shop_id", "transaction_id").write.mode("overwrite")
-     .partitionBy("shop_id").option("header", True).csv(path))
+    (_csv_writer(df.repartitionByRange("shop_id", "transaction_id"))
+     .partitionBy("shop_id").csv(path))
 
 
 def read_raw_csv_by_shop(spark: SparkSession, path: str) -> DataFrame:
@@ -62,7 +71,7 @@ def read_raw_csv_by_shop(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([f for f in RAW_SCHEMA_WITH_CORRUPT.fields if f.name != "shop_id"]
                           + [T.StructField("shop_id", T.StringType())])
     return (spark.read.schema(schema).option("header", True)
-            .option("mode", "PERMISSIVE")
+            .option("mode", "PERMISSIVE").option("columnPruning", False)
             .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
 
 
