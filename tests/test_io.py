@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from tillroll.operators import clean as cl
 from tillroll.operators import quality
 from tillroll.plans import examples
@@ -238,3 +239,17 @@ def test_a_header_with_one_name_twice_is_refused(spark, tmp_path):
     (tmp_path / "a.csv").write_text(",".join(names) + "\n" + ",".join("x" * len(names)) + "\n")
     with pytest.raises(ValueError, match="shop_id more than once"):
         files.read_raw_csv(spark, str(tmp_path))
+
+
+def test_ordered_dedup_does_not_depend_on_arrival(spark):
+    """Copies that land before their events and after them give the same rows, each the
+    least of its copies, whatever the number of batches."""
+    cfg = ingest.StreamConfig(watermark="16 days", state_partitions=2)
+    found = []
+    for slices, first in ((3, False), (3, True), (5, False)):
+        job = ingest.replay_in_slices(spark, SF_SMALL, cfg, slices, ordered=True, copies_first=first)
+        silver = spark.read.schema(job.silver_schema()).parquet(job.silver)
+        found.append(sorted(map(str, silver.collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 100
+    ids = [r.split("'")[1] for r in found[0]]
+    assert len(ids) == len(set(ids))

@@ -554,4 +554,19 @@ ok AS (SELECT * FROM ev WHERE total_cents > 0 AND shop_id IS NOT NULL),
 mark AS (SELECT epoch_ms(max(ts)) - 86400000 AS ms FROM ok WHERE event_id % 10 < 9)
 SELECT transaction_id, date, shop_id, customer_id, {amt('total_cents')} AS total_amount
 FROM ok, mark WHERE event_id % 10 = 9 AND epoch_us(ts) <= ms * 1000"""
+    # copies (ids ending in 8) have twice the value, so the event itself is the first in the
+    # fixed order; a session of one hour is out once the watermark has passed it
+    first = ev.rstrip() + """,
+ok AS (SELECT * FROM ev WHERE total_cents > 0 AND shop_id IS NOT NULL),
+mark AS (SELECT epoch_ms(max(ts)) - 11 * 86400000 AS ms FROM ok),
+silver AS (SELECT ok.* FROM ok, mark WHERE epoch_us(ts) + 3600000000 <= ms * 1000)
+"""
+    q["stream_ordered_dedup"] = first + f"""SELECT transaction_id, date, shop_id, customer_id,
+  {amt('total_cents')} AS total_amount FROM silver"""
+    q["stream_customers"] = first + """SELECT date AS window_date, shop_id,
+  count(DISTINCT customer_id) AS customers
+FROM silver
+WHERE epoch_ms(CAST(date AS TIMESTAMP)) + 86400000
+      <= (SELECT epoch_ms(max(ts)) - 11 * 86400000 FROM silver)
+GROUP BY date, shop_id HAVING count(DISTINCT customer_id) > 0"""
     return q

@@ -23,7 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,7 @@ SNAPSHOT_SCHEMA = T.StructType(
 class StreamConfig:
     watermark: str = "2 days"        # how late a replayed or delayed row may arrive
     window: str = "1 day"
+    copy_gap: str = "1 hour"         # how far apart the event times of an id's copies may lie
     # Bytes of input per micro-batch; None takes all that has landed. Bound it by what a
     # batch's state and shuffle may hold, not by a number of files.
     max_bytes_per_trigger: str | None = None
@@ -139,7 +140,8 @@ def dedup_stream(tx: DataFrame, cfg: StreamConfig) -> DataFrame:
 
 def windowed_revenue(tx: DataFrame, cfg: StreamConfig) -> DataFrame:
     """Per shop and one-day tumbling window: revenue, count, extremes and an
-    approximate distinct customer count (exact distinct is not streamable)."""
+    approximate distinct customer count (`window_customers` has the exact one, after
+    the window has closed)."""
     return (tx.withWatermark("event_time", cfg.watermark)
             .groupBy(F.window("event_time", cfg.window).alias("w"), "shop_id")
             .agg(F.sum("total_cents").alias("revenue_cents"),
@@ -149,6 +151,37 @@ def windowed_revenue(tx: DataFrame, cfg: StreamConfig) -> DataFrame:
                  F.approx_count_distinct("customer_id").alias("approx_customers")))
 
 
+def ordered_dedup(tx: DataFrame, cfg: StreamConfig) -> DataFrame:
+    """J2 in C2's way: of the copies of an id the first in a fixed order (event time,
+    shop, amount, customer, then the derived columns; NULLs last), whichever arrived
+    first. Copies whose event times lie within `copy_gap` of each other are one session
+    of the id; its least row is emitted once the watermark has passed the session, and
+    its state goes. The result does not depend on how rows are dealt into batches."""
+    rest = [c for c in tx.columns if c not in ("transaction_id", "event_time")]
+    first = ["shop_id", "total_cents", "customer_id"]
+    order = [*first, *[c for c in rest if c not in first]]
+    row = F.struct("event_time", *[part for c in order for part in (
+        F.col(c).isNull().alias(f"no_{c}"), F.col(c))])
+    least = (tx.withWatermark("event_time", cfg.watermark)
+             .groupBy(F.session_window("event_time", cfg.copy_gap), "transaction_id")
+             .agg(F.min(row).alias("row")))
+    return least.select(*[F.col(c) if c == "transaction_id" else F.col(f"row.{c}").alias(c)
+                          for c in tx.columns])
+
+
+def window_customers(tx: DataFrame, cfg: StreamConfig) -> DataFrame:
+    """J3's exact distinct customers as two chained stateful operators: one row per
+    (window, shop, customer), then the count per (window, shop). Both keep state only
+    until the watermark passes the window's end, when the count is emitted."""
+    seen = (tx.withWatermark("event_time", cfg.watermark)
+            .filter(F.col("customer_id").isNotNull())
+            .select(F.window("event_time", cfg.window).alias("w"), "shop_id", "customer_id")
+            .dropDuplicates(["w", "shop_id", "customer_id"]))
+    return seen.groupBy("w", "shop_id").agg(F.count(F.lit(1)).alias("customers")).select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+        "shop_id", "customers")
+
+
 @dataclass
 class IncrementalIngest:
     """Folders of one deployment: landing (input files), silver, gold, checkpoints."""
@@ -190,16 +223,30 @@ class IncrementalIngest:
         (lost.dropDuplicates(["transaction_id"]).select(*landed.columns)
          .write.mode("overwrite").parquet(self.late))
 
-    def run_silver(self):
-        src = self._reader(EVENT_SCHEMA).parquet(self.landing)
-        out = dedup_stream(events_as_transactions(src), self.cfg)
+    def _append(self, out: DataFrame, name: str, path: str):
         with _StreamConf(self.spark, self.cfg):
             q = (out.writeStream.format("parquet").outputMode("append")
-                 .option("checkpointLocation", self._ckpt("silver"))
-                 .trigger(availableNow=True).start(self.silver))
+                 .option("checkpointLocation", self._ckpt(name))
+                 .trigger(availableNow=True).start(path))
             q.awaitTermination()
         return q
 
+    def run_silver(self, ordered: bool = False):
+        """Clean, de-duplicated rows; with `ordered` an id's first copy in the fixed order,
+        emitted when the watermark has passed it, instead of the first to arrive."""
+        src = events_as_transactions(self._reader(EVENT_SCHEMA).parquet(self.landing))
+        out = (ordered_dedup if ordered else dedup_stream)(src, self.cfg)
+        return self._append(out, "silver", self.silver)
+
+    @property
+    def customers(self) -> str:
+        return f"{self.root}/customers"
+
+    def run_customers(self):
+        """Exact distinct customers per closed window and shop, from silver."""
+        src = self._reader(self.silver_schema()).parquet(self.silver)
+        return self._append(window_customers(src, self.cfg), "customers", self.customers)
+
     def silver_schema(self) -> T.StructType:
         return events_as_transactions(
             self.spark.createDataFrame([], EVENT_SCHEMA)).schema
@@ -292,6 +339,39 @@ def replay_fixture(spark: SparkSession, sf_dir: str, cfg: StreamConfig) -> Incre
     return job
 
 
+def replay_in_slices(spark: SparkSession, sf_dir: str, cfg: StreamConfig, slices: int,
+                     ordered: bool, copies_first: bool = False) -> IncrementalIngest:
+    """Lands the events in time order, one run per slice of the span. Events with ids
+    ending in 8 have a copy of twice the value and another customer, which lands one
+    slice after its event, or one before with `copies_first`."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    copies = events.filter(F.col("event_id") % 10 == 8).withColumn("value", F.col("value") * 2).withColumn(
+        "user_id", F.col("user_id") + 1)
+    low, high = events.agg(F.min(_seconds("ts")), F.max(_seconds("ts"))).first()
+    width = (high - low) // slices + 1
+    root = scratch_path(spark, "slices")
+    job = IncrementalIngest(spark, f"{root}/landing/part*", root, cfg)
+    for i in range(slices + 1):
+        own, other = (i - 1, i) if copies_first else (i, i - 1)
+
+        def within(df: DataFrame, k: int) -> DataFrame:
+            at = _seconds("ts") - F.lit(low)
+            return df.filter((at >= k * width) & (at < (k + 1) * width))
+
+        (within(events, own).unionByName(within(copies, other)).write.mode("overwrite")
+         .parquet(f"{root}/landing/part{i}"))
+        job.run_silver(ordered)
+    job.run_customers()
+    return job
+
+
+def _seconds(col: str) -> Column:
+    """Whole seconds of a wall clock time, as if it were UTC."""
+    d = F.col(col).cast("date")
+    return (F.datediff(d, F.lit("1970-01-01").cast("date")).cast("long") * 86400
+            + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col))
+
+
 def stream_daily_result(job: IncrementalIngest) -> DataFrame:
     w = job.latest_windows()
     # UTC day of the window start from epoch seconds (no session time zone)
