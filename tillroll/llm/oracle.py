@@ -91,9 +91,91 @@ FROM s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id
 """
 
 
+# crc32 by the usual table, on the bytes of runs of characters below U+0100
+OP11 = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda t, x:
+           CASE WHEN t & 1 = 1 THEN xor(t >> 1, 3988292384) ELSE t >> 1 END) ORDER BY i) AS tab
+  FROM range(256) AS r(i)),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_FOLD}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL),
+coded AS (
+  SELECT run, n, flatten(list_transform(
+           string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda c:
+           CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+                ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), 128 + (unicode(c) & 63)] END)) AS b
+  FROM runs),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda acc, x:
+           xor(acc >> 8, tab[(xor(acc, x) & 255) + 1]))) AS h
+  FROM coded, crc),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                       ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+skips AS (
+  SELECT word, n, i, left(word, i) AS pre, substr(word, i + 2) AS suf
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n
+  FROM skips a JOIN skips b USING (i, pre, suf) WHERE a.word <> b.word
+  UNION SELECT s.word, v.word, v.n FROM skips s JOIN words v ON v.word = s.pre || s.suf
+  UNION SELECT v.word, s.word, s.n FROM skips s JOIN words v ON v.word = s.pre || s.suf),
+best AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(m := -other_n, w := other)) AS b
+  FROM near GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -b.m >= 2 * n THEN b.w END AS form, CASE WHEN -b.m >= 2 * n THEN -b.m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS here, 0 AS step FROM forms
+  UNION ALL
+  SELECT w.word, f.form, step + 1 FROM walk w JOIN forms f ON f.word = w.here WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n
+FROM forms JOIN (SELECT word, arg_max(here, step) AS root FROM walk GROUP BY word) USING (word)
+"""
+
+_OP12_ROUND = """a{r} AS (
+  SELECT v.id, min(struct_pack(d := CAST(list_inner_product(v.f, v.f) - 2 * list_inner_product(v.f, c.f)
+                                         + list_inner_product(c.f, c.f) AS BIGINT), c := c.c)) AS m
+  FROM v, c{r} AS c GROUP BY v.id),
+"""
+_OP12_MEANS = """s{r} AS (
+  SELECT c, i, (s - ((s % n) + n) % n) // n AS mean
+  FROM (SELECT a.m.c AS c, i, CAST(sum(v.e[i]) AS BIGINT) AS s, count(*) AS n
+        FROM a{r} a JOIN v USING (id), range(1, 65) AS r(i) GROUP BY ALL)),
+c{next} AS (
+  SELECT c.c, coalesce(t.e, c.e) AS e, list_transform(coalesce(t.e, c.e), lambda x: CAST(x AS DOUBLE)) AS f
+  FROM c{r} c LEFT JOIN (SELECT c, list(mean ORDER BY i) AS e FROM s{r} GROUP BY c) t USING (c)),
+"""
+
+OP12 = """
+WITH v AS (
+  SELECT row_number() OVER () AS id, vec_id, e, list_transform(e, lambda x: CAST(x AS DOUBLE)) AS f
+  FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) = 64
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, e) - 1 AS c, e, f FROM v
+  QUALIFY c < 16),
+""" + "".join(_OP12_ROUND.format(r=r) + _OP12_MEANS.format(r=r, next=r + 1) for r in range(3)) \
+    + _OP12_ROUND.format(r=3) + """t AS (
+  SELECT m.c AS c, CAST(sum(m.d) AS BIGINT) AS cluster_inertia, count(*) AS cluster_size FROM a3 GROUP BY ALL)
+SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, m.d AS distance, cluster_inertia,
+       CAST((SELECT sum(m.d) FROM a3) AS BIGINT) AS inertia,
+       sha256(array_to_string(c3.e, ',')) AS centroid_sha256, cluster_size
+FROM a3 JOIN v USING (id) JOIN c3 ON c3.c = m.c JOIN t ON t.c = m.c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {"op1_mixing": OP1, "op6_topk": OP6, "op8_near_dedup": OP8,
-           "op9_exact_dedup": OP9}
+           "op9_exact_dedup": OP9, "op11_spelling_variants": OP11, "op12_clustering": OP12}
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
