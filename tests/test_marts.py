@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import to_cents
-from tillroll.operators.ranking import ranked
+from tillroll.operators.ranking import ranked, top_ranked
 from tillroll.plans import marts, metrics, serving, staging
 from conftest import SF_SMALL
 
@@ -236,3 +236,24 @@ def test_ranges_below_by_binary_search(spark):
         bounds = [3 * i for i in range(n)]
         df = spark.range(-2, 3 * n + 3).select("id", ranges_below(bounds, F.col("id")).alias("below"))
         assert all(r["below"] == sum(b < r["id"] for b in bounds) for r in df.collect())
+
+
+def test_top_ranked_equals_the_filtered_rank(spark):
+    """Ties, NULL values, NULL groups, groups smaller than k, one group of most rows."""
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([None, 1, 2, 2, 3, rng.randrange(40)]))
+            for _ in range(600)] + [("c", 7), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, v int").repartition(5)
+    for groups in (["g"], None):
+        for ascending in (False, True):
+            for k in (1, 3, 500):
+                got = top_ranked(df, "v", "r", k, groups, ascending)
+                want = ranked(df, "v", "r", groups, ascending).filter(F.col("r") <= k)
+                assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_top_ranked_keeps_k_values_a_task(spark):
+    """Spark's group limit runs before and after the shuffle; no window sees the rest."""
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 101).alias("v"))
+    plan = top_ranked(df, "v", "r", 4, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2 and "Partial" in plan

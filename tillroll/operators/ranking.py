@@ -83,6 +83,33 @@ def ranked(df: DataFrame, order_col: str, rank_col: str, group_cols: list[str] |
     return df.join(r, on).select(*[F.col(f"`{c}`") for c in df.columns], rank_col)
 
 
+def top_ranked(df: DataFrame, order_col: str, rank_col: str, k: int,
+               group_cols: list[str] | None = None, ascending: bool = False) -> DataFrame:
+    """The rows whose RANK() within their group is at most `k`, ties kept, with the rank:
+    `ranked(...)` filtered, without ranking the rest.
+
+    A rank of at most k needs one of the k first distinct values. Rows are counted per
+    (group, value), so ties collapse on the map side; every task keeps its k first values
+    of a group (Spark's window group limit) and only those are shuffled to the group,
+    where a running sum of the counts gives the ranks. Joined back on (group, value), a
+    value that most rows share stays spread. `df` is read twice."""
+    groups = [f"_g{i}" for i in range(len(group_cols or []))]
+    keys = [F.col(c).alias(g) for c, g in zip(group_cols or [], groups)]
+    values = df.groupBy(*keys, F.col(order_col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    order = F.col("_v").asc_nulls_last() if ascending else F.col("_v").desc_nulls_last()
+    if groups:
+        first = (values.withColumn("_i", F.row_number().over(Window.partitionBy(*groups).orderBy(order)))
+                 .filter(F.col("_i") <= k).drop("_i"))
+    else:
+        first = values.orderBy(order).limit(k)
+    # at most k rows a group
+    before = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    rank = (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int")
+    first = first.select(*groups, "_v", rank.alias(rank_col)).filter(F.col(rank_col) <= k)
+    on = same_as([*((c, f"_g{i}") for i, c in enumerate(group_cols or [])), (order_col, "_v")])
+    return df.join(first, on).select(*[F.col(f"`{c}`") for c in df.columns], rank_col)
+
+
 def grand_total(df: DataFrame, col: str) -> Column:
     """SUM(col) over the whole DataFrame as a scalar-subquery column."""
     return df.select(F.sum(col)).scalar()

@@ -356,6 +356,7 @@ LEFT JOIN ({wk}) w ON w.day_of_week = d.day_of_week ORDER BY d.display_order"""
   avg_sale_value, revenue_rank_in_shop, pct_of_shop_revenue FROM top_products
 WHERE revenue_rank_in_shop <= {k} ORDER BY shop_name, revenue_rank_in_shop, product_name"""
     q["top5_products_per_shop"] = mp + plist.format(k=5)
+    q["top_products_from_sums"] = q["top5_products_per_shop"]
     q["top3_products_per_shop"] = mp + plist.format(k=3)
     q["portfolio_summary"] = mp + f"""SELECT count(*) AS total_shops,
   {amt('sum(revenue_cents)')} AS total_revenue,

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import formatting as fmt
-from ..functions.money import avg_amount, cents_to_amount, pct_0dp, to_cents
-from ..operators.ranking import grand_max
+from ..functions.money import avg_amount, cents_to_amount, pct_0dp, pct_2dp, to_cents
+from ..operators.ranking import grand_max, top_ranked
 
 SHOP_LIST_COLUMNS = [
     "shop_id", "shop_name", "city", "total_revenue", "total_transactions",
@@ -107,6 +107,17 @@ def top_products_per_shop(top: DataFrame, k: int = 5) -> DataFrame:
             .orderBy("shop_name", "revenue_rank_in_shop", "product_name"))
 
 
+def top_products_from_sums(products: DataFrame, k: int = 5) -> DataFrame:
+    """G6 + C7: the same list straight from the written (shop, product) aggregate, for
+    when the product mart is not built: only each shop's k first revenues are ranked."""
+    totals = products.groupBy(F.col("shop_id").alias("_shop")).agg(F.sum("_sum").alias("_shop_sum"))
+    first = top_ranked(products, "_sum", "revenue_rank_in_shop", k, ["shop_id"])
+    return first.join(totals, F.col("shop_id").eqNullSafe(F.col("_shop"))).select(
+        "shop_name", "product_name", "category", cents_to_amount("_sum").alias("total_revenue"),
+        "total_units_sold", avg_amount("_sum", "_n").alias("avg_sale_value"), "revenue_rank_in_shop",
+        pct_2dp(F.col("_sum"), F.col("_shop_sum")).alias("pct_of_shop_revenue"))
+
+
 def portfolio_summary(shop_mart: DataFrame) -> DataFrame:
     """V7 `/summary` exactly as defined: sums over the shop rows, so customers
     shared by shops are counted once per shop and the average is a mean of

@@ -230,6 +230,10 @@ def top3_products_per_shop(spark, sf_dir):
     return serving.top_products_per_shop(_top(spark, sf_dir), 3)
 
 
+def top_products_from_sums(spark, sf_dir):
+    return serving.top_products_from_sums(models(spark, sf_dir).products(), 5)
+
+
 def portfolio_summary(spark, sf_dir):
     return serving.portfolio_summary(_shop_mart(spark, sf_dir))
 
@@ -629,6 +633,7 @@ QUERIES = {
     "weekday_reindexed": weekday_reindexed,
     "top5_products_per_shop": top5_products_per_shop,
     "top3_products_per_shop": top3_products_per_shop,
+    "top_products_from_sums": top_products_from_sums,
     "portfolio_summary": portfolio_summary,
     "portfolio_summary_true": portfolio_summary_true,
     "shop_bars": shop_bars,
