@@ -253,3 +253,35 @@ def test_ordered_dedup_does_not_depend_on_arrival(spark):
     assert found[0] == found[1] == found[2] and len(found[0]) > 100
     ids = [r.split("'")[1] for r in found[0]]
     assert len(ids) == len(set(ids))
+
+
+def _scanned(df):
+    """Rows that the scan of a collected query handed on."""
+    plan = df._jdf.queryExecution().executedPlan()
+    while True:
+        below = plan.children()
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            plan = plan.executedPlan()
+        elif below.size():
+            plan = below.apply(0)
+        else:
+            return plan.metrics().apply("numOutputRows").value()
+
+
+def test_lookups_skip_row_groups(spark, tmp_path):
+    rows = spark.range(200_000).select(
+        F.format_string("T%08d", "id").alias("transaction_id"),
+        F.format_string("C%06d", F.pmod(F.xxhash64("id"), F.lit(20_000))).alias("customer_id"))
+    path = str(tmp_path / "lookup")
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", str(64 << 10))
+    try:
+        files.write_lookup(rows, path, "transaction_id", ["customer_id"], distinct=10_000)
+    finally:
+        hadoop.unset("parquet.block.size")
+    for col, value in (("transaction_id", "T00123456"), ("customer_id", "C000042"), ("customer_id", "none")):
+        found = files.lookup(spark, path, rows.schema, col, value)
+        got = found.collect()
+        assert sorted(got) == sorted(rows.filter(F.col(col) == value).collect())
+        assert _scanned(found) < 150_000

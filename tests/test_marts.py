@@ -257,3 +257,20 @@ def test_top_ranked_keeps_k_values_a_task(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 101).alias("v"))
     plan = top_ranked(df, "v", "r", 4, ["g"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2 and "Partial" in plan
+
+
+def test_bucketed_models_join_without_an_exchange(spark):
+    from conftest import SF_SMALL
+    from tillroll.plans.models import models
+    from tillroll.plans.warehouse import Warehouse
+    from tillroll.session import scratch_path
+    w = Warehouse(spark, "tillroll_bucket_test", scratch_path(spark, "warehouse"), 4).publish(models(spark, SF_SMALL))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = w.shop_reconciliation()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert all(r["shop_revenue"] == r["revenue_by_day"] == r["revenue_by_product"] for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

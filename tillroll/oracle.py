@@ -521,6 +521,15 @@ FROM shop_performance"""
   count(transaction_id) AS total_transactions
 FROM processed GROUP BY shop_name"""
     q["warehouse_shop_performance"] = mp + "SELECT * EXCLUDE (revenue_cents) FROM shop_performance"
+    q["warehouse_shop_reconciliation"] = mp + f"""SELECT s.shop_id, d.days, p.products,
+  {amt('s.revenue_cents')} AS shop_revenue, {amt('d.cents')} AS revenue_by_day,
+  {amt('p.cents')} AS revenue_by_product
+FROM shop_performance s
+JOIN (SELECT shop_id, count(*) AS days, sum(revenue_cents) AS cents FROM daily GROUP BY 1) d USING (shop_id)
+JOIN (SELECT shop_id, count(*) AS products, sum(revenue_cents) AS cents FROM top_products GROUP BY 1) p
+  USING (shop_id)"""
+    q["customer_history"] = proc + f"""SELECT transaction_id, date, shop_id, product_name,
+  {amt('total_cents')} AS total_amount FROM processed WHERE customer_id = 'CUST000007'"""
     q["report_lines"] = mp + f"""SELECT shop_id, concat_ws(' | ', '#' || CAST(revenue_rank AS VARCHAR),
   shop_name, city,
   '$' || format('{{:,}}', CAST({hu('revenue_cents', '100')} AS BIGINT)),

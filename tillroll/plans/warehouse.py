@@ -4,15 +4,18 @@
 external Parquet table partitioned by year and month; staging is a temporary
 view; the models are tables in `<prefix>_analytics` and `<prefix>_marts`. The prefix is
 the caller's, so two deployments never share a table and nobody's `raw` or `marts` is
-touched. Publishing replaces whole tables. All data lives under a root folder in the
+touched. Publishing replaces whole tables. The models are bucketed and sorted on
+shop_id, so aggregates and joins by shop read them without an exchange. All data lives under a root folder in the
 shared checkpoint location, so nothing is written to the process's working directory.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.money import cents_to_amount
 from ..sources.schema import PROCESSED_SCHEMA
 from .models import ModelSet
 from .staging import stg_transactions
@@ -43,8 +46,11 @@ def transactions_ddl(table: str, location: str) -> str:
 class Warehouse:
     """The layers of one deployment: databases `<prefix>_raw`, `_analytics`, `_marts`."""
 
-    def __init__(self, spark: SparkSession, prefix: str, root: str):
+    def __init__(self, spark: SparkSession, prefix: str, root: str, buckets: int | None = None):
+        """`buckets` of the model tables: the shuffle partitions of the session unless
+        given. A shop has one row a day or product in them, so no bucket is hot."""
         self.spark, self.prefix, self.root = spark, prefix, root
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}_{layer}.{table}"
@@ -67,7 +73,10 @@ class Warehouse:
                                  ("analytics", "top_products", ms.top()),
                                  ("marts", "shop_performance", ms.shop())):
             spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
-            (df.write.option("path", f"{root}/{layer}.db/{table}")
+            # partitioned as the buckets are: one file each
+            (df.repartition(self.buckets, "shop_id").write
+             .bucketBy(self.buckets, "shop_id").sortBy("shop_id")
+             .option("path", f"{root}/{layer}.db/{table}")
              .saveAsTable(self.name(layer, table)))
         return self
 
@@ -75,6 +84,21 @@ class Warehouse:
         """A named source table of the catalog."""
         return self.spark.table(self.name(layer, table))
 
+    def shop_reconciliation(self) -> DataFrame:
+        """Per shop its revenue by days, by products and in the shop mart, from the three
+        bucketed tables: no exchange of any of them."""
+        def total(layer: str, table: str, name: str) -> DataFrame:
+            return self.source(layer, table).groupBy("shop_id").agg(
+                F.sum("revenue_cents").alias(f"_{name}"), F.count(F.lit(1)).alias(name))
+
+        shops = self.source("marts", "shop_performance").select("shop_id", "revenue_cents")
+        return (shops.join(total("analytics", "daily_revenue", "days"), "shop_id")
+                .join(total("analytics", "top_products", "products"), "shop_id")
+                .select("shop_id", "days", "products",
+                        cents_to_amount("revenue_cents").alias("shop_revenue"),
+                        cents_to_amount("_days").alias("revenue_by_day"),
+                        cents_to_amount("_products").alias("revenue_by_product")))
+
     def staging(self) -> DataFrame:
         return stg_transactions(self.source("raw", "transactions"))
 

@@ -523,6 +523,27 @@ def warehouse_shop_performance(spark, sf_dir):
     return _public(_published(spark, sf_dir).source("marts", "shop_performance"))
 
 
+def warehouse_shop_reconciliation(spark, sf_dir):
+    """A10: revenue per shop by days, products and shop mart from the bucketed tables."""
+    return _published(spark, sf_dir).shop_reconciliation()
+
+
+_LOOKUPS: dict = {}
+
+
+def customer_history(spark, sf_dir):
+    """C6 + V2: one customer's sales from a table sorted on the transaction id, where
+    Bloom filters tell which row groups hold the customer."""
+    ms = models(spark, sf_dir)
+    src = ms.processed()
+    if _LOOKUPS.get(sf_dir, (None,))[0] is not ms:
+        path = scratch_path(spark, "lookup")
+        files.write_lookup(src, path, "transaction_id", ["customer_id", "shop_id"])
+        _LOOKUPS[sf_dir] = (ms, path)
+    return files.lookup(spark, _LOOKUPS[sf_dir][1], src.schema, "customer_id", "CUST000007").select(
+        "transaction_id", "date", "shop_id", "product_name", cents_to_amount("total_cents").alias("total_amount"))
+
+
 def column_contract(spark, sf_dir):
     """Q5: the documented columns against the catalog's comments; problem NULL = kept."""
     columns = _published(spark, sf_dir).columns("raw", "transactions")
@@ -660,6 +681,8 @@ QUERIES = {
     "report_lines": report_lines,
     "warehouse_revenue_by_shop": warehouse_revenue_by_shop,
     "warehouse_shop_performance": warehouse_shop_performance,
+    "warehouse_shop_reconciliation": warehouse_shop_reconciliation,
+    "customer_history": customer_history,
     "stream_dedup": stream_dedup,
     "stream_daily": stream_daily,
     "stream_ordered_dedup": stream_ordered_dedup,

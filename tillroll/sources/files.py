@@ -97,6 +97,26 @@ def read_processed(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
+# ---- C6/V2: point lookups -----------------------------------------------------------
+
+def write_lookup(df: DataFrame, path: str, key: str, others: list[str] | None = None,
+                 distinct: int = 1_000_000) -> None:
+    """A table for point lookups: rows range-clustered and sorted on `key`, so the row
+    groups' bounds tell all but one or two apart, and a Bloom filter per row group on
+    `key` and on `others`, whose values lie scattered over the files. `distinct` is the
+    number of values that a row group's filter is sized for."""
+    w = df.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite")
+    for c in [key, *(others or [])]:
+        w = (w.option(f"parquet.bloom.filter.enabled#{c}", True)
+             .option(f"parquet.bloom.filter.expected.ndv#{c}", distinct))
+    w.parquet(path)
+
+
+def lookup(spark: SparkSession, path: str, schema: T.StructType, col: str, value) -> DataFrame:
+    """The rows with one value of a column; the filter reaches the Parquet reader."""
+    return spark.read.schema(schema).parquet(path).filter(F.col(col) == F.lit(value))
+
+
 # ---- A5/A6: semi-structured staging ---------------------------------------------
 
 def to_variant_stage(df: DataFrame) -> DataFrame:
