@@ -8,7 +8,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from tillroll.llm import components as comp
-from tillroll.llm import exact_dedup, line_dedup, near_dedup
+from tillroll.llm import exact_dedup, line_dedup, linking, near_dedup
 
 SCHEMA = "doc_id long, text string, kept string, node long, n int"  # clashing extra columns
 FOLD = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
@@ -143,6 +143,35 @@ def test_near_chain_through_hot_group(spark):
     assert got == want
 
 
+def test_near_threshold_family(spark, monkeypatch):
+    """600 documents around one text, similarities just below 0.8: as brute force, without
+    all of the 179,700 pairs."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(600):
+        w = list(base)
+        for _ in range(rng.randint(9, 12)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    sets = {i: words(t, 2) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b
+             and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = union(sets, links)
+    met = []
+    wrapped = linking.written
+
+    def counting(df, name):
+        out = wrapped(df, name)
+        if name in ("pairs", "families"):
+            met.append((name, out.count()))
+        return out
+    monkeypatch.setattr(linking, "written", counting)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_components(frame(spark, rows), k=2).collect()}
+    assert got == want and len(set(want.values())) > 100
+    assert sum(n for name, n in met if name == "pairs") < 120_000, met
+
+
 def test_near_edges(spark):
     rows = [(None, "a b c"), (4, "a b c"), (4, "a b c"), (None, "q r s"), (9, None), (8, "")]
     got = sorted(map(tuple, near_dedup.near_components(frame(spark, rows), k=2).collect()), key=str)

@@ -4,31 +4,39 @@ Nodes carry two collections of partial keys; a table key joins one of each (tens
 banding), so m + m partial keys make m * m tables. Nodes that share a key are candidates.
 A group that shares a key is not expanded into all pairs:
 
-1. every member is verified against the group's smallest node, then, in groups that
-   still span several components, against other pivots picked by hash; a verified link
-   joins components, and two members of one component need no further test;
-2. in the groups that remain open, members of different components are paired and
-   verified, whatever their number. Nothing is capped or dropped: a pair is left
-   unverified only if both ends are already connected, if the set sizes alone rule the
-   similarity out, or if their smallest hashes share so few that it would be a once in
-   30,000 chance for a similar pair.
-
-Verification intersects whole sets. All steps are DataFrame operations.
+1. Groups with the same members are taken once. One order of all nodes gives every
+   group its pivot, so a node meets the same pivot in most of its groups; all groups
+   of a pivot are one family. Every member is verified against its pivot on whole sets,
+   and verified links are joined by union-find.
+2. In families that still span several components, each member is described by its
+   difference D from the set R of shingles that most of the family hold. For two members
+   of sizes a and b at a similarity of p percent or more, exactly
+
+       2 (100 + p) |D1 and D2| >= W1 + W2,   W = (100 + p) |D| - (100 - p) * size.
+
+   Members with W1 + W2 <= 0 are linked without a test; as this holds for a pair only if
+   it holds for each end and the family's member of least W, links to that member suffice.
+3. What is left needs common difference elements. Members of different components
+   meet only if a rare element of the one is among those of the other: of two members with
+   W1 <= W2 at least W1 / (100 + p) elements are shared, so one of the size * (100 - p)
+   / (100 + p) + 1 rarest elements of the first is. Their differences are then compared
+   exactly.
+
+No candidate is capped, dropped or decided by chance: a pair that shares a key is left
+untested only if both ends are already connected or if it cannot be similar. All steps are
+DataFrame operations.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.materialize import written
 from .components import components
 
-PIVOT_ROUNDS = 2
-SAMPLE = 128  # smallest hashes compared before a whole-set verification
-
 
 def tensored_keys(a: Column, b: Column) -> Column:
     """All m * m table keys from two collections of m partial keys."""
@@ -52,22 +60,23 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("u", "v"))
 
 
-def smallest(hashes: Column) -> Column:
-    """The SAMPLE smallest hashes of a set, shortened to 32 bits."""
-    return F.transform(F.slice(hashes, 1, SAMPLE), lambda h: F.shiftright(h, 32).cast("int"))
-
-
-def plausible(x: Column, y: Column, percent: int) -> Column:
-    """Whether the SAMPLE smallest hashes of two sets share enough for the sets to be
-    similar. Of the union's SAMPLE smallest a similar pair shares a binomial number; it
-    falls four standard deviations short once in 30,000 times. Two sets that are in the
-    sample whole are compared exactly."""
-    p = percent / 100
-    fewest = int(max(0.0, SAMPLE * p - 4 * (SAMPLE * p * (1 - p)) ** 0.5))
-    shared = F.size(F.array_intersect(x, y))
-    whole = F.greatest(F.size(x), F.size(y)) < SAMPLE
-    return F.when(whole, shared * 100 >= (F.size(x) + F.size(y) - shared) * percent).otherwise(
-        shared * SAMPLE >= F.least(F.size(x), F.size(y)) * fewest)
+def _families(nodes: DataFrame, keys: Column) -> DataFrame:
+    """(pivot, node, n, pivot_n, c): who meets which pivot, c the largest group's size."""
+    rows = nodes.select("node", F.col("n").cast("int").alias("n"), F.explode(keys).alias("key"))
+    # the first shuffle carries bare keys, and only keys that are shared go on
+    shared = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+                     .select("key"), "buckets")
+    found = written(rows.join(shared, "key"), "members")
+    order = F.xxhash64("node", F.lit(0))
+    groups = found.groupBy("key").agg(
+        F.count(F.lit(1)).alias("c"), F.bit_xor(order).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+        F.min_by(F.struct(F.col("node").alias("pivot"), F.col("n").alias("pivot_n")),
+                 F.struct(order, "node")).alias("p"))
+    groups = written(groups.groupBy("c", "x", "y").agg(F.min("key").alias("key"), F.first("p").alias("p"))
+                     .select("key", "c", "p.pivot", "p.pivot_n"), "groups")
+    return written(found.join(groups, "key").filter("node <> pivot").groupBy("pivot", "node").agg(
+        F.first("n").alias("n"), F.first("pivot_n").alias("pivot_n"), F.max("c").alias("c")), "families")
 
 
 def link(nodes: DataFrame, keys: Column, sets_for: Callable[[DataFrame], DataFrame],
@@ -77,61 +86,89 @@ def link(nodes: DataFrame, keys: Column, sets_for: Callable[[DataFrame], DataFra
     `nodes` has node, n (set size) and whatever `keys`, an array of longs, is made of;
     `sets_for` gives (node, set), sets as sorted arrays of hashes, for a table of
     candidate nodes."""
-    rows = nodes.select("node", F.col("n").cast("int").alias("n"), F.explode(keys).alias("key"))
-    # the first shuffle carries bare keys, and only keys that are shared go on
-    shared = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-                     .select("key"), "buckets")
-    found = written(rows.join(shared, "key"), "members")
-    pivots = written(found.groupBy("key").agg(
-        F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n")), "pivots")
-    members = found.join(pivots, "key")
-    sets = written(sets_for(found.select("node").distinct()), "sets")
-
-    def candidates(df: DataFrame) -> DataFrame:
-        return (df.filter((F.col("node") != F.col("pivot"))
-                          & similar_sizes(F.col("n"), F.col("pivot_n"), percent))
-                .select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v"))
-                .distinct())
-
-    tried = written(candidates(members), "pairs")
-    links = written(verified(tried, sets, percent), "verified")
+    families = _families(nodes, keys)
+    close = families.filter(similar_sizes(F.col("n"), F.col("pivot_n"), percent))
+    crowds = families.filter("c > 2")
+    wanted = close.unionByName(crowds)
+    sets = written(sets_for(wanted.select("node").unionByName(
+        wanted.select(F.col("pivot").alias("node"))).distinct()), "sets")
+    links = written(verified(close.select(F.col("pivot").alias("u"), F.col("node").alias("v")),
+                             sets, percent), "verified")
+    parts = components(links)
+    rows = _open(crowds.select("pivot", "node", "n"), parts)
+    if rows.isEmpty():
+        return parts
+    rows = _differences(rows, sets, percent)
+    least = written(rows.groupBy("pivot").agg(
+        F.min("w").alias("w_least"), F.min_by("node", F.struct("w", "node")).alias("centre")), "centres")
+    rows = written(rows.join(least, "pivot"), "differences")
+    plain = (rows.filter("w + w_least <= 0 AND node <> centre")
+             .select(F.col("centre").alias("u"), F.col("node").alias("v")))
+    links = written(links.unionByName(plain), "links")
     parts = components(links)
-    open_rows = found
-    for r in range(PIVOT_ROUNDS + 1):
-        open_rows = open_rows.drop("component").join(parts, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        order = F.xxhash64("node", "key", F.lit(r))
-        spread = written(open_rows.groupBy("key").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi"),
-            F.min_by("node", order).alias("pivot"), F.min_by("n", order).alias("pivot_n"),
-            F.min_by("component", order).alias("pivot_c"))
-            .filter("lo < hi").drop("lo", "hi"), "open")
-        if spread.isEmpty():
-            return parts
-        rows = written(open_rows.join(spread, "key"), "open-members")
-        open_rows = rows.drop("pivot", "pivot_n", "pivot_c")
-        if r < PIVOT_ROUNDS:
-            pairs = candidates(rows.filter("component <> pivot_c"))
-        else:
-            pairs = _across(open_rows, sets, percent)
-        pairs = written(pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
-        tried = tried.unionByName(pairs)
-        more = written(verified(pairs, sets, percent), "verified")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            parts = components(links)
-    return parts
-
-
-def _across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one group from different components that may be similar."""
-    samples = sets.select("node", smallest(F.col("set")).alias("least"))
-    rows = written(rows.join(samples, "node"), "open-samples")
-    x = rows.select("key", F.col("node").alias("u"), F.col("n").alias("n_u"),
-                    F.col("component").alias("c_u"), F.col("least").alias("least_u"))
-    y = rows.select(F.col("key").alias("key_v"), F.col("node").alias("v"), F.col("n").alias("n_v"),
-                    F.col("component").alias("c_v"), F.col("least").alias("least_v"))
-    near = ((F.col("key") == F.col("key_v")) & (F.col("u") < F.col("v"))
-            & (F.col("c_u") != F.col("c_v")) & similar_sizes(F.col("n_u"), F.col("n_v"), percent)
-            & plausible(F.col("least_u"), F.col("least_v"), percent))
-    return x.join(y, near).select("u", "v").distinct()
+    more = written(_meetings(_open(rows, parts), percent), "verified")
+    return parts if more.isEmpty() else components(links.unionByName(more))
+
+
+def _open(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows of families whose members (not counting the pivot) are of several
+    components, with `component`."""
+    rows = written(rows.join(parts, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")), "placed")
+    several = (rows.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+               .filter("lo < hi").select("pivot"))
+    return rows.join(written(several, "open"), "pivot")
+
+
+def _differences(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(pivot, node, n, d, w): d differs from the set that most of the family hold."""
+    own = sets.select("node", "set")
+    of_pivot = sets.select(F.col("node").alias("pivot"), F.col("set").alias("pivot_set"))
+    rows = written(rows.select("pivot", "node", "n").join(own, "node").join(of_pivot, "pivot").select(
+        "pivot", "node", "n", F.concat(F.array_except("set", "pivot_set"),
+                                       F.array_except("pivot_set", "set")).alias("d")), "from-pivot")
+    size = rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("size"))
+    often = (rows.select("pivot", F.explode("d").alias("h")).groupBy("pivot", "h")
+             .agg(F.count(F.lit(1)).alias("held")).filter("held > 1").join(size, "pivot").filter("held * 2 > size"))
+    # at most twice a member's mean difference, whatever the family's size
+    turned = written(often.groupBy("pivot").agg(F.collect_list("h").alias("turned")), "turned")
+    rows = rows.join(turned, "pivot", "left").withColumn("d", F.when(F.col("turned").isNull(), F.col("d")).otherwise(
+        F.concat(F.array_except("d", "turned"), F.array_except("turned", "d"))))
+    w = F.size("d").cast("long") * (100 + percent) - F.col("n").cast("long") * (100 - percent)
+    return written(rows.select("pivot", "node", "n", "d", w.alias("w")), "differences")
+
+
+def _meetings(rows: DataFrame, percent: int) -> DataFrame:
+    """The similar (u, v) of different components of one family."""
+    both = 100 + percent
+    rows = written(rows.select("pivot", "node", "n", "d", "w", "w_least", "component"), "open-differences")
+    single = rows.select("pivot", "node", "n", "w", "w_least", "component", F.explode("d").alias("h"))
+    # only elements that members of several components hold can be common to a pair
+    held = written(single.groupBy("pivot", "h").agg(
+        F.count(F.lit(1)).alias("held"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .filter("lo < hi").select("pivot", "h", "held"), "held")
+    inside = Window.partitionBy("pivot", "node")
+    at_least = lambda x: F.greatest(F.lit(1), F.ceil(x))
+    ranked = single.join(held, ["pivot", "h"]).withColumn("size", F.count(F.lit(1)).over(inside)).withColumn(
+        "left", F.col("size") + 1 - F.row_number().over(inside.orderBy("held", "h")))
+    ranked = written(ranked.select(
+        "pivot", "h", "node", "n", "w", "component", "size",
+        (F.col("left") >= at_least(F.col("w") / both)).alias("probes"),
+        (F.col("left") >= at_least((F.col("w") + F.col("w_least")) / (2 * both))).alias("listed"))
+        .filter("probes OR listed"), "elements")
+    side = lambda flag, s: ranked.filter(flag).select(
+        "pivot", "h", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "w", "component", "size")])
+    meet = ((F.struct("w_u", "node_u") < F.struct("w_v", "node_v"))
+            & (F.col("component_u") != F.col("component_v"))
+            & similar_sizes(F.col("n_u"), F.col("n_v"), percent)
+            & (F.col("w_u") + F.col("w_v") <= F.least("size_u", "size_v") * (2 * both)))
+    x, y = side("probes", "u"), side("listed", "v")
+    pairs = (x.join(y.withColumnRenamed("pivot", "p").withColumnRenamed("h", "g"),
+                    (F.col("pivot") == F.col("p")) & (F.col("h") == F.col("g")) & meet)
+             .select("pivot", F.col("node_u").alias("u"), F.col("node_v").alias("v"))
+             .groupBy("u", "v").agg(F.min("pivot").alias("pivot")))
+    end = lambda s: rows.select("pivot", F.col("node").alias(s), F.col("d").alias(f"d_{s}"),
+                                F.col("w").alias(f"w_{s}"))
+    return (written(pairs, "pairs").join(end("u"), ["pivot", "u"]).join(end("v"), ["pivot", "v"])
+            .filter(F.size(F.array_intersect("d_u", "d_v")) * (2 * both) >= F.col("w_u") + F.col("w_v"))
+            .select("u", "v").distinct())
