@@ -19,8 +19,10 @@ A group that shares a key is not expanded into all pairs:
 3. What is left needs common difference elements. Members of different components
    meet only if a rare element of the one is among those of the other: of two members with
    W1 <= W2 at least W1 / (100 + p) elements are shared, so one of the size * (100 - p)
-   / (100 + p) + 1 rarest elements of the first is. Their differences are then compared
-   exactly.
+   / (100 + p) + 1 rarest elements of the first is. One order, rarest first, holds for all
+   members of a family, so what a pair shares lies at or behind its first common element
+   in both: a meeting at an element counts only if both have enough elements left from
+   there on, (W1 + W2) / (2 (100 + p)) or more. The differences are then compared exactly.
 
 No candidate is capped, dropped or decided by chance: a pair that shares a key is left
 untested only if both ends are already connected or if it cannot be similar. All steps are
@@ -152,16 +154,16 @@ def _meetings(rows: DataFrame, percent: int) -> DataFrame:
     ranked = single.join(held, ["pivot", "h"]).withColumn("size", F.count(F.lit(1)).over(inside)).withColumn(
         "left", F.col("size") + 1 - F.row_number().over(inside.orderBy("held", "h")))
     ranked = written(ranked.select(
-        "pivot", "h", "node", "n", "w", "component", "size",
+        "pivot", "h", "node", "n", "w", "component", "left",
         (F.col("left") >= at_least(F.col("w") / both)).alias("probes"),
         (F.col("left") >= at_least((F.col("w") + F.col("w_least")) / (2 * both))).alias("listed"))
         .filter("probes OR listed"), "elements")
     side = lambda flag, s: ranked.filter(flag).select(
-        "pivot", "h", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "w", "component", "size")])
+        "pivot", "h", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "w", "component", "left")])
     meet = ((F.struct("w_u", "node_u") < F.struct("w_v", "node_v"))
             & (F.col("component_u") != F.col("component_v"))
             & similar_sizes(F.col("n_u"), F.col("n_v"), percent)
-            & (F.col("w_u") + F.col("w_v") <= F.least("size_u", "size_v") * (2 * both)))
+            & (F.col("w_u") + F.col("w_v") <= F.least("left_u", "left_v") * (2 * both)))
     x, y = side("probes", "u"), side("listed", "v")
     pairs = (x.join(y.withColumnRenamed("pivot", "p").withColumnRenamed("h", "g"),
                     (F.col("pivot") == F.col("p")) & (F.col("h") == F.col("g")) & meet)
