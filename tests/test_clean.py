@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tillroll.operators import clean as cl
 from tillroll.params import Params
 from tillroll.sources.schema import RAW_COLUMNS
@@ -88,3 +90,13 @@ def test_amounts_and_ids_are_judged_as_delivered(spark):
     assert got["A2"].total_amount == 19.996 and got["A2"].total_cents == 2000
     stg = stg_transactions(enrich(cl.clean(cl.parse_raw(_raw(spark, rows)), P), P))
     assert sorted(r.total_amount for r in stg.collect()) == [0.0, 20.0, 20.0]
+
+
+def test_dedup_within_columns_the_id_determines(spark):
+    rows = [row(f"T{i // 3}", customer=f"CUST{i % 5:04d}") for i in range(60)] + [row("T1", customer=None)]
+    typed = cl.parse_raw(_raw(spark, rows))
+    dealt = typed.withColumn("_g", F.substring("transaction_id", 2, 1)).repartition("_g")
+    got = cl.deduplicated(dealt, within=["_g"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == typed.columns and plan.count("Exchange hash") == 1
+    assert sorted(map(str, got.collect())) == sorted(map(str, cl.deduplicated(typed).collect()))
