@@ -274,3 +274,37 @@ def test_bucketed_models_join_without_an_exchange(spark):
         assert all(r["shop_revenue"] == r["revenue_by_day"] == r["revenue_by_product"] for r in df.collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_daily_counts_by_one_exchange(spark):
+    base = staging.fixture_stg(spark, SF_SMALL).limit(400).drop(
+        "shop_id", "shop_name", "product_name", "customer_id", "transaction_date")
+    i = F.row_number().over(Window.orderBy("transaction_id"))
+    stg = base.withColumn("_i", i).select(
+        *base.columns, F.concat(F.lit("S"), F.col("_i") % 3).alias("shop_id"),
+        F.when(F.col("_i") % 2 == 0, "x").alias("shop_name"),
+        F.when(F.col("_i") % 7 > 0, F.concat(F.lit("P"), F.col("_i") % 7)).alias("product_name"),
+        F.when(F.col("_i") % 11 > 0, F.concat(F.lit("C"), F.col("_i") % 11)).alias("customer_id"),
+        F.date_add(F.lit("1997-01-30"), (F.col("_i") % 4).cast("int")).alias("transaction_date"))
+    stg = stg.localCheckpoint()
+    keys = marts.DAY_KEYS
+    want = stg.groupBy(*keys).agg(
+        F.countDistinct("product_name").alias("p"), F.countDistinct("customer_id").alias("c"),
+        F.sum("total_cents").alias("s"), F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("payment_method") == "cash").alias("cash"))
+    for by in (None, ["month_number", "shop_id"]):
+        got = marts.day_sums(stg.withColumn("month_number", F.month("transaction_date")), by)
+        got = got.select(*keys, "unique_products_sold", "unique_customers", "_sum", "total_transactions",
+                         "cash_transactions")
+        assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        assert sorted(str(tuple(r)) for r in got.collect()) == sorted(str(tuple(r)) for r in want.collect())
+
+
+def test_cleaning_shuffles_the_widened_rows_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = staging.fixture_processed(spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(transaction_id" not in plan and "SortAggregate" in plan

@@ -105,3 +105,11 @@ def test_an_empty_processed_table(spark):
     files.write_processed(src.filter("false"), f"{root}/processed")
     job.refresh([(1997, 1)])
     assert job.days().count() == 0
+
+
+def test_partials_are_dealt_once_by_month(built):
+    job, _, _ = built
+    for name, df in refresh.partials(job.staging()).items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange rangepartitioning(year") == 1, name
+        assert plan.count("Exchange") == (2 if name == "shops" else 1), name
