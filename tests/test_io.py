@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from tillroll import queries
 from tillroll.operators import clean as cl
 from tillroll.operators import quality
 from tillroll.plans import examples
@@ -285,3 +286,10 @@ def test_lookups_skip_row_groups(spark, tmp_path):
         got = found.collect()
         assert sorted(got) == sorted(rows.filter(F.col(col) == value).collect())
         assert _scanned(found) < 150_000
+
+
+def test_state_partitions_follow_the_input():
+    mb = 1 << 20
+    assert [ingest.state_partitions(n) for n in (0, 2 * mb, 32 * mb, 33 * mb, 720 * mb)] == [4, 4, 4, 5, 90]
+    sized = queries._sized(queries._SLICE_STREAM, (1, 720 * mb, 0))
+    assert sized.state_partitions == 90 and sized.watermark == queries._SLICE_STREAM.watermark

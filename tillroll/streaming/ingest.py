@@ -62,6 +62,10 @@ SNAPSHOT_SCHEMA = T.StructType(
     + [T.StructField("upto", T.LongType())])
 
 
+#: bytes of compressed input whose rows one state partition holds
+STATE_BYTES = 8 << 20
+
+
 @dataclass(frozen=True)
 class StreamConfig:
     watermark: str = "2 days"        # how late a replayed or delayed row may arrive
@@ -78,6 +82,12 @@ class StreamConfig:
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+def state_partitions(size: int, least: int = 4) -> int:
+    """State partitions for a stream over input files of `size` bytes in all: one for
+    every STATE_BYTES, so that a partition's state and work stay the same as it grows."""
+    return max(least, -(-size // STATE_BYTES))
+
+
 class _StreamConf:
     """Applies the stream's SQL settings while a query is started, then restores."""
 
