@@ -170,3 +170,19 @@ def test_slices_of_long_texts_agree(monkeypatch):
         if t:
             got = np.frombuffer(b"".join(enc.blocks(t)), "<u4").tolist()
             assert got == tok.encode(t, add_special_tokens=False).ids
+
+
+def test_frequent_chunks_stay_known_beyond_the_cache(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 4)
+    asked = []
+    chunks = packing.Chunks(lambda chunk: asked.append(chunk) or [len(chunk)])
+    for i in range(50):
+        assert chunks["often"] == b"\5\0\0\0"
+        assert chunks[f"rare {i}"] == bytes([len(f"rare {i}"), 0, 0, 0])
+        assert len(chunks) + len(chunks.aside) <= 8
+    assert asked.count("often") == 1 and len(asked) == 51
+
+
+def test_a_worker_keeps_its_encoder():
+    paths = packing.default_paths()
+    assert packing.kept_encoder(*paths) is packing.kept_encoder(*paths)

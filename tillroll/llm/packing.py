@@ -41,7 +41,7 @@ from .common import text_of
 WINDOW = 1024
 PIECE = 256
 GROUP = 1024
-CACHE = 300_000
+CACHE = 400_000
 SLICE = 1 << 20
 
 _CHUNK = re.compile(r"\s*\S+|\s+")
@@ -57,20 +57,26 @@ def default_paths() -> tuple[str, str]:
 
 
 class Chunks(dict):
-    """Chunk to little-endian uint32 ids; emptied when it holds CACHE chunks."""
+    """Chunk to little-endian uint32 ids. At CACHE chunks it is set aside and begun anew;
+    chunks set aside come back when they are met again, so the frequent ones are encoded
+    once while the rare ones go after one more round."""
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.aside = encode, {}
         self.pack = [struct.Struct(f"<{n}I").pack for n in range(33)]
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.encode(chunk)
-        if len(ids) > 32:
-            return np.array(ids, dtype="<u4").tobytes()
+        out = self.aside.get(chunk)
+        if out is None:
+            ids = self.encode(chunk)
+            if len(ids) > 32:
+                return np.array(ids, dtype="<u4").tobytes()
+            out = self.pack[len(ids)](*ids)
         if len(self) >= CACHE:
+            self.aside = dict(self)
             self.clear()
-        out = self[chunk] = self.pack[len(ids)](*ids)
+        self[chunk] = out
         return out
 
 
@@ -102,6 +108,16 @@ class Encoder:
             start = end
 
 
+def kept_encoder(json_path: str, ranks_path: str) -> Encoder:
+    """This worker process's encoder: workers are reused, so its chunks serve later tasks.
+    This module is shipped by value with every task, so the library's holds it."""
+    import tokenizers
+    held = vars(tokenizers).setdefault("kept_chunk_encoders", {})
+    if (json_path, ranks_path) not in held:
+        held[json_path, ranks_path] = Encoder(json_path, ranks_path)
+    return held[json_path, ranks_path]
+
+
 def cut(blocks: Iterator[bytes], window: int, piece: int) -> Iterator[tuple[int, int, int]]:
     """(start, length, crc32) of a document's pieces from its ids and the closing id 0."""
     rest, start, wide = b"", 0, 4 * window
@@ -127,7 +143,7 @@ def cut(blocks: Iterator[bytes], window: int, piece: int) -> Iterator[tuple[int,
 
 def piece_cutter(json_path: str, ranks_path: str, window: int, piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(json_path, ranks_path)
+        encoder = kept_encoder(json_path, ranks_path)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             doc, start, length, crc, total = [], [], [], [], []
