@@ -4,11 +4,14 @@ import hashlib
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
 from tillroll.llm import components as comp
 from tillroll.llm import exact_dedup, line_dedup, linking, near_dedup
+from tillroll.session import ensure_checkpoint_dir
 
 SCHEMA = "doc_id long, text string, kept string, node long, n int"  # clashing extra columns
 FOLD = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
@@ -256,3 +259,31 @@ def test_hot_line_is_one_node(spark):
     rows = [(i, "the same line everywhere\nand own line number %d of this text" % (i * 7919)) for i in range(300)]
     out = line_dedup.line_components(frame(spark, rows, 8)).filter(F.col("line_no") == 0)
     assert out.filter("kept").count() == 1 and out.filter("keep_doc_id = 0").count() == 300
+
+
+def test_shared_parts_leave_out_what_no_other_node_has(spark):
+    rows = [(1, 9, [1, 2], [3, 4]), (2, 9, [1, 5], [6, 4]), (3, 9, [2, 1], [7, 8]), (4, 9, [1, 9], [10, 11])]
+    nodes = spark.createDataFrame(rows, "node long, n long, a array<long>, b array<long>")
+    got = {r["node"]: r for r in linking.shared_parts(nodes).collect()}
+    # 3 has 1 at another place; 4 shares no key of the second collection
+    assert set(got) == {1, 2} and all(len(r["a"]) == len(r["b"]) == 1 for r in got.values())
+    assert got[1]["a"] == got[2]["a"] and got[1]["b"] == got[2]["b"]
+
+
+def _tables(spark):
+    at = Path(urlparse(ensure_checkpoint_dir(spark)).path) / "tables"
+    return {p.name for p in at.iterdir()} if at.exists() else set()
+
+
+def test_linking_gives_up_its_scratch_tables(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = [base, base + " x", base + " y", "z " + base, "quite another text of few words", base + " x"]
+    before = _tables(spark)
+    left = near_dedup.survivors(frame(spark, list(enumerate(texts)))).select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in left) == [0, 4]
+    assert {t.rsplit("-", 1)[0] for t in _tables(spark) - before} == {"gone-ids"}
+    before = _tables(spark)
+    out = line_dedup.line_components(frame(spark, list(enumerate(texts))))
+    assert {t.rsplit("-", 1)[0] for t in _tables(spark) - before} == {
+        "line-signatures", "line-members", "first-lines"}
+    assert out.filter("kept").count() == 2

@@ -31,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.materialize import written
+from ..operators.materialize import release, written
 from .common import text_of
-from .linking import link, tensored_keys
+from .linking import link, shared_parts, tensored_keys
 from .shingles import Hasher, batch_sets, mix
 
 SHINGLE, PERCENT = 5, 80
@@ -115,9 +115,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = ["n", "d1", "d2"]
     classes = written(signed.filter("n > 0").groupBy(*same).agg(
         F.min("tag").alias("node"), F.min("doc_id").alias("low")), "classes")
-    nodes = (signed.select("tag", "n", "a", "b")
-             .join(classes.select(F.col("node").alias("tag")), "tag")
-             .select(F.col("tag").alias("node"), "n", "a", "b"))
+    nodes = written(signed.select("tag", "n", "a", "b")
+                    .join(classes.select(F.col("node").alias("tag")), "tag")
+                    .select(F.col("tag").alias("node"), "n", "a", "b"), "nodes")
+    tabled = shared_parts(nodes)
+    release(nodes)
 
     def sets_for(wanted: DataFrame) -> DataFrame:
         # a class's set comes from the text of its smallest id, told apart by checksums
@@ -133,10 +135,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ordinal = Window.partitionBy("node").orderBy("doc_id")
         return made.withColumn("r", F.row_number().over(ordinal)).filter("r = 1").select("node", "set")
 
-    parts = link(nodes, tensored_keys(F.col("a"), F.col("b")), sets_for, percent)
+    parts = link(tabled, tensored_keys(F.col("a"), F.col("b")), sets_for, percent)
+    release(tabled)
     named = classes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lows = written(named.groupBy("component").agg(F.min("low").alias("component_id")), "component-ids")
     named = written(named.join(lows, "component").select(*same, "component_id"), "classes")
+    release(classes, parts, lows)
     out = signed.select("doc_id", *same).join(named, same, "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -146,9 +150,13 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` whose document stays, columns as they were. Rows that share an
-    id stay if any of them does."""
-    kept = near_components(docs, id_col, text_col, k, percent).filter("kept")
-    kept = written(kept.select(F.col("doc_id").alias("kept_id")).distinct(), "kept-ids")
+    id stay if any of them does. The texts meet the ids that go, which are the fewer: the
+    planner may broadcast them and leave the texts where they are."""
+    found = near_components(docs, id_col, text_col, k, percent)
+    gone = (found.groupBy(F.col("doc_id").alias("gone_id")).agg(F.max("kept").alias("kept"))
+            .filter("NOT kept").select("gone_id"))
+    gone = written(gone, "gone-ids")
+    release(found)  # the signatures and classes of `near_components`
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col(id_col).cast("long").alias("row_id"))
-    return rows.join(kept, F.col("row_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
+    return rows.join(gone, F.col("row_id").eqNullSafe(F.col("gone_id")), "left_anti").select("row.*")
