@@ -4,6 +4,7 @@ import os
 import random
 import subprocess
 import sys
+import time
 
 import pytest
 from pyspark.sql import Window
@@ -308,3 +309,77 @@ def test_cleaning_shuffles_the_widened_rows_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning(transaction_id" not in plan and "SortAggregate" in plan
+
+
+def test_publishing_keeps_no_table_twice(spark):
+    """The named tables are the only copies of models written for them, with the rows that
+    models built without a warehouse have; models written before stay where they are."""
+    from tillroll.operators.materialize import folder_state, reads_below
+    from tillroll.plans.models import ModelSet
+    from tillroll.plans.warehouse import Warehouse
+    from tillroll.session import scratch_path
+
+    def rows(df):
+        return sorted(map(str, df.drop("updated_at", "processed_timestamp").collect()))
+
+    plain, ms = ModelSet(spark, SF_SMALL), ModelSet(spark, SF_SMALL)
+    w = Warehouse(spark, "tillroll_once_test", scratch_path(spark, "warehouse"), 4)
+    base = w.root.rsplit("/", 1)[0]
+    before = {p.name for p in os.scandir(base.removeprefix("file:"))} if os.path.isdir(base.removeprefix("file:")) else set()
+    w.publish(ms)
+    for name in ("processed", "daily", "top", "shop"):
+        assert rows(getattr(ms, name)()) == rows(getattr(plain, name)())
+        assert reads_below(getattr(ms, name)(), w.root) and not reads_below(getattr(plain, name)(), w.root)
+    assert sorted(map(str, w.shop_reconciliation().collect())) == sorted(map(str, Warehouse(
+        spark, "tillroll_copy_test", scratch_path(spark, "warehouse"), 4).publish(plain)
+        .shop_reconciliation().collect()))
+    assert not reads_below(plain.top(), w.root) and plain.missing() == set()
+    assert folder_state(spark, w.root)[0] > 0
+    # of the tables made for `ms` none but the small shop aggregate and totals is left
+    kept = {f.rsplit("/", 2)[-2] for df in plain._t.values() for f in df.inputFiles()}
+    left = {p.name for p in os.scandir(base.removeprefix("file:"))} - before - kept
+    assert not [x for x in left if x.split("-")[0] in
+                ("processed", "product_aggregates", "daily_revenue", "top_products", "shop_performance")]
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from tillroll.operators.materialize import written
+
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {str(b) for b in iter_blocks(dirs)}
+
+    def iter_blocks(manager):
+        found = manager.getAllBlocks()
+        return [found.apply(i) for i in range(found.size()) if str(found.apply(i)).startswith("shuffle_")]
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(key, None), shuffles()
+    t = written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "seven")
+    assert t.count() == 7 and spark.conf.get(key, None) == was
+    for _ in range(50):  # removed behind the write's back
+        if not [b for b in shuffles() - before if b.endswith(".data")]:
+            break
+        time.sleep(0.1)
+    left = shuffles() - before
+    t.groupBy("k").count().write.mode("overwrite").format("noop").save()
+    assert len(shuffles() - before) > len(left)  # other queries keep theirs
+
+
+def test_shop_customers_are_counted_with_null_keys(spark):
+    schema = staging.fixture_stg(spark, SF_SMALL).schema
+    rows = staging.fixture_stg(spark, SF_SMALL).limit(40).collect()
+    rows = [{**r.asDict(), "shop_id": [None, "A", "B"][i % 3], "shop_name": [None, "x"][i % 2], "city": None,
+             "customer_id": [None, "c1", "c2", "c3"][i // 6 % 4]} for i, r in enumerate(rows)]
+    stg = spark.createDataFrame([tuple(r[c] for c in schema.names) for r in rows], schema)
+    want: dict = {}
+    for r in rows:
+        want.setdefault((r["shop_id"], r["shop_name"], None), set()).add(r["customer_id"])
+    got = marts.shop_aggregates(stg, marts.product_aggregates(stg))
+    assert {(r.shop_id, r.shop_name, r.city): r.unique_customers for r in got.collect()} == {
+        k: len(v - {None}) for k, v in want.items()}
+    # the exchange of customers carries no sums beside them
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "unique_customers" in plan and not any(
+        "sum(total_cents" in x and "customer_id" in x for x in plan.splitlines())

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.money import cents_to_amount
+from ..operators.materialize import shuffles_given_up
+from ..sources.files import read_processed
 from ..sources.schema import PROCESSED_SCHEMA
 from .models import ModelSet
 from .staging import stg_transactions
@@ -57,27 +59,43 @@ class Warehouse:
 
     def publish(self, ms: ModelSet) -> "Warehouse":
         """Replaces every table. Processed rows are range-clustered by month, so a month
-        folder gets a file or two, not one from every task."""
+        folder gets a file or two, not one from every task. What `ms` had not written before
+        it reads from the named tables afterwards, so nothing is kept twice."""
         spark, root = self.spark, self.root
+        ms.forget_below(root)
         for layer, comment in LAYERS.items():
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}_{layer} "
                       f"COMMENT '{comment}' LOCATION '{root}/{layer}.db'")
         transactions = self.name("raw", "transactions")
         spark.sql(f"DROP TABLE IF EXISTS {transactions}")
         spark.sql(transactions_ddl(transactions, f"{root}/raw.db/transactions"))
-        (ms.processed().select(*spark.table(transactions).columns)
-         .repartitionByRange("year", "month_number", "date", "transaction_id")
-         .write.insertInto(transactions, overwrite=True))
+        own = ms.missing()
+        loaded = ms.processed().schema
+        dealt = (ms.processed().select(*spark.table(transactions).columns)
+                 .repartitionByRange("year", "month_number", "date", "transaction_id"))
+        with shuffles_given_up(spark):
+            dealt.write.insertInto(transactions, overwrite=True)
+        if "processed" in own:
+            ms.replace("processed", read_processed(
+                spark, f"{root}/raw.db/transactions", loaded).select(*loaded.names))
         self.staging().createOrReplaceTempView(f"{self.prefix}_stg_transactions")
-        for layer, table, df in (("analytics", "daily_revenue", ms.daily()),
-                                 ("analytics", "top_products", ms.top()),
-                                 ("marts", "shop_performance", ms.shop())):
-            spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+
+        def by_bucket(rows: DataFrame) -> DataFrame:
             # partitioned as the buckets are: one file each
-            (df.repartition(self.buckets, "shop_id").write
-             .bucketBy(self.buckets, "shop_id").sortBy("shop_id")
-             .option("path", f"{root}/{layer}.db/{table}")
-             .saveAsTable(self.name(layer, table)))
+            return rows.repartition(self.buckets, "shop_id")
+
+        for layer, table, rows in (("analytics", "top_products", lambda: by_bucket(ms.top())),
+                                   ("marts", "shop_performance", lambda: by_bucket(ms.shop())),
+                                   ("analytics", "daily_revenue", lambda: ms.daily_dealt(by_bucket))):
+            spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+            path, df = f"{root}/{layer}.db/{table}", rows()
+            with shuffles_given_up(spark):
+                (df.write.bucketBy(self.buckets, "shop_id").sortBy("shop_id")
+                 .option("path", path).saveAsTable(self.name(layer, table)))
+            if table in own:
+                ms.replace(table, spark.read.parquet(path).select(*df.columns))
+            if table == "shop_performance" and "product_aggregates" in own:
+                ms.replace("product_aggregates")  # both models that start from it are written
         return self
 
     def source(self, layer: str, table: str) -> DataFrame:
