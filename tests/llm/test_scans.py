@@ -277,3 +277,21 @@ def test_index_stops_by_proof_only():
         s = v @ q[j]
         order = np.lexsort((np.arange(700), -s))[:10]
         assert [(i, x) for a, i, x in got if a == 1000 + j] == [(int(i), int(s[i])) for i in order]
+
+
+def test_top_k_pairs_pass_neither_the_driver_nor_a_shuffle(spark):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rng.normal(0, 1, (900, 8)).tolist())],
+                               "vec_id long, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") % 10 == 0, k=3, block=64, queries=16)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and plan.count("Exchange") == 1
+    assert got.count() == 90 * 3
+
+
+def test_packed_integers_keep_their_values():
+    for top, size in ((100, 1), (128, 2), (-32768, 2), (32768, 4), (-(1 << 31), 4), (1 << 31, 8), (-(1 << 52), 8)):
+        v = np.array([[0, top, 1], [-1, 5, -7]], np.int64)
+        data = topk.packed(v)
+        assert len(data) == 6 * size and (topk.unpacked(data, 2, 3) == v).all()
+    assert topk.unpacked(topk.packed(np.zeros((2, 0), np.int64)), 2, 0).shape == (2, 0)

@@ -15,7 +15,10 @@ that is still possible is rescored exactly from the integers. Nothing depends on
 stopping point but time.
 
 Each batch of queries meets each block once (a stated query set against all rows, in
-blocks); a block returns at most k rows a query and a window picks the final k.
+blocks); a block returns at most k rows a query and a window picks the final k. The
+pairs are a Cartesian product of the two written tables: a task reads some blocks and
+some batches where they lie, and neither side is shuffled, copied per partner or sent
+through the driver, however many pairs there are.
 
 Defined cases: vectors that are NULL or hold NULL or non-finite components take no part;
 vectors of different lengths are compared as if padded with zeros; a query's own row is
@@ -138,8 +141,20 @@ def _matrix(part: pa.RecordBatch, name: str, width: int) -> np.ndarray:
     return out
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Little-endian integers of the least size of 1, 2, 4 and 8 bytes that holds all."""
+    low, high = int(values.min(initial=0)), int(values.max(initial=0))
+    size = next(s for s in (1, 2, 4, 8) if -(1 << (8 * s - 1)) <= low and high < 1 << (8 * s - 1))
+    return values.astype(f"<i{size}").tobytes()
+
+
+def unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
+    size = len(data) // max(1, rows * width) or 8
+    return np.frombuffer(data, f"<i{size}").reshape(rows, width).astype(np.int64)
+
+
 def packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one group to one row: ids and integer components as bytes."""
+    """Rows of one group to one row: ids and integer components as bytes (`packed`)."""
     parts = list(batches)
     if not sum(b.num_rows for b in parts):
         return
@@ -150,14 +165,14 @@ def packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.argsort(ids, kind="stable")
     yield pa.RecordBatch.from_arrays(
         [pa.array([group.as_py()], pa.int64()), pa.array([width], pa.int64()),
-         pa.array([ids[order].tobytes()], pa.binary()), pa.array([vectors[order].tobytes()], pa.binary())],
+         pa.array([ids[order].tobytes()], pa.binary()), pa.array([packed(vectors[order])], pa.binary())],
         ["grp", "width", "ids", "vecs"])
 
 
 def searcher(k: int):
     def load(ids: pa.Scalar, vecs: pa.Scalar, width: int, wide: int):
         i = np.frombuffer(ids.as_py(), "<i8")
-        v = np.frombuffer(vecs.as_py(), "<i8").reshape(len(i), width)
+        v = unpacked(vecs.as_py(), len(i), width)
         return i, np.pad(v, ((0, 0), (0, wide - width)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,10 +212,9 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
     asked = (rows.filter("is_query").groupBy("id").agg(F.min("vec").alias("vec"))
              .withColumn("tag", F.col("id")))
     q = grouped(asked, batches, 2)
-    pairs = q.select(*[F.col(x).alias(f"q_{x}") for x in q.columns],
-                     F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-                     .alias("grp"))
-    pairs = pairs.join(c, "grp").select("q_grp", "q_width", "q_ids", "q_vecs", "grp", "width", "ids", "vecs")
+    # every batch beside every block, the block's rows following each other
+    pairs = c.hint("shuffle_replicate_nl").crossJoin(q.select(*[F.col(x).alias(f"q_{x}") for x in q.columns]))
+    pairs = pairs.select("q_grp", "q_width", "q_ids", "q_vecs", "grp", "width", "ids", "vecs")
     found = pairs.mapInArrow(searcher(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
