@@ -1,6 +1,7 @@
 """Exact, near and line dedup against brute force, and their edge cases."""
 
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -287,3 +288,35 @@ def test_linking_gives_up_its_scratch_tables(spark):
     assert {t.rsplit("-", 1)[0] for t in _tables(spark) - before} == {
         "line-signatures", "line-members", "first-lines"}
     assert out.filter("kept").count() == 2
+
+
+def test_lines_travel_as_texts_and_signatures_go(spark, monkeypatch):
+    """Line sets, eight times their texts, are not written; the signatures go once read."""
+    made = {}
+    for module in (linking, line_dedup):
+        def note(df, name, *more, wrapped=module.written):
+            out = wrapped(df, name, *more)
+            made.setdefault(name, out)
+            return out
+        monkeypatch.setattr(module, "written", note)
+    line = "the quick brown fox jumps over the lazy dog and runs away from all of it "
+    # around a pivot some lines are similar to it, others only to each other
+    texts = [line + line[:i] for i in range(0, 60, 4)] + ["another line that is like no other here"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = line_dedup.line_components(docs)
+
+    def shingles(t):
+        b = t.strip().encode()
+        return {b[i:i + 8] for i in range(len(b) - 7)}
+
+    root = list(range(len(texts)))
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            x, y = shingles(a), shingles(b)
+            if len(x & y) * 100 >= 80 * len(x | y):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert {r.doc_id: r.keep_doc_id for r in got.collect()} == dict(enumerate(root))
+    assert dict(made["sets"].dtypes)["set"] == "binary"
+    folder = made["line-signatures"].inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+    assert not os.path.exists(folder)

@@ -135,8 +135,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ordinal = Window.partitionBy("node").orderBy("doc_id")
         return made.withColumn("r", F.row_number().over(ordinal)).filter("r = 1").select("node", "set")
 
-    parts = link(tabled, tensored_keys(F.col("a"), F.col("b")), sets_for, percent)
-    release(tabled)
+    parts = link(tabled, tensored_keys(F.col("a"), F.col("b")), sets_for, percent, spent=[tabled])
     named = classes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lows = written(named.groupBy("component").agg(F.min("low").alias("component_id")), "component-ids")
     named = written(named.join(lows, "component").select(*same, "component_id"), "classes")
