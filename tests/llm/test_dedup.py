@@ -318,5 +318,5 @@ def test_lines_travel_as_texts_and_signatures_go(spark, monkeypatch):
                 root = [low if r == high else r for r in root]
     assert {r.doc_id: r.keep_doc_id for r in got.collect()} == dict(enumerate(root))
     assert dict(made["sets"].dtypes)["set"] == "binary"
-    folder = made["line-signatures"].inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+    folder = made["line-keys"].inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
     assert not os.path.exists(folder)
